@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from legwise.operators import extract as X
 from legwise.functions.text import first_number
 from legwise.schema import RANKING_TABLE_CLASS, SeriesSite
+from legwise.staging import spread
 from spark_queries.registry import query
 from spark_queries.views import table
 
@@ -39,13 +40,14 @@ def url_number(spark, sf_dir):
     "page_headings",
     """
     SELECT page_id, heading, right(heading, 4) AS ending FROM (
-      SELECT page_id, replace(replace(replace(replace(regexp_extract(html, '<h1>(.*?)</h1>', 1, 's'),
-        '&quot;', '"'), '&middot;', '·'), '&copy;', '©'), '&amp;', '&') AS heading FROM pages)
+      SELECT page_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(
+        regexp_extract(html, '<h1>(.*?)</h1>', 1, 's'),
+        '&quot;?', '"', 'g'), '&middot;?', '·', 'g'), '&copy;?', '©', 'g'), '&amp;?', '&', 'g') AS heading FROM pages)
     """,
 )
 def page_headings(spark, sf_dir):
     """First heading of every page with entities resolved."""
-    read = X.with_page(table(spark, sf_dir, "pages").select("page_id", "html"))
+    read = X.with_page(spread(table(spark, sf_dir, "pages").select("page_id", "html")))
     heading = X.first_heading(F.col("page"), "h1")
     return read.select("page_id", heading.alias("heading"), F.right(heading, F.lit(4)).alias("ending"))
 
@@ -149,6 +151,11 @@ def links_recency_order(spark, sf_dir):
 # --- pages with tables ---------------------------------------------------------
 
 
+def _orders(spark, sf_dir):
+    columns = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_orderdate"]
+    return spread(table(spark, sf_dir, "orders").select(*columns))
+
+
 def _escaped(text: Column) -> Column:
     for character, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
         text = F.replace(text, F.lit(character), F.lit(entity))
@@ -179,7 +186,7 @@ def _table(*rows: Column, css: str = "") -> Column:
 )
 def html_table_roundtrip(spark, sf_dir):
     """Whole documents written into table cells and read back by header name."""
-    documents = table(spark, sf_dir, "documents")
+    documents = spread(table(spark, sf_dir, "documents").select("doc_id", "lang", "text"))
     html = _table(_header("Lang", "Text"), _row(F.col("lang"), _escaped(F.col("text"))))
     read = X.with_page(documents.select("doc_id", html.alias("html"))).drop("html")
     rows = X.table_rows(read, X.first_table(F.col("page")))
@@ -197,7 +204,7 @@ def html_table_roundtrip(spark, sf_dir):
 )
 def positional_attach(spark, sf_dir):
     """Bib numbers by position, missing where their count differs from the row count."""
-    orders = table(spark, sf_dir, "orders")
+    orders = _orders(spark, sf_dir)
 
     def bib(offset: int) -> Column:
         value = F.concat(F.lit('data-bib="#'), (F.col("o_custkey") % 200 + offset).cast("string"), F.lit('"'))
@@ -247,7 +254,7 @@ _RANKING_CODE = {
 )
 def ranking_rows_by_class(spark, sf_dir):
     """Ranking pages of five classifications: ragged rows, checkpoints and short rows."""
-    orders = table(spark, sf_dir, "orders")
+    orders = _orders(spark, sf_dir)
     customer, status, year = F.col("o_custkey"), F.col("o_orderstatus"), F.year("o_orderdate")
     checkpoint = F.concat(F.lit("km "), customer.cast("string"))
     second = F.concat(F.lit("km "), year.cast("string"))
@@ -280,7 +287,7 @@ def ranking_rows_by_class(spark, sf_dir):
 )
 def option_legs(spark, sf_dir):
     """Legs from the first option list of a page; later lists are not read."""
-    orders = table(spark, sf_dir, "orders")
+    orders = _orders(spark, sf_dir)
     number = (F.col("o_custkey") % 20).cast("string")
     html = F.concat(
         F.lit("<select><option>Prologue : "), "o_orderstatus", F.lit(" &gt; "), "o_orderpriority",
