@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from legwise.functions.numbers import div
+from legwise.functions.text import strip_text
 from legwise.schema import GAP_LIMIT_SECONDS
 
 _CLOCK = (
@@ -13,23 +14,20 @@ _CLOCK = (
 )
 
 
+def _part(parts: Column, index: int, weight: int) -> Column:
+    """Seconds of one part: 0 if there is none, NULL if it is not a whole number."""
+    value = strip_text(F.get(parts, F.lit(index))).try_cast("bigint") * weight
+    return F.when(F.size(parts) > index, value).otherwise(F.lit(0).cast("bigint"))
+
+
 def duration_seconds(text: Column) -> Column:
     """Seconds of ``76h 00' 32''``-like text or of a clock time; otherwise 0.
 
     Hours, minutes and seconds are the first three parts, a part left out adds
     nothing, later parts are ignored, and one unreadable part makes it 0.
     """
-    parts = F.slice(F.split(F.translate(text, "h'\"- +", ":::0"), ":"), 1, 3)
-    weights = F.array(F.lit(3600), F.lit(60), F.lit(1))
-    seconds = F.aggregate(
-        F.zip_with(
-            parts,
-            F.slice(weights, F.lit(1), F.size(parts)),
-            lambda part, weight: F.regexp_replace(part, r"(?U)^\s+|\s+$", "").try_cast("bigint") * weight,
-        ),
-        F.lit(0).cast("bigint"),
-        lambda total, one: total + one,
-    )
+    parts = F.split(F.translate(text, "h'\"- +", ":::0"), ":")
+    spoken = _part(parts, 0, 3600) + _part(parts, 1, 60) + _part(parts, 2, 1)
     hour = F.regexp_extract(text, _CLOCK, 1).try_cast("bigint")
     half = F.lower(F.regexp_extract(text, _CLOCK, 4))
     hour24 = (
@@ -39,8 +37,9 @@ def duration_seconds(text: Column) -> Column:
     )
     minutes = F.regexp_extract(text, _CLOCK, 2).try_cast("bigint") * 60
     rest = F.coalesce(F.regexp_extract(text, _CLOCK, 3).try_cast("bigint"), F.lit(0))
-    clock = hour24 * 3600 + minutes + rest
-    return F.coalesce(F.when(F.contains(text, F.lit("h")), seconds).otherwise(clock), F.lit(0).cast("bigint"))
+    clock = F.when(F.contains(text, F.lit(":")), hour24 * 3600 + minutes + rest)
+    seconds = F.when(F.contains(text, F.lit("h")), spoken).otherwise(clock)
+    return F.coalesce(seconds, F.lit(0).cast("bigint"))
 
 
 def plausible_gap(seconds: Column, limit: int = GAP_LIMIT_SECONDS) -> Column:

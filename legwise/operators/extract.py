@@ -87,19 +87,12 @@ def recency_order(found: Column, digits: str = r"\d{4}") -> Column:
             first_number(link, digits).alias("year"), pos.alias("pos"), link.alias("link")
         ),
     )
-
-    def newer(a: Column, b: Column) -> Column:
-        left, right = F.coalesce(a["year"], F.lit(-1)), F.coalesce(b["year"], F.lit(-1))
-        return (
-            F.when(left > right, -1)
-            .when(left < right, 1)
-            .when(a["pos"] < b["pos"], -1)
-            .when(a["pos"] > b["pos"], 1)
-            .otherwise(0)
-        )
-
     years = F.transform(entries, lambda entry: entry["year"])
-    return F.when(newest_first(years), entries).otherwise(F.array_sort(entries, newer))
+    by_age = F.transform(
+        entries, lambda e: F.struct((-F.coalesce(e["year"], F.lit(-1))).alias("age"), e["pos"].alias("pos"), e.alias("entry"))
+    )
+    newest = F.transform(F.array_sort(by_age), lambda aged: aged["entry"])
+    return F.when(newest_first(years), entries).otherwise(newest)
 
 
 def classify_host(url: Column, sites: Sequence[SeriesSite], what: str = "series") -> Column:

@@ -11,7 +11,7 @@ from legwise.operators import clean, normalise
 from legwise.schema import TableSpec
 from spark_queries import views
 from spark_queries.registry import query
-from spark_queries.views import table
+from spark_queries.views import spread_table, table
 
 # --- numbers ----------------------------------------------------------------
 
@@ -88,7 +88,9 @@ def canonical_cells(spark, sf_dir):
         .otherwise(F.concat(F.col("o_orderkey").cast("string"), F.lit(".50 ")))
     )
     priority = F.concat(F.lit("\t "), F.col("o_orderpriority"), F.lit(" "))
-    return table(spark, sf_dir, "orders").select(
+    return spread_table(
+        spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"
+    ).select(
         "o_orderkey", N.canonical(cell).alias("cell"), N.canonical(priority).alias("priority")
     )
 
@@ -110,7 +112,7 @@ _SECONDS = "CAST(floor(l_extendedprice) AS BIGINT)"
 def duration_roundtrip(spark, sf_dir):
     seconds = F.floor("l_extendedprice")
     return (
-        table(spark, sf_dir, "lineitem")
+        spread_table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_extendedprice")
         .select("l_orderkey", "l_linenumber", seconds.alias("seconds"))
         .withColumn("printed", D.duration_text(F.col("seconds")))
         .withColumn("parsed", D.duration_seconds(F.col("printed")))
@@ -142,7 +144,7 @@ def duration_forms(spark, sf_dir):
         .when(priority == "4-NOT SPECIFIED", F.format_string("%02d:%02d:%02d", h, m, s))
         .otherwise("not a time")
     )
-    return table(spark, sf_dir, "orders").select("o_orderkey", D.duration_seconds(text).alias("seconds"))
+    return spread_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderpriority").select("o_orderkey", D.duration_seconds(text).alias("seconds"))
 
 
 @query(
@@ -218,7 +220,7 @@ def format_margin(spark, sf_dir):
 )
 def title_case_names(spark, sf_dir):
     """Whole documents in title case."""
-    return table(spark, sf_dir, "documents").select("doc_id", X.title_case(F.col("text")).alias("titled"))
+    return spread_table(spark, sf_dir, "documents", "doc_id", "text").select("doc_id", X.title_case(F.col("text")).alias("titled"))
 
 
 @query(
@@ -403,7 +405,10 @@ def drop_empty_columns(spark, sf_dir):
 
 
 def _texts(spark, sf_dir):
-    items = table(spark, sf_dir, "lineitem")
+    items = spread_table(
+        spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+        "l_tax", "l_returnflag", "l_linestatus",
+    )
     return items.select(
         F.col("l_orderkey").cast("string").alias("Key"),
         F.concat(F.col("l_linenumber").cast("string"), F.lit(".0")).alias("Year"),

@@ -12,9 +12,8 @@ from pyspark.sql import functions as F
 from legwise.operators import extract as X
 from legwise.functions.text import first_number
 from legwise.schema import RANKING_TABLE_CLASS, SeriesSite
-from legwise.staging import spread
 from spark_queries.registry import query
-from spark_queries.views import table
+from spark_queries.views import spread_table, table
 
 
 @query(
@@ -47,7 +46,7 @@ def url_number(spark, sf_dir):
 )
 def page_headings(spark, sf_dir):
     """First heading of every page with entities resolved."""
-    read = X.with_page(spread(table(spark, sf_dir, "pages").select("page_id", "html")))
+    read = X.with_page(spread_table(spark, sf_dir, "pages", "page_id", "html"))
     heading = X.first_heading(F.col("page"), "h1")
     return read.select("page_id", heading.alias("heading"), F.right(heading, F.lit(4)).alias("ending"))
 
@@ -125,7 +124,7 @@ def links_recency_check(spark, sf_dir):
     """Whether a page lists its links newest first; links without year agree with anything."""
     found = X.attribute_values(_link_list(), "data-tabs-ajax")
     years = F.transform(found, lambda link: first_number(link))
-    return table(spark, sf_dir, "orders").select("o_orderkey", X.newest_first(years).alias("in_order"))
+    return _orders(spark, sf_dir).select("o_orderkey", X.newest_first(years).alias("in_order"))
 
 
 @query(
@@ -142,7 +141,7 @@ def links_recency_check(spark, sf_dir):
 )
 def links_recency_order(spark, sf_dir):
     entries = X.recency_order(X.attribute_values(_link_list(), "data-tabs-ajax"))
-    listed = table(spark, sf_dir, "orders").select("o_orderkey", F.posexplode(entries).alias("n", "entry"))
+    listed = _orders(spark, sf_dir).select("o_orderkey", F.posexplode(entries).alias("n", "entry"))
     return listed.select(
         "o_orderkey", "n", F.col("entry.link").alias("link"), F.col("entry.year").alias("link_year")
     )
@@ -153,7 +152,7 @@ def links_recency_order(spark, sf_dir):
 
 def _orders(spark, sf_dir):
     columns = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_orderdate"]
-    return spread(table(spark, sf_dir, "orders").select(*columns))
+    return spread_table(spark, sf_dir, "orders", *columns)
 
 
 def _escaped(text: Column) -> Column:
@@ -186,7 +185,7 @@ def _table(*rows: Column, css: str = "") -> Column:
 )
 def html_table_roundtrip(spark, sf_dir):
     """Whole documents written into table cells and read back by header name."""
-    documents = spread(table(spark, sf_dir, "documents").select("doc_id", "lang", "text"))
+    documents = spread_table(spark, sf_dir, "documents", "doc_id", "lang", "text")
     html = _table(_header("Lang", "Text"), _row(F.col("lang"), _escaped(F.col("text"))))
     read = X.with_page(documents.select("doc_id", html.alias("html"))).drop("html")
     rows = X.table_rows(read, X.first_table(F.col("page")))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from legwise.operators import integrity, textblocks
 from spark_queries.registry import query
-from spark_queries.views import table
+from spark_queries.views import spread_table, table
 
 _VERSIONS = """
 WITH old AS (
@@ -24,7 +24,7 @@ new AS (
 
 def _versions(spark, sf_dir):
     """Orders as they were, and a version with altered, lost and added rows and other spellings."""
-    orders = table(spark, sf_dir, "orders")
+    orders = spread_table(spark, sf_dir, "orders")
     old = orders.select(
         F.col("o_custkey").alias("customer"),
         F.col("o_orderstatus").alias("status"),
@@ -93,7 +93,7 @@ def _marked(spark, sf_dir):
         .when(F.col("lang") == "fr", F.concat(text, F.lit(start + "a\\1$0" + end)))
         .otherwise(F.concat(F.lit("x" + start), text, F.lit(end), F.col("source")))
     )
-    return table(spark, sf_dir, "documents").select("doc_id", wrapped.alias("text"))
+    return spread_table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source").select("doc_id", wrapped.alias("text"))
 
 
 @query(

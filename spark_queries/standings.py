@@ -13,10 +13,10 @@ from spark_queries.registry import query
 from spark_queries.views import table
 
 _GATE = f"""
-WITH {views.LEG_RANKINGS}, {views.KNOWN_STANDINGS}, {views.LEGS},
+WITH {views.LEG_LISTINGS}, {views.KNOWN_STANDINGS}, {views.LEGS},
 gate AS (
   SELECT n.series, n.edition, coalesce(k.edition, 0) AS known_edition
-  FROM (SELECT series, max(edition) AS edition FROM leg_rankings GROUP BY 1) n
+  FROM (SELECT series, max(edition) AS edition FROM leg_listings GROUP BY 1) n
   LEFT JOIN (SELECT series, max(edition) AS edition FROM known_standings GROUP BY 1) k USING (series)
   WHERE n.edition > coalesce(k.edition, 0)
 )"""
@@ -26,9 +26,9 @@ distances AS (
   SELECT series, edition, arg_min(total_distance, row_no) AS distance FROM legs GROUP BY 1, 2
 ),
 totals AS (
-  SELECT series, edition, participant, count(*) AS ridden, sum(total_seconds) AS total,
-         arg_min(team, leg) FILTER (WHERE team IS NOT NULL) AS team
-  FROM leg_rankings JOIN gate USING (series, edition) GROUP BY 1, 2, 3
+  SELECT series, edition, participant, count(DISTINCT leg) AS ridden, sum(total_seconds) AS total,
+         first(team ORDER BY leg, row_no, line, supplier) FILTER (WHERE team IS NOT NULL) AS team
+  FROM leg_listings JOIN gate USING (series, edition) GROUP BY 1, 2, 3
 ),
 complete AS (
   SELECT * FROM (SELECT *, max(ridden) OVER (PARTITION BY series, edition) AS needed FROM totals)
@@ -52,10 +52,11 @@ rebuilt AS (
 
 def rebuilt(spark, sf_dir):
     return standings.rebuild(
-        views.leg_rankings(spark, sf_dir),
+        views.leg_listings(spark, sf_dir),
         views.known_standings(spark, sf_dir),
         views.legs(spark, sf_dir),
-        order=["leg"],
+        order=views.LISTING_ORDER,
+        distinct_legs=True,
     ).drop("row_no", "rank_text", "bib", "bonus", "penalty")
 
 
@@ -92,7 +93,7 @@ def rebuilt_union(spark, sf_dir):
 @query("editions_to_rebuild", f"{_GATE} SELECT series, edition, known_edition FROM gate")
 def editions_to_rebuild(spark, sf_dir):
     return standings.editions_to_rebuild(
-        views.leg_rankings(spark, sf_dir), views.known_standings(spark, sf_dir)
+        views.leg_listings(spark, sf_dir), views.known_standings(spark, sf_dir)
     )
 
 

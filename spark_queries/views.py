@@ -7,13 +7,28 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from legwise.functions.durations import duration_text
 from legwise.schema import INDIVIDUAL
+from legwise.staging import spread
+
+
+_schemas: dict[str, StructType] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A driver table; its schema is read from the file footer once per path."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
+
+
+def spread_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    """The table's columns over all cores, for queries that are heavy per row."""
+    df = table(spark, sf_dir, name)
+    return spread(df.select(*columns) if columns else df)
 
 
 # --- leg rankings: one row per series, edition, leg and participant ----------
@@ -47,6 +62,38 @@ leg_rankings AS (
 )"""
 
 
+# --- leg listings: every shipped line as one row of a leg ranking --------------
+
+LISTING_ORDER = ("leg", "row_no", "line", "supplier")
+
+
+def leg_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines as ranking rows; a participant may be listed more than once in a leg."""
+    supplier = F.col("l_suppkey")
+    return table(spark, sf_dir, "lineitem").select(
+        F.col("l_linestatus").alias("series"),
+        F.year("l_shipdate").alias("edition"),
+        F.quarter("l_shipdate").cast("double").alias("leg"),
+        F.col("l_partkey").cast("string").alias("participant"),
+        F.col("l_quantity").cast("bigint").alias("total_seconds"),
+        F.when(supplier % 5 != 0, F.concat(F.lit("Team "), supplier.cast("string"))).alias("team"),
+        F.col("l_orderkey").alias("row_no"),
+        F.col("l_linenumber").alias("line"),
+        supplier.alias("supplier"),
+        F.lit(INDIVIDUAL).alias("classification"),
+    )
+
+
+LEG_LISTINGS = """
+leg_listings AS (
+  SELECT l_linestatus AS series, CAST(year(l_shipdate) AS INTEGER) AS edition, quarter(l_shipdate) AS leg,
+         CAST(l_partkey AS VARCHAR) AS participant, CAST(l_quantity AS BIGINT) AS total_seconds,
+         CASE WHEN l_suppkey % 5 <> 0 THEN 'Team ' || l_suppkey END AS team,
+         l_orderkey AS row_no, l_linenumber AS line, l_suppkey AS supplier
+  FROM lineitem
+)"""
+
+
 # --- legs: one row per shipped line's series and edition, distance per edition
 
 
@@ -91,11 +138,14 @@ known_standings AS (
 # --- results: orders as printed standings, three series in different years ---
 
 
-def results(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders")
+def _result_edition():
     series = F.col("o_orderstatus")
-    shift = F.when(series == "F", 0).when(series == "O", 82).otherwise(92)
-    edition = F.year("o_orderdate") - shift
+    return F.year("o_orderdate") - F.when(series == "F", 0).when(series == "O", 82).otherwise(92)
+
+
+def results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = spread_table(spark, sf_dir, "orders")
+    series, edition = F.col("o_orderstatus"), _result_edition()
     total = F.floor("o_totalprice")
     priority = F.col("o_orderpriority")
     return orders.select(
@@ -150,18 +200,12 @@ results AS (
 
 def result_legs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Legs of the results view: the months in which an edition has orders."""
-    return (
-        results(spark, sf_dir)
-        .select("series", "edition", "row_no")
-        .join(
-            table(spark, sf_dir, "orders").select(
-                F.col("o_orderkey").alias("row_no"), F.month("o_orderdate").alias("leg")
-            ),
-            "row_no",
-        )
-        .select("series", "edition", "leg")
-        .distinct()
-    )
+    orders = table(spark, sf_dir, "orders")
+    return orders.select(
+        F.col("o_orderstatus").alias("series"),
+        _result_edition().alias("edition"),
+        F.month("o_orderdate").alias("leg"),
+    ).distinct()
 
 
 RESULT_LEGS = """
