@@ -29,6 +29,8 @@ def _lossless(name: str) -> Column:
 def lossless_int_check(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One row per column: may it become an integer column without loss?  One pass for all."""
     present = [c for c in columns if c in df.columns]
+    if not present:
+        return df.sparkSession.createDataFrame([], "column_name string, lossless boolean")
     verdicts = df.agg(*[_lossless(c).alias(f"v{i}") for i, c in enumerate(present)])
     pairs = F.array(
         *[F.struct(F.lit(c).alias("column_name"), F.col(f"v{i}").alias("lossless")) for i, c in enumerate(present)]

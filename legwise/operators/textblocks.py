@@ -18,7 +18,7 @@ def refresh_blocks(
     document = F.col(text)
     updated = F.coalesce(replace_block(document, body, marker), document)
     return df.withColumns(
-        {"has_marker": has_block(document, marker), into: updated, "changed": updated != document}
+        {"has_marker": has_block(document, marker), into: updated, "changed": F.coalesce(updated != document, F.lit(False))}
     )
 
 

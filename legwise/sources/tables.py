@@ -53,7 +53,7 @@ def scan_table(
 ) -> DataFrame:
     """A Parquet table; a missing one is an empty table, or an error when required."""
     try:
-        return spark.read.schema(schema).parquet(path)
+        return spark.read.schema(schema).parquet(path).select(*schema.names)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
