@@ -1,0 +1,136 @@
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from legwise.functions.html import PageReader
+from legwise.operators import extract as X
+from tests.conftest import rows_of
+from tests.site import RANKING_CLASS, SITES, table
+
+
+def read(html):
+    return PageReader("statsInfos__number", ("tab",), "data-tabs-ajax", "data-bib").read(html)
+
+
+def test_page_reader_rows():
+    page = read(
+        "<table class='a'><tr><th>A<th>B</tr><tr data-bib='#7'><td> 1 &amp; <b>2</b><br>x<td>y</table>"
+        "<table><tr><td rowspan=2>l</td><td colspan='2'>w</td></tr><tr><td>m</td><td>n</td></tr></table>"
+    )
+    first, second = page["tables"]
+    assert first["class"] == "a" and first["bibs"] == ["#7"] == page["bibs"]
+    assert first["rows"][0] == {"is_header": True, "cells": [], "grid": ["A", "B"]}
+    assert first["rows"][1] == {"is_header": False, "cells": [" 1 & 2x", "y"], "grid": [" 1 & 2x", "y"]}
+    assert [r["grid"] for r in second["rows"]] == [["l", "w", "w"], ["l", "m", "n"]]
+    assert [r["cells"] for r in second["rows"]] == [["l", "w"], ["m", "n"]]
+
+
+def test_page_reader_nested_tables_and_rests():
+    page = read("<table><tr><td>a<table><tr><td>in</td></tr></table>b</td><td>c</td></tr>")
+    outer, inner = page["tables"]
+    assert [r["cells"] for r in inner["rows"]] == [["in"]]
+    assert [r["cells"] for r in outer["rows"]] == [["ainb", "c"]]
+    assert read("")["tables"] == [] and read("a < b > c")["headings"] == []
+    assert read("<h3>open 2024")["headings"] == [{"tag": "h3", "text": "open 2024"}]
+
+
+def test_page_reader_elements():
+    page = read(
+        "<H3 title='a > b'>Tour <i>2024</i></H3><p class='x statsInfos__number'>21</p>"
+        '<p class="statsInfos__number">3,404 <span>km</span></p><script>"<h3>no</h3>"</script><!-- <h3>no</h3> -->'
+        "<select><option>one<option>two</select><select><option>three</option></select>"
+        "<button class='tab' data-tabs-ajax='/r'> Ranking </button><button class='tab'>none</button>"
+    )
+    assert page["headings"] == [{"tag": "h3", "text": "Tour 2024"}]
+    assert page["figures"] == ["21", "3,404 "]
+    assert page["options"] == ["one", "two"]
+    assert page["tabs"] == [{"label": "Ranking", "link": "/r"}]
+
+
+@pytest.mark.parametrize(
+    ("links", "in_order", "expected"),
+    [
+        (["/2025", "/2024", "/2024b"], True, ["/2025", "/2024", "/2024b"]),
+        (["/2023", "/x", "/2024", "/2023b"], True, ["/2024", "/2023", "/2023b", "/x"]),
+        (["/2023", "/2024"], False, ["/2024", "/2023"]),
+        (["/a", "/b"], True, ["/a", "/b"]),
+        ([], True, []),
+    ],
+)
+def test_recency(spark, links, in_order, expected):
+    df = spark.createDataFrame([(links,)], "links array<string>")
+    years = F.transform("links", lambda link: X.first_number(link))
+    ordered = X.recency_order(F.col("links"))
+    row = df.select(X.newest_first(years).alias("ok"), F.transform(ordered, lambda e: e["link"]).alias("order")).first()
+    # a link without year agrees with both neighbours, so that list stays as it is
+    assert row.ok is in_order
+    assert row.order == (links if in_order else expected)
+
+
+def test_hosts_and_newest_pages(spark):
+    df = spark.createDataFrame([("https://women.example/x",), ("https://men.example/x",), ("y",)], "url string")
+    url = F.col("url")
+    got = rows_of(df, X.classify_host(url, SITES), X.classify_host(url, SITES, "prefix"))
+    assert got == [("men", "https://men.example"), ("women", "https://women.example"), (None, None)]
+    found = spark.createDataFrame([("men", i, f"u{i}") for i in range(4)], "series string, pos int, url string")
+    assert rows_of(X.newest_pages(found, 2), "url") == [("u0",), ("u1",)]
+    assert rows_of(X.newest_pages(found, 2, oldest=True), "url") == [("u2",), ("u3",)]
+
+
+def test_last_link_per_label(spark):
+    df = spark.createDataFrame([("p", "a", "1", 0), ("p", "a", "2", 3), ("p", "b", "9", 1)], "page string, label string, link string, pos int")
+    assert rows_of(X.last_link_per_label(df, ["page"])) == [("p", "a", "2"), ("p", "b", "9")]
+
+
+def _ranking(spark, code, rows, css=RANKING_CLASS):
+    html = table(rows, css=css)
+    df = spark.createDataFrame([(code, html)], "code string, html string")
+    return X.ranking_rows(X.with_page(df).drop("html"))
+
+
+def test_timed_layouts(spark):
+    rows = [("h",), ("1", "A", "T", "1h", "-", "5", "6"), ("2", "B", "T", "2h"), ("3", "C", "T")]
+    columns = ("rank_text", "participant", "team", "times", "gap", "bonus", "penalty", "points", "checkpoint")
+    assert rows_of(_ranking(spark, "ite", rows), *columns) == [
+        ("1", "A", "T", "1h", "-", "5", "6", None, None), ("2", "B", "T", "2h", None, None, None, None, None),
+    ]
+    assert rows_of(_ranking(spark, "ice", rows), *columns)[0] == ("1", "A", "T", "1h", "-", None, None, None, None)
+
+
+def test_team_layout_and_guards(spark):
+    rows = [("h",), ("1", "T", "1h", "-"), ("2", "U", "2h"), ("3", "V")]
+    assert rows_of(_ranking(spark, "ete", rows), "rank_text", "participant", "team", "times", "gap") == [
+        ("1", None, "T", "1h", "-"), ("2", None, "U", "2h", None),
+    ]
+    assert _ranking(spark, "ete", rows[:2]).isEmpty()
+    assert _ranking(spark, "ete", rows, css="other").isEmpty()
+    with pytest.raises(Exception, match="unknown classification code"):
+        _ranking(spark, "zzz", rows).collect()
+
+
+def test_checkpoints_apply_to_the_rows_below(spark):
+    rows = [("h",), ("1", "A", "T", "9"), (" km 20 ",), ("1", "B", "T", "20", "6"), ("2", "C", "T", "17"), ("Finish",), ("1", "D", "T", "50")]
+    got = rows_of(_ranking(spark, "ipe", rows), "participant", "points", "bonus", "checkpoint")
+    assert got == [("A", "9", None, None), ("B", "20", "6", "km 20"), ("C", "17", None, "km 20"), ("D", "50", None, "Finish")]
+    assert {r[2] for r in rows_of(_ranking(spark, "ime", rows), "participant", "points", "bonus")} == {None}
+
+
+def test_bibs_only_if_counts_match(spark):
+    header = ("Rank", "Rider")
+    rows = [("1", "A"), ("2", "B")]
+    full, short = table(rows, header, bibs=(1, 11)), table(rows, header) + '<i data-bib="3"></i>'
+    df = X.with_page(spark.createDataFrame([("x", full), ("y", short)], "k string, html string")).drop("html")
+    listed = X.standings_rows(df, X.first_table(F.col("page")), F.col("page.bibs"))
+    assert rows_of(listed, "k", "row_no", "rank", "participant", "bib", "team") == [
+        ("x", 0, 1, "A", 1, None), ("x", 1, 2, "B", 11, None), ("y", 0, 1, "A", None, None), ("y", 1, 2, "B", None, None),
+    ]
+
+
+def test_request_grid(spark):
+    legs = spark.createDataFrame([(1.0, "/r"), (13.1, "/r")], "leg double, ranking_link string")
+    grid = X.request_grid(legs)
+    assert grid.count() == 12
+    assert ("/r?stage=13.1&type=ete",) in rows_of(grid, "request") and ("/r?stage=1&type=ite",) in rows_of(grid, "request")
+    have = spark.createDataFrame([(1.0, "Individual (Stage)")], "leg double, classification string")
+    assert X.missing_rankings(grid, have, ["leg", "classification"]).count() == 11
