@@ -18,10 +18,18 @@ def missing_to_null(text: Column) -> Column:
     return F.when(~text.isin(*MISSING_TEXTS), text)
 
 
-def scan_csv(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+# Columns that put scanned CSV rows back into the order of their files.
+SOURCE_ORDER = ("_file", "_block", "_line")
+
+
+def scan_csv(
+    spark: SparkSession, path: str, multiline: bool = False, with_order: bool = False
+) -> DataFrame:
     """A CSV with header as text columns, missing markers as NULL.
 
     ``multiline`` reads quoted line breaks; such files cannot be split, so it is off by default.
+    ``with_order`` adds the columns of SOURCE_ORDER: file, start of the split in it, and a
+    number that grows with the rows of a split.  Partition numbers alone do not follow the files.
     """
     raw = (
         spark.read.option("header", True)
@@ -29,7 +37,12 @@ def scan_csv(spark: SparkSession, path: str, multiline: bool = False) -> DataFra
         .option("multiLine", multiline)
         .csv(path)
     )
-    return raw.select(*[missing_to_null(F.col(f"`{c}`")).alias(c) for c in raw.columns])
+    columns = [missing_to_null(F.col(f"`{c}`")).alias(c) for c in raw.columns]
+    if with_order:
+        origin = ("_metadata.file_path", "_metadata.file_block_start")
+        places = [*[F.col(c) for c in origin], F.monotonically_increasing_id()]
+        columns += [place.alias(name) for place, name in zip(places, SOURCE_ORDER)]
+    return raw.select(*columns)
 
 
 def typed(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -48,6 +61,10 @@ def typed(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*columns)
 
 
+def is_missing_path(error: AnalysisException) -> bool:
+    return error.getCondition() == "PATH_NOT_FOUND"
+
+
 def scan_table(
     spark: SparkSession, path: str, schema: T.StructType, required: bool = False
 ) -> DataFrame:
@@ -55,7 +72,7 @@ def scan_table(
     try:
         return spark.read.schema(schema).parquet(path).select(*schema.names)
     except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
+        if not is_missing_path(error):
             raise
         if required:
             raise FileNotFoundError(f"missing table: {path}") from error

@@ -147,6 +147,33 @@ def links_recency_order(spark, sf_dir):
     )
 
 
+@query(
+    "page_distance",
+    """
+    SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS edition,
+           CASE WHEN o_orderpriority <> '5-LOW' THEN CAST(round_even(o_custkey + 1000 + (o_orderkey % 4) / 4.0::DOUBLE, 0) AS INTEGER) END AS distance
+    FROM orders
+    """,
+)
+def page_distance(spark, sf_dir):
+    """Edition and rounded distance of edition pages; no second figure gives NULL."""
+    amount = F.col("o_custkey") + 1000 + (F.col("o_orderkey") % 4) / 4
+    figure = F.concat(
+        F.lit('<p class="big statsInfos__number"> '), F.format_number(amount, 2), F.lit(" <span>7</span></p>")
+    )
+    html = F.concat(
+        F.lit("<h3>Edition <b>"), F.year("o_orderdate").cast("string"),
+        F.lit('</b></h3><p class="statsInfos__number">21</p>'),
+        F.when(F.col("o_orderpriority") == "5-LOW", "").otherwise(figure),
+    )
+    read = X.with_page(_orders(spark, sf_dir).select("o_orderkey", html.alias("html")))
+    return read.select(
+        "o_orderkey",
+        X.heading_edition(F.col("page")).alias("edition"),
+        X.stated_distance(F.col("page")).alias("distance"),
+    )
+
+
 # --- pages with tables ---------------------------------------------------------
 
 

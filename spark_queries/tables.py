@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from legwise.operators import joins
+from legwise.operators.ordering import number_rows
 from legwise.sources import tables as sources
 from legwise.staging import shared_folder
 from spark_queries.registry import query
@@ -188,3 +189,19 @@ def replace_edition(spark, sf_dir):
         )
     )
     return joins.replace_groups(old, new, ["edition"])
+
+
+@query(
+    "csv_source_order",
+    """
+    SELECT o_orderkey, row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) AS position FROM orders
+    """,
+)
+def csv_source_order(spark, sf_dir):
+    """Positions of exported rows: sorted CSV part files, scanned back in file order."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    path = f"{shared_folder(spark)}/csv-{uuid.uuid4().hex}"
+    sources.export_csv(orders.orderBy(F.col("o_totalprice").desc(), "o_orderkey"), path)
+    scanned = sources.scan_csv(spark, path, with_order=True)
+    placed = number_rows(scanned, [], sources.SOURCE_ORDER)
+    return placed.select(F.col("o_orderkey").cast("bigint").alias("o_orderkey"), "position")
