@@ -188,19 +188,29 @@ def first_table(page: Column, css_class: str | None = None) -> Column:
     return F.get(tables, F.lit(0))
 
 
-def table_rows(df: DataFrame, table: Column) -> DataFrame:
+def clean_rows(table: Column) -> Column:
+    """Cells of the table's data rows, cleaned like a table reader's; missing markers are NULL."""
+    body = F.filter(table["rows"], lambda r: F.size(r["cells"]) > 0)
+    return F.transform(
+        body, lambda r: F.transform(r["grid"], lambda text: missing_to_null(cell_text(text)))
+    )
+
+
+def header_names(table: Column) -> Column:
+    header = F.get(F.filter(table["rows"], lambda r: r["is_header"]), F.lit(0))["grid"]
+    return F.transform(header, lambda name: cell_text(name))
+
+
+def table_rows(df: DataFrame, table: Column, page: str = "page") -> DataFrame:
     """Header names and data cells of a table, one row per data row, numbered from 0.
 
-    Cells are cleaned like a table reader's; missing markers become NULL.
+    Header and rows are taken out of the page first, so the exploded rows carry
+    the header but not the page.
     """
-    clean = lambda cell: missing_to_null(cell_text(cell))
-    header = F.get(F.filter(table["rows"], lambda r: r["is_header"]), F.lit(0))["grid"]
-    body = F.filter(table["rows"], lambda r: F.size(r["cells"]) > 0)
-    return df.select(
-        "*",
-        F.transform(header, lambda name: cell_text(name)).alias("header"),
-        F.posexplode(F.transform(body, lambda r: F.transform(r["grid"], clean))).alias("row_no", "cells"),
-    ).withColumn("row_no", F.col("row_no").cast("bigint"))
+    keys = [c for c in df.columns if c != page]
+    read = df.select(*keys, header_names(table).alias("header"), clean_rows(table).alias("_rows"))
+    rows = read.select(*keys, "header", F.posexplode("_rows").alias("row_no", "cells"))
+    return rows.withColumn("row_no", F.col("row_no").cast("bigint"))
 
 
 def cell(name: str) -> Column:
@@ -209,28 +219,38 @@ def cell(name: str) -> Column:
     return F.when(at > 0, F.get("cells", (at - 1).cast("int")))
 
 
-def attach_by_position(values: Column, count: Column, position: Column) -> Column:
-    """The value at the row's position, only if there are as many values as rows."""
-    return F.when(F.size(values) == count, F.get(values, position.cast("int")))
+def attach_by_position(rows: Column, values: Column) -> Column:
+    """Rows paired with the values at the same positions, only if there are as many values as rows.
+
+    Pairs are structs (row, value); the value is NULL throughout when the numbers differ.
+    """
+    row, value = F.lit("row"), F.lit("value")
+    paired = F.zip_with(rows, values, lambda r, v: F.named_struct(row, r, value, v))
+    alone = F.transform(rows, lambda r: F.named_struct(row, r, value, F.lit(None).cast("string")))
+    return F.when(F.size(rows) == F.size(values), paired).otherwise(alone)
 
 
 def bib_number(bib: Column) -> Column:
     return F.regexp_replace(bib, "#", "").try_cast("int")
 
 
-def standings_rows(df: DataFrame, table: Column, bibs: Column) -> DataFrame:
+def standings_rows(df: DataFrame, table: Column, bibs: Column, page: str = "page") -> DataFrame:
     """Rows of a final-standings table, with the page's bib numbers attached by position."""
-    keyed = df.withColumns({"_table": table, "_bibs": bibs})
-    n_rows = F.size(F.filter(F.col("_table.rows"), lambda r: F.size(r["cells"]) > 0))
-    rows = table_rows(keyed.withColumn("_n", n_rows), F.col("_table"))
-    dropped = ("_table", "_bibs", "_n", "header", "cells")
-    kept = [c for c in rows.columns if c not in dropped]
+    keys = [c for c in df.columns if c != page]
+    read = df.select(
+        *keys, header_names(table).alias("header"), clean_rows(table).alias("_rows"), bibs.alias("_bibs")
+    )
+    paired = read.select(
+        *keys, "header", F.posexplode(attach_by_position(F.col("_rows"), F.col("_bibs"))).alias("row_no", "_pair")
+    )
+    rows = paired.select(*keys, "header", "row_no", F.col("_pair.row").alias("cells"), F.col("_pair.value").alias("_bib"))
     return rows.select(
-        *kept,
+        *keys,
+        F.col("row_no").cast("bigint").alias("row_no"),
         to_number(cell("Rank")).cast("int").alias("rank"),
         cell("Rank").alias("rank_text"),
         cell("Rider").alias("participant"),
-        bib_number(attach_by_position(F.col("_bibs"), F.col("_n"), F.col("row_no"))).alias("bib"),
+        bib_number(F.col("_bib")).alias("bib"),
         cell("Team").alias("team"),
         cell("Times").alias("times"),
         cell("Gap").alias("gap"),
@@ -268,21 +288,26 @@ def ranking_page_keys(pages: DataFrame) -> DataFrame:
     )
 
 
-def carried_checkpoint(rows: Column, position: Column) -> Column:
-    """Text of the latest single-cell row up to ``position``; NULL before the first.
-
-    Works inside the page's row array, so it needs no window.
-    """
-    headings = F.filter(
-        F.transform(
-            rows,
-            lambda r, i: F.struct(
-                i.alias("at"), F.size(r["cells"]).alias("n"), F.get(r["cells"], F.lit(0)).alias("text")
-            ),
+def checkpoint_rows(rows: Column) -> Column:
+    """Position and text of the single-cell rows, which name a checkpoint."""
+    at, text = F.lit("at"), F.lit("text")
+    marked = F.transform(
+        rows,
+        lambda r, i: F.when(
+            F.size(r["cells"]) == 1,
+            F.named_struct(at, i, text, strip_text(F.get(r["cells"], F.lit(0)))),
         ),
-        lambda h: (h["n"] == 1) & (h["at"] <= position),
     )
-    return strip_text(F.try_element_at(headings, F.lit(-1))["text"])
+    return F.array_compact(marked)
+
+
+def carried_checkpoint(checkpoints: Column, position: Column) -> Column:
+    """Text of the latest checkpoint up to ``position``; NULL before the first.
+
+    The checkpoints of a page travel with its rows, so this needs no window.
+    """
+    above = F.filter(checkpoints, lambda c: c["at"] <= position)
+    return F.try_element_at(above, F.lit(-1))["text"]
 
 
 def ranking_rows(
@@ -295,14 +320,16 @@ def ranking_rows(
     single-cell rows, which applies to the rows below.
     """
     keys = [c for c in df.columns if c != page]
-    rows = first_table(F.col(page), css_class)["rows"]
-    listed = df.select(
-        *keys,
-        F.when(F.size(rows) > 2, F.slice(rows, F.lit(2), F.size(rows))).alias("_rows"),
-    )
-    exploded = listed.select(*keys, "_rows", F.posexplode("_rows").alias("row_no", "_row"))
     kind = F.col(code)
     points, timed, team = (kind.isin(*codes) for codes in (POINTS_CODES, TIMED_CODES, TEAM_CODES))
+    found = df.select(*keys, first_table(F.col(page), css_class)["rows"].alias("_all"))
+    listed = found.select(
+        *keys, F.when(F.size("_all") > 2, F.slice("_all", F.lit(2), F.size("_all"))).alias("_rows")
+    )
+    # computed before the rows are exploded, so that each row carries the
+    # checkpoints of its page but not the page
+    marked = listed.withColumn("_checkpoints", F.when(points, checkpoint_rows(F.col("_rows"))))
+    exploded = marked.select(*keys, "_checkpoints", F.posexplode("_rows").alias("row_no", "_row"))
     needed = (
         F.when(points | timed, 4)
         .when(team, 3)
@@ -324,7 +351,7 @@ def ranking_rows(
         F.when(kind == "ipe", at(4)).when(kind == "ite", at(5)).alias("bonus"),
         F.when(kind == "ite", at(6)).alias("penalty"),
         F.when(points, at(3)).alias("points"),
-        F.when(points, carried_checkpoint(F.col("_rows"), F.col("row_no"))).alias("checkpoint"),
+        F.when(points, carried_checkpoint(F.col("_checkpoints"), F.col("row_no"))).alias("checkpoint"),
     )
 
 

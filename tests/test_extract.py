@@ -3,14 +3,16 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from legwise.functions.html import PageReader
+from legwise.functions.html import PageReader, pages_array
 from legwise.operators import extract as X
 from tests.conftest import rows_of
 from tests.site import RANKING_CLASS, SITES, table
 
 
 def read(html):
-    return PageReader("statsInfos__number", ("tab",), "data-tabs-ajax", "data-bib").read(html)
+    """The page as the UDF returns it, one Python dict."""
+    reader = PageReader("statsInfos__number", ("tab",), "data-tabs-ajax", "data-bib")
+    return pages_array([reader.read(html)]).to_pylist()[0]
 
 
 def test_page_reader_rows():
