@@ -42,7 +42,7 @@ def apply_overrides(
     override: str = "override",
 ) -> DataFrame:
     """Replace ``value`` where it is 0 and an override exists for the keys."""
-    joined = df.join(overrides.select(*keys, F.col(override).alias("_override")), list(keys), "left")
+    joined = attach(df, overrides.select(*keys, F.col(override).alias("_override")), keys)
     replaced = F.when((F.col(value) == 0) & F.col("_override").isNotNull(), F.col("_override"))
     return joined.withColumn(value, replaced.otherwise(F.col(value))).drop("_override")
 

@@ -174,6 +174,63 @@ def page_distance(spark, sf_dir):
     )
 
 
+HISTORY_SITES = (
+    SeriesSite("F", "//f.example", "https://f.example"),
+    SeriesSite("O", "//o.example", "https://o.example"),
+    SeriesSite("P", "//", "https://p.example"),
+)
+
+
+@query(
+    "history_links",
+    f"""{_LINK_LISTS},
+    found AS (
+      SELECT o_orderkey, years[1] >= years[2] AS in_order, unnest([0, 1, 2, 3]) AS pos,
+             unnest(links) AS link, unnest(years) AS link_year FROM lists)
+    SELECT o_orderstatus AS series, 'https://' || lower(o_orderstatus) || '.example' AS prefix,
+           CAST(CASE WHEN in_order THEN pos ELSE row_number() OVER (
+             PARTITION BY o_orderkey ORDER BY coalesce(link_year, -1) DESC, pos) - 1 END AS INTEGER) AS pos,
+           CAST(link_year AS INTEGER) AS link_year,
+           'https://' || lower(o_orderstatus) || '.example' || link AS url
+    FROM found JOIN orders USING (o_orderkey)
+    """,
+)
+def history_links(spark, sf_dir):
+    """Edition pages listed by history pages: series by host, newest first, absolute."""
+    address = F.concat(F.lit("https://"), F.lower("o_orderstatus"), F.lit(".example/history"))
+    history = _orders(spark, sf_dir).select(address.alias("url"), _link_list().alias("html"))
+    return X.edition_links(history, HISTORY_SITES)
+
+
+@query(
+    "tab_links",
+    """
+    SELECT o_orderkey, label, 'https://x' || link AS link FROM (
+      SELECT o_orderkey, unnest(['Ranking', 'Stages winners']) AS label,
+             unnest(['/r/' || CASE WHEN o_orderstatus = 'P' THEN 'again' ELSE CAST(o_custkey AS VARCHAR) END, '/w/' || o_orderpriority]) AS link
+      FROM orders)
+    """,
+)
+def tab_links(spark, sf_dir):
+    """Address per tab button; a later button of the same name wins, one without address is skipped."""
+
+    def button(label: str, link: Column, css: str = "tabs__item btn js-tabs-nested") -> Column:
+        return F.concat(
+            F.lit(f'<button class="{css}" data-tabs-ajax="'), link, F.lit(f'">\n <i>{label}</i> </button>')
+        )
+
+    again = button("Ranking", F.lit("/r/again"), "tabs__item btn js-tabs-nested is-active")
+    html = F.concat(
+        button("Ranking", F.concat(F.lit("/r/"), F.col("o_custkey").cast("string"))),
+        button("Other", F.lit("/o"), "tabs__item"),
+        button("Stages winners", F.concat(F.lit("/w/"), F.col("o_orderpriority"))),
+        F.lit('<button class="tabs__item btn js-tabs-nested">Ranking</button>'),
+        F.when(F.col("o_orderstatus") == "P", again).otherwise(""),
+    )
+    read = X.with_page(_orders(spark, sf_dir).select("o_orderkey", html.alias("html"))).drop("html")
+    return X.tab_links(read, ["o_orderkey"], F.lit("https://x"))
+
+
 # --- pages with tables ---------------------------------------------------------
 
 

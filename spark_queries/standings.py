@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from legwise.operators import standings
 from legwise.operators.normalise import numeric_positions
-from legwise.operators.ordering import carry_forward, first_k
+from legwise.operators.ordering import carry_forward, first_k, number_rows
 from legwise.schema import TableSpec
 from spark_queries import views
 from spark_queries.registry import query
@@ -147,6 +147,26 @@ def numeric_sort_position(spark, sf_dir):
     return numeric_positions(listed, spec, ["o_orderkey"]).select("o_orderkey", "position")
 
 
+@query(
+    "text_sort_position",
+    """
+    SELECT o_orderkey, row_number() OVER (
+             ORDER BY year(o_orderdate), o_orderpriority, CAST(o_custkey AS VARCHAR), o_orderkey) AS position
+    FROM orders
+    """,
+)
+def text_sort_position(spark, sf_dir):
+    """Position by edition, classification and rank, with the rank compared as text."""
+    listed = table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        F.year("o_orderdate").alias("edition"),
+        "o_orderpriority",
+        F.col("o_custkey").cast("string").alias("rank_text"),
+    )
+    keys = ["edition", "o_orderpriority", "rank_text", "o_orderkey"]
+    return number_rows(listed, [], keys).select("o_orderkey", "position")
+
+
 @query(
     "carry_forward_events",
     """
