@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from legwise.functions.numbers import div
-from legwise.functions.text import strip_text
+from legwise.functions.text import SPACES
 from legwise.schema import GAP_LIMIT_SECONDS
 
 _CLOCK = (
@@ -14,20 +14,21 @@ _CLOCK = (
 )
 
 
-def _part(parts: Column, index: int, weight: int) -> Column:
-    """Seconds of one part: 0 if there is none, NULL if it is not a whole number."""
-    value = strip_text(F.get(parts, F.lit(index))).try_cast("bigint") * weight
-    return F.when(F.size(parts) > index, value).otherwise(F.lit(0).cast("bigint"))
+def _spoken_seconds(text: Column) -> Column:
+    """Seconds of ``76h 00' 32''``; NULL if one of the first three parts is unreadable.
 
+    The appended parts stand for those left out.  Odd white space becomes a blank,
+    which the cast ignores at the ends of a number and rejects inside it.
+    """
+    odd = SPACES.replace(" ", "")
+    marks = F.translate(text, "h'\"-" + odd + " +", ":::0" + " " * len(odd))
+    parts = F.split(F.concat(marks, F.lit(":0:0")), ":")
+    hours, minutes, seconds = (F.get(parts, F.lit(i)).try_cast("bigint") for i in range(3))
+    return hours * 3600 + minutes * 60 + seconds
 
-def duration_seconds(text: Column) -> Column:
-    """Seconds of ``76h 00' 32''``-like text or of a clock time; otherwise 0.
 
-    Hours, minutes and seconds are the first three parts, a part left out adds
-    nothing, later parts are ignored, and one unreadable part makes it 0.
-    """
-    parts = F.split(F.translate(text, "h'\"- +", ":::0"), ":")
-    spoken = _part(parts, 0, 3600) + _part(parts, 1, 60) + _part(parts, 2, 1)
+def _clock_seconds(text: Column) -> Column:
+    """Seconds of a clock time, optionally after a date; NULL for other text."""
     hour = F.regexp_extract(text, _CLOCK, 1).try_cast("bigint")
     half = F.lower(F.regexp_extract(text, _CLOCK, 4))
     hour24 = (
@@ -36,10 +37,19 @@ def duration_seconds(text: Column) -> Column:
         .when((half == "pm") & hour.between(1, 12), hour % 12 + 12)
     )
     minutes = F.regexp_extract(text, _CLOCK, 2).try_cast("bigint") * 60
-    rest = F.coalesce(F.regexp_extract(text, _CLOCK, 3).try_cast("bigint"), F.lit(0))
-    clock = F.when(F.contains(text, F.lit(":")), hour24 * 3600 + minutes + rest)
-    seconds = F.when(F.contains(text, F.lit("h")), spoken).otherwise(clock)
-    return F.coalesce(seconds, F.lit(0).cast("bigint"))
+    seconds = F.coalesce(F.regexp_extract(text, _CLOCK, 3).try_cast("bigint"), F.lit(0))
+    return F.when(F.contains(text, F.lit(":")), hour24 * 3600 + minutes + seconds)
+
+
+def duration_seconds(text: Column) -> Column:
+    """Seconds of ``76h 00' 32''``-like text or of a clock time; otherwise 0.
+
+    Hours, minutes and seconds are the first three parts, a part left out adds
+    nothing, later parts are ignored, and one unreadable part makes it 0.
+    """
+    # a product, not a branch: the split text is then computed once for all parts
+    has_hours = F.when(F.contains(text, F.lit("h")), 1)
+    return F.coalesce(_spoken_seconds(text) * has_hours, _clock_seconds(text), F.lit(0).cast("bigint"))
 
 
 def plausible_gap(seconds: Column, limit: int = GAP_LIMIT_SECONDS) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from legwise.functions.numbers import to_number
 
 # Every character that counts as white space at the edges of a text.
-_SPACES = (
+SPACES = (
     "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
     "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 )
@@ -20,7 +20,7 @@ _CASED_RUNS = r"([\p{Lu}\p{Ll}\p{Lt}]+|[^\p{Lu}\p{Ll}\p{Lt}]+)"
 
 def strip_text(text: Column) -> Column:
     """Without white space of any kind at both ends."""
-    return F.trim(text, F.lit(_SPACES))
+    return F.trim(text, F.lit(SPACES))
 
 
 def cell_text(text: Column) -> Column:
