@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from legwise.functions.numbers import div
-from legwise.functions.text import SPACES
+from legwise.functions.numbers import SPACES, div
 from legwise.schema import GAP_LIMIT_SECONDS
 
 _CLOCK = (

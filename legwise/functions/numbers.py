@@ -6,7 +6,19 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _NUMBER = r"^\s*[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?\s*$"
-_WHOLE = r"^\s*[+-]?\d+(\.0*)?\s*$"
+_WHOLE = r"^[+-]?\d+(\.0*)?$"
+_NUMBER_START = r"^[+-]?\.?\d"
+
+# Every character that counts as white space at the edges of a text.
+SPACES = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+
+
+def strip_text(text: Column) -> Column:
+    """Without white space of any kind at both ends."""
+    return F.trim(text, F.lit(SPACES))
 
 
 def to_number(value: Column) -> Column:
@@ -39,15 +51,16 @@ def leg_number_text(value: Column) -> Column:
 def canonical(value: Column) -> Column:
     """One text per value: ``11.0`` and ``11`` agree, blanks trimmed, missing is ''.
 
-    Whole numbers go through DECIMAL(38,0), so long identifiers keep all digits.
+    Text that does not begin like a number is settled by the first test.  Whole
+    numbers go through DECIMAL(38,0), so long identifiers keep all digits.
     """
-    text = value.cast("string")
-    trimmed = F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
-    whole = F.regexp_extract(trimmed, r"^[+-]?\d+", 0).try_cast("decimal(38,0)").cast("string")
+    trimmed = strip_text(value.cast("string"))
+    word = F.when(F.lower(trimmed) == "nan", "").otherwise(trimmed)
+    whole = F.substring_index(trimmed, ".", 1).try_cast("decimal(38,0)").cast("string")
     return F.coalesce(
+        F.when(~trimmed.rlike(_NUMBER_START), word),
         F.when(trimmed.rlike(_WHOLE), whole),
         F.when(trimmed.rlike(_NUMBER), trimmed.try_cast("double").cast("string")),
-        F.when(F.isnan(value.try_cast("double")), F.lit("")),
         trimmed,
         F.lit(""),
     )

@@ -7,20 +7,10 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from legwise.functions.numbers import to_number
+from legwise.functions.numbers import strip_text, to_number
 
-# Every character that counts as white space at the edges of a text.
-SPACES = (
-    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
-    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
-)
 # A word is a run of letters that have case; everything else separates words.
-_CASED_RUNS = r"([\p{Lu}\p{Ll}\p{Lt}]+|[^\p{Lu}\p{Ll}\p{Lt}]+)"
-
-
-def strip_text(text: Column) -> Column:
-    """Without white space of any kind at both ends."""
-    return F.trim(text, F.lit(SPACES))
+_CASED_RUNS = r"([\p{IsUppercase}\p{IsLowercase}\p{Lt}]+|[^\p{IsUppercase}\p{IsLowercase}\p{Lt}]+)"
 
 
 def cell_text(text: Column) -> Column:

@@ -66,8 +66,10 @@ def with_seconds(df: DataFrame, times: str = "times", gap: str = "gap") -> DataF
     """Add total_seconds and gap_seconds; an absent text column counts as 0."""
     zero = F.lit(0).cast("bigint")
     total = duration_seconds(F.col(times)) if times in df.columns else zero
-    behind = plausible_gap(duration_seconds(F.col(gap))) if gap in df.columns else zero
-    return df.withColumns({"total_seconds": total, "gap_seconds": behind})
+    behind = duration_seconds(F.col(gap)) if gap in df.columns else zero
+    # a step of its own, so that the parsed gap is not computed again for the comparison
+    parsed = df.withColumns({"total_seconds": total, "gap_seconds": behind})
+    return parsed.withColumn("gap_seconds", plausible_gap(F.col("gap_seconds")))
 
 
 def leg_counts(legs: DataFrame, keys: Sequence[str] = EDITION_KEY) -> DataFrame:
@@ -108,17 +110,23 @@ def rebase_from_leader(
     return joined.withColumn(total, rebased).drop("_base", "_first_row")
 
 
+def timed_results(
+    df: DataFrame, order: Sequence[str] = ("row_no",), rebase_group: Sequence[str] = EDITION_KEY
+) -> DataFrame:
+    """Result types and seconds for the results of all editions at once."""
+    typed = with_seconds(df).withColumn("result_type", result_type(F.col(EDITION)))
+    zeroed = zero_unless_timed(typed, ["total_seconds", "gap_seconds"])
+    return rebase_from_leader(zeroed, order, rebase_group)
+
+
 def clean_results(
     df: DataFrame,
     legs: DataFrame,
     order: Sequence[str] = ("row_no",),
     rebase_group: Sequence[str] = EDITION_KEY,
 ) -> DataFrame:
-    """Types, leg counts and seconds for the results of all editions at once."""
-    typed = with_seconds(df).withColumn("result_type", result_type(F.col(EDITION)))
-    timed = zero_unless_timed(typed, ["total_seconds", "gap_seconds"])
-    counted = with_leg_counts(timed, legs)
-    return rebase_from_leader(counted, order, rebase_group)
+    """Result types, seconds and leg counts for the results of all editions at once."""
+    return with_leg_counts(timed_results(df, order, rebase_group), legs)
 
 
 def drop_empty_columns(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:

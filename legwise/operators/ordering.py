@@ -35,7 +35,8 @@ def _key(columns: Sequence[str]) -> Column:
 def range_rows(df: DataFrame, group: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Rows range partitioned by (group, order) and written with their chunk number.
 
-    Writing fixes the sampled boundaries; reading the plan twice would draw them again.
+    ``order`` should end in a column that tells rows of a group apart: rows equal
+    in all keys share a chunk.  Writing fixes the sampled boundaries; reading the plan twice would draw them again.
     """
     ranged = df.repartitionByRange(*_ascending([*group, *order]))
     return stage(ranged.withColumn(CHUNK, F.spark_partition_id()), "ranged")

@@ -11,7 +11,7 @@ from spark_queries.registry import query
 
 
 def cleaned(spark, sf_dir):
-    return clean.clean_results(views.results(spark, sf_dir), views.result_legs(spark, sf_dir))
+    return clean.timed_results(views.results(spark, sf_dir))
 
 
 _COVERAGE = f"""

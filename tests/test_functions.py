@@ -87,7 +87,7 @@ def test_round_half_even(evaluate):
 def test_title_case(evaluate):
     names = [
         "KATARZYNA NIEWIADOMA-PHINNEY", "ricarda (canyon//sram racing)", "alpe d'huez", "élise ÉPERNAY",
-        "ag2r 3m team", "o'neil", None, "",
+        "ag2r 3m team", "o'neil", None, "", "STRAßE ßx", "1ªETAPA", "中a", "ΑΣ", "3RD_b", "d’ARC",
     ]
     assert evaluate(X.title_case, names) == [n.title() if n is not None else None for n in names]
 
