@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from legwise.llm import rule_cascade
+from legwise.llm import piece_counts, rule_cascade, tier_packing
 from legwise.llm.registry import ORACLE, QUERIES, query, table
 
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+
 __all__ = ["ORACLE", "QUERIES"]
 
 #: Measures and verdict of op2 over a relation ``src(doc_id, text)``; {src} is its SELECT.
@@ -46,3 +49,14 @@ judged AS (
 )
 def op2_rule_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rule_cascade.judge(table(spark, sf_dir, "documents"))
+
+
+@query("op3_tier_packing")
+def op3_tier_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = tier_packing.pack(table(spark, sf_dir, "documents"), TOKENIZER)
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+@query("op10_piece_counts")
+def op10_piece_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_counts.count_tokens(table(spark, sf_dir, "documents"), TOKENIZER)
