@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from legwise.llm import piece_counts, rule_cascade, tier_packing
+from legwise.llm import piece_counts, rule_cascade, tier_packing, tree_extract, warc
 from legwise.llm.registry import ORACLE, QUERIES, query, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -60,3 +60,36 @@ def op3_tier_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_piece_counts")
 def op10_piece_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_counts.count_tokens(table(spark, sf_dir, "documents"), TOKENIZER)
+
+
+@query(
+    "op7_warc",
+    """
+WITH pages_ AS (
+  SELECT page_id, encode(coalesce(html, '')) AS payload, sha1(encode(coalesce(html, ''))) AS digest FROM pages),
+sized AS (SELECT page_id, payload, digest, octet_length(payload) AS payload_bytes FROM pages_),
+kept AS (SELECT *, max(page_id) OVER (PARTITION BY digest) AS response FROM sized),
+bits AS (SELECT *, list_transform(range(1, 41), lambda i: lpad(bin(('0x' || digest[i])::INTEGER), 4, '0')) AS b FROM kept)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes,
+       list_aggregate(list_transform(range(0, 32), lambda k:
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[1 + list_sum(list_transform(range(0, 5), lambda j:
+           array_to_string(b, '')[5 * k + j + 1]::INTEGER * (16 >> j::INTEGER)))::INTEGER]), 'string_agg', '') AS payload_digest,
+       CASE WHEN page_id = response THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> response THEN response END AS refers_to
+FROM bits""",
+)
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = warc.new_folder(spark)
+    files = warc.write(table(spark, sf_dir, "pages"), folder)
+    return warc.read(files, folder).select(
+        warc.record_number("record_id").cast("bigint").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        warc.record_number("refers_to").cast("bigint").alias("refers_to"),
+    )
+
+
+@query("op8_tree_extract")
+def op8_tree_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tree_extract.extract(table(spark, sf_dir, "pages"))
