@@ -42,6 +42,25 @@ def range_rows(df: DataFrame, group: Sequence[str], order: Sequence[str]) -> Dat
     return stage(ranged.withColumn(CHUNK, F.spark_partition_id()), "ranged")
 
 
+def number_all(df: DataFrame, order: Sequence[str], number: str = "position") -> DataFrame:
+    """Position 1..n over the whole table in ascending order, nulls last.
+
+    Rows are range partitioned, sorted and written with their place inside the
+    partition, so the only shuffle is the range partitioning; the rows before each
+    partition are a table of one row per partition.
+    """
+    ranged = df.repartitionByRange(*_ascending(order)).sortWithinPartitions(*_ascending(order))
+    placed = stage(ranged.withColumn("_place", F.monotonically_increasing_id()), "placed")
+    rows = placed.withColumn(CHUNK, F.shiftrightunsigned("_place", 33))
+    sizes = rows.groupBy(CHUNK).agg(F.count(F.lit(1)).alias("_size"))
+    window = Window.orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    before = sizes.select(F.col(CHUNK).alias("_c"), F.coalesce(F.sum("_size").over(window), F.lit(0)).alias("_before"))
+    inside = F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))
+    # one row per partition of the range shuffle
+    joined = rows.join(F.broadcast(before), F.col(CHUNK) == F.col("_c"))
+    return joined.withColumn(number, F.col("_before") + inside + 1).drop("_place", "_before", "_c", CHUNK)
+
+
 def _earlier(group: Sequence[str]):
     window = Window.partitionBy(*group).orderBy(CHUNK)
     return window.rowsBetween(Window.unboundedPreceding, -1)
