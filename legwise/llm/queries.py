@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from legwise.llm import piece_counts, rule_cascade, tier_packing, tree_extract, warc
+from legwise.llm import hilbert_shards, piece_counts, rule_cascade, string_tiling, tier_packing, tree_extract, warc
 from legwise.llm.registry import ORACLE, QUERIES, query, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -62,6 +62,28 @@ def op10_piece_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_counts.count_tokens(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+@query("op4_string_tiling")
+def op4_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return string_tiling.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select(
+        "doc_id", "item_id", "item_words", "covered_words", "coverage", F.size("tiles").cast("bigint").alias("n_tiles")
+    )
+
+
+@query("op6_hilbert_shards")
+def op6_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    written = hilbert_shards.write_shards(table(spark, sf_dir, "documents"), hilbert_shards.new_folder(spark))
+    text = F.coalesce("text", F.lit(""))
+    return written.select(
+        "doc_id",
+        (F.octet_length(text) + 1).cast("bigint").alias("size"),
+        F.crc32(text.cast("binary")).alias("text_crc32"),
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 @query(
     "op7_warc",
     """
