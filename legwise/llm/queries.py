@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from legwise.llm import hilbert_shards, piece_counts, rule_cascade, string_tiling, tier_packing, tree_extract, warc
+from legwise.llm import combination_join, hilbert_shards, piece_counts, rule_cascade, string_tiling, tier_packing, tree_extract, warc
 from legwise.llm.registry import ORACLE, QUERIES, query, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -69,6 +69,11 @@ def op4_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op5_combination_join")
+def op5_combination_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return combination_join.group(table(spark, sf_dir, "documents"))
+
+
 @query("op6_hilbert_shards")
 def op6_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     written = hilbert_shards.write_shards(table(spark, sf_dir, "documents"), hilbert_shards.new_folder(spark))
