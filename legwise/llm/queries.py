@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from legwise.llm import combination_join, hilbert_shards, piece_counts, rule_cascade, string_tiling, tier_packing, tree_extract, warc
+from legwise.llm import combination_join, hilbert_shards, piece_counts, pu_toxicity, rule_cascade, string_tiling, tier_packing, tree_extract, warc
 from legwise.llm.registry import ORACLE, QUERIES, query, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -57,6 +57,18 @@ def op3_tier_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+def remainder(divisor: int) -> Column:
+    """crc32 of the id as text, modulo the number of folds."""
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(divisor))
+
+
+@query("op9_pu_toxicity")
+def op9_pu_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = table(spark, sf_dir, "documents"), remainder(3) == 1
+    model = pu_toxicity.fit(docs, table(spark, sf_dir, "labels"), ~held_out)
+    return pu_toxicity.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 @query("op10_piece_counts")
 def op10_piece_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_counts.count_tokens(table(spark, sf_dir, "documents"), TOKENIZER)

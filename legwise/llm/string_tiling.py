@@ -38,14 +38,14 @@ COVERAGE = 0.6
 BLOCK_BYTES = 4 << 20
 _FILTER_BITS = 22
 
-_SEPARATOR = np.ones(256, bool)
-_SEPARATOR[128:] = False
+LETTERS_ONLY = np.ones(256, bool)
+LETTERS_ONLY[128:] = False
 for _low, _high in ((48, 57), (65, 90), (97, 122)):
-    _SEPARATOR[_low : _high + 1] = False
+    LETTERS_ONLY[_low : _high + 1] = False
 
 
 def _words(block: Block) -> Words:
-    starts, ends, bounds = word_spans(block.data, block.offsets, _SEPARATOR)
+    starts, ends, bounds = word_spans(block.data, block.offsets, LETTERS_ONLY)
     return Words(starts, ends, span_hash(prefix_hash(block.data), starts, ends), bounds)
 
 
