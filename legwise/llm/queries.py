@@ -6,13 +6,25 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from legwise.llm import combination_join, hilbert_shards, piece_counts, pu_toxicity, rule_cascade, string_tiling, tier_packing, tree_extract, warc
+from legwise.llm import combination_join, hilbert_shards, neighbour_vote, piece_counts, pu_toxicity, rule_cascade, string_tiling, tier_packing, tree_extract, warc
 from legwise.llm.registry import ORACLE, QUERIES, query, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 __all__ = ["ORACLE", "QUERIES"]
 
+def remainder(divisor: int) -> Column:
+    """crc32 of the id as text, modulo the number of folds."""
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(divisor))
+
+
+@query("op1_neighbour_vote")
+def op1_neighbour_vote(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = table(spark, sf_dir, "documents"), remainder(5) == 0
+    space = neighbour_vote.fit(docs, table(spark, sf_dir, "labels"), ~held_out)
+    return neighbour_vote.score(docs, space).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 #: Measures and verdict of op2 over a relation ``src(doc_id, text)``; {src} is its SELECT.
 RULES_SQL = r"""
 src AS ({src}),
@@ -57,11 +69,6 @@ def op3_tier_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
-def remainder(divisor: int) -> Column:
-    """crc32 of the id as text, modulo the number of folds."""
-    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(divisor))
-
-
 @query("op9_pu_toxicity")
 def op9_pu_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, held_out = table(spark, sf_dir, "documents"), remainder(3) == 1

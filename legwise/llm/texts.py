@@ -40,8 +40,8 @@ class Words(NamedTuple):
     bounds: np.ndarray  # words of text k: bounds[k] to bounds[k + 1]
 
 
-def blocks(column: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[Block]:
-    """The texts of a string column in order; null texts are empty."""
+def blocks(column: pa.Array, limit: int = BLOCK_BYTES, rows: int = 1 << 14) -> Iterator[Block]:
+    """The texts of a string column in order, ``rows`` in a block at most; null texts are empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     if not len(column):
@@ -53,7 +53,7 @@ def blocks(column: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[Block]:
     first = 0
     while first < len(column):
         last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + limit, "right")) - 1)
-        last = min(last, len(column))
+        last = min(last, first + rows, len(column))
         yield Block(first, data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first])
         first = last
 
