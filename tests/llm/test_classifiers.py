@@ -1,0 +1,118 @@
+"""Quality voting and toxicity learning: held-out accuracy, odd rows, and the formulas against plain versions."""
+
+from __future__ import annotations
+
+import random
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from legwise.llm import neighbour_vote, pu_toxicity
+from legwise.llm.queries import QUERIES
+from legwise.llm.texts import blocks
+
+SF = "/root/testdata/sf0.1"
+
+
+def text_of(draw, bad):
+    words = ["".join(draw.choice("abcdefgh") for _ in range(draw.randint(2, 7))) for _ in range(draw.randint(20, 80))]
+    if bad:
+        for _ in range(3):
+            words.insert(draw.randrange(len(words)), draw.choice(["nastyword", "uglyword", "vileword"]))
+    return " ".join(words).capitalize() + "."
+
+
+@pytest.fixture(scope="module")
+def toxic_table(spark):
+    draw = random.Random(5)
+    rows = [(i, text_of(draw, i % 10 == 0), i % 10 == 0, 0.5) for i in range(1500)]
+    rows += [(None, "a nastyword and an uglyword and a vileword here", True, 1.0), (5000, None, False, 0.0), (5001, "", False, 0.0), (3, rows[3][1], False, 0.0)]
+    docs = spark.createDataFrame([(r[0], r[1], r[3]) for r in rows], "doc_id bigint, text string, score double").repartition(4)
+    labels = spark.createDataFrame([(r[0], int(r[2])) for r in rows if r[0] is not None and r[0] % 3 == 0], "doc_id bigint, toxic int")
+    return docs, labels, rows
+
+
+def test_toxicity(spark, toxic_table):
+    docs, labels, rows = toxic_table
+    model = pu_toxicity.fit(docs, labels, F.col("doc_id") % 2 == 0)
+    got = pu_toxicity.score(docs, model).collect()
+    assert len(got) == len(rows) and all(0 <= r.score <= 1 for r in got)
+    by_id = {r.doc_id: r for r in got}
+    right = [by_id[r[0]].predicted == r[2] for r in rows if r[0] is None or r[0] < 5000]
+    assert np.mean(right) > 0.99 and by_id[None].predicted == 1
+    assert by_id[5000].score == by_id[5001].score < 0.5
+    assert pu_toxicity.score(docs.limit(0), model).count() == 0
+
+
+def test_toxicity_without_examples(spark, toxic_table):
+    docs, labels, rows = toxic_table
+    none = pu_toxicity.fit(docs, labels.where("toxic = 0"), F.lit(True))
+    assert pu_toxicity.score(docs, none).agg(F.max("score")).first()[0] < 0.05
+    assert pu_toxicity.score(docs, pu_toxicity.fit(docs.limit(0), labels.limit(0), F.lit(True))).count() == len(rows)
+
+
+def test_gradient_of_the_risk():
+    """One step of the estimator against numeric differences of the corrected risk."""
+    draw = np.random.default_rng(1)
+    rows = [np.flatnonzero(draw.random(6) < 0.5).astype(np.int32) for _ in range(40)]
+    places = np.arange(6, dtype=np.int32)
+    toxic, mixed = pu_toxicity._sparse(rows[:10], places), pu_toxicity._sparse(rows[10:], places)
+    weights, prior = draw.normal(size=6), 0.2
+
+    def risk(w):
+        p, u = toxic.sums(w), mixed.sums(w)
+        return prior * np.logaddexp(0, -p).mean() + np.logaddexp(0, u).mean() - prior * np.logaddexp(0, p).mean()
+
+    p, u = toxic.sums(weights), mixed.sums(weights)
+    as_clean = -prior * pu_toxicity._sigmoid(p) / 10
+    gradient = toxic.spread(as_clean - prior * pu_toxicity._sigmoid(-p) / 10, 6) + mixed.spread(pu_toxicity._sigmoid(u) / 30, 6)
+    numeric = [(risk(weights + 1e-6 * e) - risk(weights - 1e-6 * e)) / 2e-6 for e in np.eye(6)]
+    assert np.allclose(gradient, numeric, atol=1e-6)
+
+
+def test_votes_are_exact_cosines():
+    texts = [f"Some text number {i}. With words, and {'| ' * (i % 5)} marks {'!' * (i % 3)}" for i in range(60)]
+    block = next(blocks(pa.array(texts)))
+    found = neighbour_vote.terms(block)
+    idf = np.ones(found.shape[1])
+    axes = np.linalg.svd(found, full_matrices=False)[2][:8].T
+    vectors = found @ axes
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    labels = np.array([i % 2 for i in range(60)], float)
+    space = neighbour_vote.Space(idf, axes, vectors.astype(np.float32), labels, 0.5)
+    got = neighbour_vote.vote(space, block, 5)
+    for k in range(60):
+        cosines = vectors @ vectors[k]
+        near = np.argsort(-cosines)[:5]
+        if np.sort(cosines)[-6] < cosines[near[-1]] - 1e-4:  # no tie at the border
+            weights = np.maximum(cosines[near], 0) ** neighbour_vote.SHARPNESS
+            assert got[k] == pytest.approx((weights * labels[near]).sum() / weights.sum(), abs=1e-3)
+
+
+def test_odd_rows_of_the_vote(spark):
+    good, bad = "A plain sentence with some words in it, and another one. ", "WORD!! | ### WORD!! | $$$ "
+    rows = [(i, (good if i % 2 else bad) * (3 + i % 7), i) for i in range(80)]
+    rows += [(None, good * 4, 0), (100, None, 0), (101, "", 0), (102, " \n", 0), (1, good, 0), (103, bad * 20_000, 0)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, label int").repartition(3)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)] + [(61, None), (None, 1)], "doc_id bigint, quality int")
+    space = neighbour_vote.fit(docs, labels, F.col("doc_id") % 5 != 0)
+    got = neighbour_vote.score(docs, space).collect()
+    assert len(got) == len(rows)
+    by_id = {r.doc_id: r for r in got}
+    assert all(by_id[i].predicted == i % 2 for i in range(80)) and by_id[None].predicted == 1 and by_id[103].predicted == 0
+    assert by_id[100].score == by_id[101].score == by_id[102].score == pytest.approx(space.share)
+    kept = neighbour_vote.keep(docs, space)
+    assert kept.columns == docs.columns and kept.count() == sum(r.predicted for r in got)
+    assert neighbour_vote.fit(docs, labels.limit(0), F.lit(True)) is None
+    assert {r.score for r in neighbour_vote.score(docs, None).collect()} == {0.5}
+    assert neighbour_vote.score(docs.limit(0), space).count() == 0
+
+
+@pytest.mark.parametrize(("name", "label", "least"), [("op1_neighbour_vote", "quality", 0.98), ("op9_pu_toxicity", "toxic", 0.9)])
+def test_held_out_accuracy(spark, name, label, least):
+    found = QUERIES[name](spark, SF)
+    assert found.columns[:4] == ["doc_id", "held_out", "score", "predicted"] and found.count() == 10_000
+    judged = found.where("held_out").join(spark.read.parquet(f"{SF}/labels.parquet"), "doc_id")
+    assert judged.agg(F.avg((F.col("predicted") == F.col(label)).cast("double"))).first()[0] > least

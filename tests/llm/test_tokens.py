@@ -44,10 +44,16 @@ def test_ids_around_every_character_class():
     assert ours(text) == library_ids(text)
 
 
+def test_long_runs_take_the_librarys_own_way():
+    for text in ("ab" * 150_000, " " * 200_000, "x " * 9000 + "y" * 5000 + "\n" * 5000 + "<|endoftext|>z"):
+        assert ours(text) == library_ids(text)
+
+
 def test_long_texts_are_split_in_safe_places(monkeypatch):
     monkeypatch.setattr(pretokens, "SEGMENT", 50)
     text = "It's a  long text, with\n\n lines and 'quotes' " * 40 + "y" * 400
-    assert ours(text) == library_ids(text)
+    code = pretokens.encoder(pretokens.definition(PATH))
+    assert sum((ids for part in code.pretokens(text) for ids in code.encode(part)), []) == library_ids(text)
 
 
 @pytest.fixture(scope="module")
