@@ -121,41 +121,56 @@ def tiles(found: list[tuple[int, int, int]], item_words: int, document_words: in
     return chosen
 
 
+def _covering(column: pa.Array, table: Items, threshold: float):
+    """Row, item, item's words, covered words and tiles of every pair that reaches the threshold."""
+    for block in blocks(column):
+        words = _words(block)
+        for size, at, which, places in table.seeds(words.hashes):
+            document = np.searchsorted(words.bounds, at, "right") - 1
+            inside = at + size <= words.bounds[document + 1]  # no window over two texts
+            pair = document[inside] * len(table.hashes) + which[inside]
+            order = np.argsort(pair, kind="stable")
+            pair, at, places = pair[order], at[inside][order], places[inside][order]
+            begins = np.flatnonzero(np.diff(pair, prepend=-1))
+            for low, high in zip(begins, np.append(begins[1:], len(pair))):
+                k, item = divmod(int(pair[low]), len(table.hashes))
+                start, end = int(words.bounds[k]), int(words.bounds[k + 1])
+                total = len(table.hashes[item])
+                found = matches(size, at[low:high] - start, places[low:high])
+                chosen = tiles(found, total, end - start, min(table.min_match, total))
+                covered = sum(length for _, _, length in chosen)
+                if covered >= threshold * total:
+                    yield block.first + k, item, total, covered, chosen
+
+
 def _tiled(batches, items, ids: list, id_type: pa.DataType, threshold: float):
     names = ["key", "item", "item_words", "covered_words", "coverage", "tiles"]
     tile_type = pa.list_(pa.struct([("item_word", pa.int32()), ("document_word", pa.int32()), ("words", pa.int32())]))
-    table: Items = items.value
     for batch in batches:
-        keys, rows, wanted = batch.column(0), [], []
-        for block in blocks(batch.column(1)):
-            words = _words(block)
-            for size, at, which, places in table.seeds(words.hashes):
-                document = np.searchsorted(words.bounds, at, "right") - 1
-                inside = at + size <= words.bounds[document + 1]  # no window over two texts
-                pair = document[inside] * len(table.hashes) + which[inside]
-                order = np.argsort(pair, kind="stable")
-                pair, at, places = pair[order], at[inside][order], places[inside][order]
-                begins = np.flatnonzero(np.diff(pair, prepend=-1))
-                for low, high in zip(begins, np.append(begins[1:], len(pair))):
-                    k, item = divmod(int(pair[low]), len(table.hashes))
-                    start, end = int(words.bounds[k]), int(words.bounds[k + 1])
-                    total = len(table.hashes[item])
-                    found = matches(size, at[low:high] - start, places[low:high])
-                    chosen = tiles(found, total, end - start, min(table.min_match, total))
-                    covered = sum(length for _, _, length in chosen)
-                    if covered >= threshold * total:
-                        wanted.append(block.first + k)
-                        spans = [{"item_word": i, "document_word": j, "words": n} for i, j, n in sorted(chosen)]
-                        rows.append((ids[item], total, covered, covered / total, spans))
-        if rows:
-            item, total, covered, coverage, spans = zip(*rows)
+        found = list(_covering(batch.column(1), items.value, threshold))
+        if found:
+            rows, item, total, covered, chosen = zip(*found)
+            spans = [[{"item_word": i, "document_word": j, "words": n} for i, j, n in sorted(c)] for c in chosen]
             yield pa.RecordBatch.from_arrays(
-                [keys.take(pa.array(wanted)), pa.array(item, id_type), pa.array(total, pa.int64()),
-                 pa.array(covered, pa.int64()), pa.array(coverage, pa.float64()), pa.array(spans, tile_type)],
+                [batch.column(0).take(pa.array(rows)), pa.array([ids[i] for i in item], id_type), pa.array(total, pa.int64()),
+                 pa.array(covered, pa.int64()), pa.array([c / t for c, t in zip(covered, total)], pa.float64()),
+                 pa.array(spans, tile_type)],
                 names,
             )
 
 
+def _item_blocks(benchmark: DataFrame, item_text: str, item_key: str, min_match: int, block_bytes: int):
+    """Broadcast windows and ids of each block of the benchmark."""
+    items = benchmark.select(F.col(f"`{item_key}`").alias("item"), F.lower(F.col(f"`{item_text}`").cast("string")).alias("text"))
+    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    count = max(1, -(-size // block_bytes))
+    for k in range(count):
+        # a bounded part of the benchmark, see ``block_bytes``
+        rows = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(count)) == k).orderBy("item", "text").collect()
+        windows = Items([r.text or "" for r in rows], min_match)
+        yield benchmark.sparkSession.sparkContext.broadcast(windows), [r.item for r in rows]
+
+
 def contaminated(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -172,12 +187,8 @@ def contaminated(
     Columns: ``key``, ``item_key``, ``item_words``, ``covered_words``, ``coverage`` and
     ``tiles``, the matched word runs.
     """
-    spark = docs.sparkSession
-    items = benchmark.select(F.col(f"`{item_key}`").alias("item"), F.lower(F.col(f"`{item_text}`").cast("string")).alias("text"))
     rows = docs.select(F.col(f"`{key}`").alias("key"), F.lower(F.col(f"`{text}`").cast("string")).alias("text"))
-    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    count = max(1, -(-size // block_bytes))
-    kind = items.schema["item"].dataType
+    kind = benchmark.schema[item_key].dataType
     item_type = to_arrow_type(kind)
     fields = StructType.fromDDL(
         "item_words bigint, covered_words bigint, coverage double,"
@@ -185,11 +196,33 @@ def contaminated(
     ).fields
     schema = StructType([StructField("key", rows.schema["key"].dataType), StructField("item", kind), *fields])
     result = None
-    for k in range(count):
-        # a block is a bounded part of the benchmark, see ``block_bytes``
-        block = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(count)) == k).orderBy("item", "text").collect()
-        shared = spark.sparkContext.broadcast(Items([r.text or "" for r in block], min_match))
-        ids = [r.item for r in block]
+    for shared, ids in _item_blocks(benchmark, item_text, item_key, min_match, block_bytes):
         found = rows.mapInArrow(lambda b, s=shared, i=ids: _tiled(b, s, i, item_type, threshold), schema)
         result = found if result is None else result.unionAll(found)
     return result.select(F.col("key").alias(key), F.col("item").alias(item_key), *[f.name for f in fields])
+
+
+def _clean(batches, items, threshold: float):
+    for batch in batches:
+        place = batch.num_columns - 1
+        keep = np.ones(batch.num_rows, bool)
+        keep[[row for row, *_ in _covering(batch.column(place), items.value, threshold)]] = False
+        yield batch.select(range(place)).filter(pa.array(keep))
+
+
+def remove(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    text: str = "text",
+    item_text: str = "text",
+    item_key: str = "item_id",
+    min_match: int = MIN_MATCH,
+    threshold: float = COVERAGE,
+    block_bytes: int = BLOCK_BYTES,
+) -> DataFrame:
+    """The rows of ``docs`` that are not contaminated, with their own columns and without a shuffle."""
+    schema = docs.schema
+    for shared, _ in _item_blocks(benchmark, item_text, item_key, min_match, block_bytes):
+        with_text = docs.select("*", F.lower(F.col(f"`{text}`").cast("string")).alias("_folded_text"))
+        docs = with_text.mapInArrow(lambda b, s=shared: _clean(b, s, threshold), schema)
+    return docs
