@@ -58,9 +58,9 @@ def test_hot_group_is_split_over_chunks(spark, skewed):
     _, df = skewed
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        chunked = range_rows(df, ["g"], ["k", "id"])
+        chunked = range_rows(df, ["g"], ["k", "id"], first={"first_id": "id"})
         assert chunked.where(F.col("g") == "hot").select(CHUNK).distinct().count() > 1
-        led = position_rows(chunked, ["g"], ["k", "id"], "n", {"first_id": "id"})
+        led = position_rows(chunked, ["g"], "n", ["first_id"])
         got = {row.g: row.first_id for row in led.select("g", "first_id").distinct().collect()}
         numbers = sorted(row.n for row in led.where(F.col("g") == "hot").select("n").collect())
     finally:
