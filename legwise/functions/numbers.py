@@ -32,7 +32,19 @@ def to_number(value: Column) -> Column:
 
 
 def is_whole(number: Column) -> Column:
-    return number == F.floor(number)
+    return number == F.rint(number)
+
+
+def whole_number(value: Column) -> Column:
+    """BIGINT of a whole number however it is written, every digit kept; otherwise NULL.
+
+    Only exponent forms go through DOUBLE, and only as far as it is exact.
+    """
+    text = F.trim(value.cast("string"))
+    digits = F.substring_index(text, ".", 1).try_cast("decimal(38,0)").try_cast("bigint")
+    number = to_number(text)
+    exact = is_whole(number) & (F.abs(number) <= 2**53)
+    return F.when(text.rlike(_WHOLE), digits).otherwise(F.when(exact, number.cast("bigint")))
 
 
 def div(a: Column, b: int) -> Column:
@@ -52,15 +64,18 @@ def canonical(value: Column) -> Column:
     """One text per value: ``11.0`` and ``11`` agree, blanks trimmed, missing is ''.
 
     Text that does not begin like a number is settled by the first test.  Whole
-    numbers go through DECIMAL(38,0), so long identifiers keep all digits.
+    numbers go through DECIMAL(38,0), so long identifiers keep all digits and
+    ``1.0E7``, as a DOUBLE is written, agrees with ``10000000``.
     """
     trimmed = strip_text(value.cast("string"))
     word = F.when(F.lower(trimmed) == "nan", "").otherwise(trimmed)
+    number = trimmed.try_cast("double")
     whole = F.substring_index(trimmed, ".", 1).try_cast("decimal(38,0)").cast("string")
     return F.coalesce(
         F.when(~trimmed.rlike(_NUMBER_START), word),
         F.when(trimmed.rlike(_WHOLE), whole),
-        F.when(trimmed.rlike(_NUMBER), trimmed.try_cast("double").cast("string")),
+        F.when(trimmed.rlike(_NUMBER) & is_whole(number), number.try_cast("decimal(38,0)").cast("string")),
+        F.when(trimmed.rlike(_NUMBER), number.cast("string")),
         trimmed,
         F.lit(""),
     )

@@ -41,8 +41,11 @@ def apply_overrides(
     keys: Sequence[str] = EDITION_KEY,
     override: str = "override",
 ) -> DataFrame:
-    """Replace ``value`` where it is 0 and an override exists for the keys."""
-    joined = attach(df, overrides.select(*keys, F.col(override).alias("_override")), keys)
+    """Replace ``value`` where it is 0 and an override exists for the keys.
+
+    ``overrides`` is a list of literal rows or a stored table, so Spark knows its size.
+    """
+    joined = attach(df, overrides.select(*keys, F.col(override).alias("_override")), keys, written=True)
     replaced = F.when((F.col(value) == 0) & F.col("_override").isNotNull(), F.col("_override"))
     return joined.withColumn(value, replaced.otherwise(F.col(value))).drop("_override")
 

@@ -33,6 +33,7 @@ from legwise.schema import (
     TAB_LINK_ATTRIBUTE,
 )
 from legwise.sources.tables import missing_to_null
+from legwise.staging import stage
 
 POINTS_CODES = ("ipe", "ime")
 TIMED_CODES = ("ite", "ije", "ice")
@@ -53,6 +54,20 @@ def with_page(
     return df.withColumn(into, content)
 
 
+def one_page_per_url(pages: DataFrame) -> DataFrame:
+    """One row per address; of a page stored more than once the one with the smallest text hash.
+
+    Only the repeated addresses, a small written table, are aggregated; the other
+    pages stay where they are.
+    """
+    repeated = stage(pages.groupBy("url").count().where("count > 1").select(F.col("url").alias("_url")), "repeated")
+    again = F.col("url").eqNullSafe(F.col("_url"))
+    chosen = pages.join(repeated, again, "left_semi").groupBy("url").agg(
+        F.min_by("html", F.xxhash64("html")).alias("html")
+    )
+    return pages.select("url", "html").join(repeated, again, "left_anti").unionByName(chosen)
+
+
 # --- links ------------------------------------------------------------------
 
 
@@ -150,7 +165,7 @@ def heading_edition(page: Column) -> Column:
 def stated_distance(page: Column) -> Column:
     """Second figure of the page without blanks and commas, rounded half to even."""
     figure = F.translate(F.get(page["figures"], F.lit(1)), " ,", "")
-    return round_half_even(to_number(figure)).cast("int")
+    return round_half_even(to_number(figure)).try_cast("int")
 
 
 def leg_list(df: DataFrame, page: str = "page") -> DataFrame:
@@ -169,10 +184,10 @@ def leg_list(df: DataFrame, page: str = "page") -> DataFrame:
 
 
 def tab_links(df: DataFrame, keys: Sequence[str], prefix: Column, page: str = "page") -> DataFrame:
-    """Absolute address per tab label; a later duplicate label wins."""
-    tabs = df.select(*keys, prefix.alias("_prefix"), F.posexplode(F.col(page)["tabs"]).alias("pos", "tab"))
+    """Absolute address per tab label; of equal labels an active button wins, then the later one."""
+    tabs = df.select(*keys, prefix.alias("_prefix"), F.posexplode(F.col(page)["tabs"]).alias("_at", "tab"))
     flat = tabs.select(
-        *keys, "pos", F.col("tab.label").alias("label"), F.concat("_prefix", "tab.link").alias("link")
+        *keys, F.struct("tab.active", "_at").alias("pos"), F.col("tab.label").alias("label"), F.concat("_prefix", "tab.link").alias("link")
     )
     return last_link_per_label(flat, keys)
 
@@ -247,7 +262,7 @@ def standings_rows(df: DataFrame, table: Column, bibs: Column, page: str = "page
     return rows.select(
         *keys,
         F.col("row_no").cast("bigint").alias("row_no"),
-        to_number(cell("Rank")).cast("int").alias("rank"),
+        to_number(cell("Rank")).try_cast("int").alias("rank"),
         cell("Rank").alias("rank_text"),
         cell("Rider").alias("participant"),
         bib_number(F.col("_bib")).alias("bib"),
@@ -288,6 +303,20 @@ def ranking_page_keys(pages: DataFrame) -> DataFrame:
     )
 
 
+def page_keys(pages: DataFrame) -> DataFrame:
+    """Address, ranking link, leg number and code of every page; other pages are linked by their address."""
+    url = F.col("url")
+    ranking = F.contains(url, F.lit("?stage="))
+    leg = to_number(F.regexp_extract(url, r"[?&]stage=([^&]*)", 1))
+    return pages.select(
+        "url",
+        F.when(ranking, F.substring_index(url, "?", 1)).otherwise(url).alias("link"),
+        F.when(ranking, leg).alias("leg"),
+        F.when(ranking, F.regexp_extract(url, r"[?&]type=([^&]*)", 1)).alias("code"),
+        "html",
+    )
+
+
 def checkpoint_rows(rows: Column) -> Column:
     """Position and text of the single-cell rows, which name a checkpoint."""
     at, text = F.lit("at"), F.lit("text")
@@ -301,23 +330,42 @@ def checkpoint_rows(rows: Column) -> Column:
     return F.array_compact(marked)
 
 
-def carried_checkpoint(checkpoints: Column, position: Column) -> Column:
-    """Text of the latest checkpoint up to ``position``; NULL before the first.
+def rows_below_checkpoints(rows: Column, checkpoints: Column) -> Column:
+    """The rows as structs (row_no, checkpoint, row); the rows of the checkpoints themselves are left out.
 
-    The checkpoints of a page travel with its rows, so this needs no window.
+    Each checkpoint's run of rows is cut out once, so a page costs its length.
     """
-    above = F.filter(checkpoints, lambda c: c["at"] <= position)
-    return F.try_element_at(above, F.lit(-1))["text"]
+    start = F.named_struct(F.lit("at"), F.lit(-1), F.lit("text"), F.lit(None).cast("string"))
+    begins = F.concat(F.array(start), F.coalesce(checkpoints, F.array().cast("array<struct<at:int,text:string>>")))
+    later = F.slice(begins, F.lit(2), F.size(begins))
+    ends = F.concat(F.transform(later, lambda c: c["at"]), F.array(F.size(rows)))
+    runs = F.zip_with(
+        begins, ends,
+        lambda c, end: F.named_struct(F.lit("text"), c["text"], F.lit("first"), c["at"] + 1, F.lit("count"), end - c["at"] - 1),
+    )
+    below = F.transform(
+        runs,
+        lambda run: F.transform(
+            F.slice(rows, run["first"] + 1, run["count"]),
+            lambda r, i: F.named_struct(F.lit("row_no"), run["first"] + i, F.lit("checkpoint"), run["text"], F.lit("row"), r),
+        ),
+    )
+    return F.flatten(below)
 
 
 def ranking_rows(
-    df: DataFrame, code: str = "code", page: str = "page", css_class: str = RANKING_TABLE_CLASS
+    df: DataFrame,
+    code: str = "code",
+    page: str = "page",
+    css_class: str = RANKING_TABLE_CLASS,
+    keep_short: bool = False,
 ) -> DataFrame:
     """Ranking rows of pages of any classification, in one wide layout.
 
-    A table of a header and at most one row holds no ranking.  Rows with too few
-    cells are left out.  Points and climber tables name a checkpoint in
-    single-cell rows, which applies to the rows below.
+    A table of a header and at most one row holds no ranking.  Points and climber
+    tables name a checkpoint in single-cell rows, which applies to the rows below.
+    Rows with too few cells are left out; ``keep_short`` keeps them, marked by the
+    column ``short_cells`` (their number of cells, NULL for whole rows).
     """
     keys = [c for c in df.columns if c != page]
     kind = F.col(code)
@@ -326,21 +374,20 @@ def ranking_rows(
     listed = found.select(
         *keys, F.when(F.size("_all") > 2, F.slice("_all", F.lit(2), F.size("_all"))).alias("_rows")
     )
-    # computed before the rows are exploded, so that each row carries the
-    # checkpoints of its page but not the page
+    # computed before the rows are exploded, so that a row carries its own checkpoint only
     marked = listed.withColumn("_checkpoints", F.when(points, checkpoint_rows(F.col("_rows"))))
-    exploded = marked.select(*keys, "_checkpoints", F.posexplode("_rows").alias("row_no", "_row"))
+    exploded = marked.select(*keys, F.inline(rows_below_checkpoints(F.col("_rows"), F.col("_checkpoints"))))
     needed = (
         F.when(points | timed, 4)
         .when(team, 3)
         .otherwise(F.raise_error(F.concat(F.lit("unknown classification code "), kind)).cast("int"))
     )
-    cells = F.col("_row.cells")
+    cells = F.col("row.cells")
 
     def at(index: int) -> Column:
         return strip_text(F.get(cells, F.lit(index)))
 
-    return exploded.where(F.size(cells) >= needed).select(
+    wide = exploded.where(F.size(cells) >= (F.lit(1) if keep_short else needed)).select(
         *keys,
         F.col("row_no").cast("bigint").alias("row_no"),
         at(0).alias("rank_text"),
@@ -351,8 +398,10 @@ def ranking_rows(
         F.when(kind == "ipe", at(4)).when(kind == "ite", at(5)).alias("bonus"),
         F.when(kind == "ite", at(6)).alias("penalty"),
         F.when(points, at(3)).alias("points"),
-        F.when(points, carried_checkpoint(F.col("_checkpoints"), F.col("row_no"))).alias("checkpoint"),
+        F.when(points, F.col("checkpoint")).alias("checkpoint"),
+        F.when(F.size(cells) < needed, F.size(cells)).alias("short_cells"),
     )
+    return wide if keep_short else wide.drop("short_cells")
 
 
 def missing_rankings(grid: DataFrame, rows: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -24,13 +24,16 @@ def left_join_nullsafe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -
     return left.join(renamed, matched, "left").drop(*[f"_r_{k}" for k in keys])
 
 
-def attach(df: DataFrame, constants: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
+def attach(
+    df: DataFrame, constants: DataFrame, keys: Sequence[str], how: str = "left", written: bool = False
+) -> DataFrame:
     """Add per-group constants to every row.
 
     The constants are written first, so Spark knows their size: below the broadcast
-    threshold the rows are not shuffled, above it both sides are.
+    threshold the rows are not shuffled, above it both sides are.  ``written`` says that
+    their size is known as they are, as that of a stored table or of literal rows is.
     """
-    return df.join(stage(constants, "constants"), list(keys), how)
+    return df.join(constants if written else stage(constants, "constants"), list(keys), how)
 
 
 def without(df: DataFrame, keys_of: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -8,9 +8,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from legwise.functions.numbers import is_whole, leg_number_text, to_number
+from legwise.functions.numbers import leg_number_text, to_number, whole_number
 from legwise.operators.ordering import number_rows
-from legwise.schema import TableSpec
+from legwise.schema import Role, Roles, having
 
 logger = logging.getLogger(__name__)
 
@@ -20,9 +20,8 @@ def _col(name: str) -> Column:
 
 
 def _lossless(name: str) -> Column:
-    """Whether every value present is a whole number; true for no rows."""
-    number = to_number(_col(name))
-    keeps = _col(name).isNull() | F.coalesce(is_whole(number), F.lit(False))
+    """Whether every value present is a whole number that BIGINT holds; true for no rows."""
+    keeps = _col(name).isNull() | whole_number(_col(name)).isNotNull()
     return F.coalesce(F.every(keeps), F.lit(True))
 
 
@@ -45,34 +44,34 @@ def to_integers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         logger.warning("column %r holds values that are not whole numbers; left as is", name)
     return df.select(
         *[
-            to_number(_col(c)).cast("bigint").alias(c) if verdict.get(c) else _col(c)
+            whole_number(_col(c)).alias(c) if verdict.get(c) else _col(c)
             for c in df.columns
         ]
     )
 
 
-def numeric_keys(spec: TableSpec, available: Sequence[str]) -> list[Column]:
-    """The spec's sort columns as numbers, nulls last; absent columns are skipped."""
-    return [to_number(_col(c)).asc_nulls_last() for c in spec.sort_columns if c in available]
+def numeric_keys(roles: Roles, available: Sequence[str]) -> list[Column]:
+    """The key columns as numbers, nulls last; absent columns are skipped."""
+    return [to_number(_col(c)).asc_nulls_last() for c in having(roles, Role.KEY) if c in available]
 
 
-def apply_spec(df: DataFrame, spec: TableSpec) -> DataFrame:
+def apply_roles(df: DataFrame, roles: Roles) -> DataFrame:
     """Whole-number columns as integers and leg numbers as minimal text."""
-    cast = to_integers(df, [c for c in spec.integer_columns if c in df.columns])
-    formatted = {c: leg_number_text(_col(c)) for c in spec.leg_number_columns if c in df.columns}
+    cast = to_integers(df, [c for c in having(roles, Role.WHOLE) if c in df.columns])
+    formatted = {c: leg_number_text(_col(c)) for c in having(roles, Role.LEG) if c in df.columns}
     return cast.withColumns(formatted) if formatted else cast
 
 
-def ordered(df: DataFrame, spec: TableSpec, ties: Sequence[str]) -> DataFrame:
+def ordered(df: DataFrame, roles: Roles, ties: Sequence[str]) -> DataFrame:
     """Rows in numeric key order; ``ties`` (the source order) settles equal keys."""
-    return df.orderBy(*numeric_keys(spec, df.columns), *[_col(c).asc_nulls_last() for c in ties])
+    return df.orderBy(*numeric_keys(roles, df.columns), *[_col(c).asc_nulls_last() for c in ties])
 
 
 def numeric_positions(
-    df: DataFrame, spec: TableSpec, ties: Sequence[str], number: str = "position"
+    df: DataFrame, roles: Roles, ties: Sequence[str], number: str = "position"
 ) -> DataFrame:
     """Each row's 1-based position in numeric key order, without one task holding all rows."""
-    keys = [c for c in spec.sort_columns if c in df.columns]
+    keys = [c for c in having(roles, Role.KEY) if c in df.columns]
     keyed = df.withColumns({f"_key_{i}": to_number(_col(c)) for i, c in enumerate(keys)})
     names = [f"_key_{i}" for i in range(len(keys))]
     return number_rows(keyed, [], [*names, *ties], number).drop(*names)

@@ -19,17 +19,18 @@ def missing_to_null(text: Column) -> Column:
 
 
 # Columns that put scanned CSV rows back into the order of their files.
-SOURCE_ORDER = ("_file", "_block", "_line")
+SOURCE_ORDER = ("_part", "_file", "_block", "_line")
 
 
 def scan_csv(
-    spark: SparkSession, path: str, multiline: bool = False, with_order: bool = False
+    spark: SparkSession, path: str, multiline: bool = True, with_order: bool = False
 ) -> DataFrame:
     """A CSV with header as text columns, missing markers as NULL.
 
-    ``multiline`` reads quoted line breaks; such files cannot be split, so it is off by default.
-    ``with_order`` adds the columns of SOURCE_ORDER: file, start of the split in it, and a
-    number that grows with the rows of a split.  Partition numbers alone do not follow the files.
+    Quoted line breaks are read by default, one file by one task.  ``multiline=False`` splits
+    large files and is only for those without such cells.
+    ``with_order`` adds the columns of SOURCE_ORDER: number in a part file's name, file, start of
+    the split in it, and a number that grows with the rows of a split.
     """
     raw = (
         spark.read.option("header", True)
@@ -39,8 +40,9 @@ def scan_csv(
     )
     columns = [missing_to_null(F.col(f"`{c}`")).alias(c) for c in raw.columns]
     if with_order:
+        part = F.regexp_extract("_metadata.file_name", r"^part-(\d+)", 1).try_cast("bigint")
         origin = ("_metadata.file_path", "_metadata.file_block_start")
-        places = [*[F.col(c) for c in origin], F.monotonically_increasing_id()]
+        places = [F.coalesce(part, F.lit(-1)), *[F.col(c) for c in origin], F.monotonically_increasing_id()]
         columns += [place.alias(name) for place, name in zip(places, SOURCE_ORDER)]
     return raw.select(*columns)
 
@@ -104,10 +106,12 @@ def replace_editions(
 def _writer(df: DataFrame, partition_by: Sequence[str], sort_by: Sequence[str]):
     balanced = df.hint("rebalance", *partition_by)
     if sort_by:
-        balanced = balanced.sortWithinPartitions(*partition_by, *sort_by)
+        balanced = balanced.sortWithinPartitions(*[F.col(c).asc_nulls_last() for c in (*partition_by, *sort_by)])
     return balanced.write.partitionBy(*partition_by)
 
 
 def export_csv(df: DataFrame, path: str) -> None:
-    """CSV with header and without an index; missing values are empty cells."""
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    """CSV with header and without an index; missing values are empty cells, blanks at the ends stay."""
+    writer = df.write.mode("overwrite").option("header", True).option("escape", '"')
+    kept = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    writer.options(**kept).csv(path)

@@ -13,6 +13,7 @@ with AQE splitting skewed partitions.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -30,7 +31,7 @@ def shared_folder(spark: SparkSession) -> str:
     if folder is None:
         named = spark.conf.get("spark.checkpoint.dir", None)
         if named is None:
-            if not context.master.startswith("local"):
+            if not re.fullmatch(r"local(\[.*\])?", context.master):
                 raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
             named = tempfile.mkdtemp(prefix="legwise-")
         context.setCheckpointDir(named)
@@ -46,10 +47,18 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Rows over all cores before a Python step, if the scan has fewer splits than cores.
+def release(spark: SparkSession) -> None:
+    """Delete everything this application has staged.
 
-    Only for plans without a shuffle.  A table read in enough splits is left as it is.
+    The application owns its staged tables: it calls this when the last table made from
+    them has been written, at the latest before it stops its session.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    folder = spark.sparkContext.getCheckpointDir()
+    if folder is not None:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def spread(df: DataFrame, partitions: int) -> DataFrame:
+    """Rows dealt over ``partitions`` tasks, for heavy work per row on a table of few splits."""
+    return df.repartition(partitions)

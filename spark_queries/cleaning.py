@@ -8,7 +8,7 @@ from legwise.functions import durations as D
 from legwise.functions import numbers as N
 from legwise.functions import text as X
 from legwise.operators import clean, normalise
-from legwise.schema import TableSpec
+from legwise.schema import Role
 from spark_queries import views
 from spark_queries.registry import query
 from spark_queries.views import spread_table, table
@@ -447,5 +447,27 @@ def lossless_int_check(spark, sf_dir):
 )
 def normalise_table(spark, sf_dir):
     """Whole-number columns become integers, the one holding a word stays, legs are minimal text."""
-    spec = TableSpec(("Year", "Rank"), ("Year", "Rank", "Rider No."), ("Stages",))
-    return normalise.apply_spec(_texts(spark, sf_dir).drop("Tax"), spec)
+    roles = {"Year": Role.KEY | Role.WHOLE, "Rank": Role.KEY | Role.WHOLE, "Rider No.": Role.WHOLE, "Stages": Role.LEG}
+    return normalise.apply_roles(_texts(spark, sf_dir).drop("Tax"), roles)
+
+
+@query(
+    "whole_numbers_exact",
+    """
+    SELECT l_orderkey, l_linenumber,
+           CASE l_linenumber % 5 WHEN 0 THEN 9007199254740993 + l_partkey WHEN 1 THEN CAST(l_partkey AS BIGINT)
+                WHEN 2 THEN CAST(l_partkey * 1000 AS BIGINT) END AS value
+    FROM lineitem
+    """,
+)
+def whole_numbers_exact(spark, sf_dir):
+    """Whole numbers of 16 digits, with zeros behind the point and with exponents; fractions and words are none."""
+    part, line = F.col("l_partkey"), F.col("l_linenumber") % 5
+    text = (
+        F.when(line == 0, (part + 9007199254740993).cast("string"))
+        .when(line == 1, F.concat(F.lit(" +"), part.cast("string"), F.lit(".00 ")))
+        .when(line == 2, F.concat(part.cast("string"), F.lit("e3")))
+        .when(line == 3, F.concat(part.cast("string"), F.lit(".5")))
+        .otherwise(F.concat(F.lit("9223372036854775808"), part.cast("string")))
+    )
+    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", N.whole_number(text).alias("value"))

@@ -315,7 +315,7 @@ _RANKING_CODE = {
     """
     WITH pages_of AS (
       SELECT o_orderkey, CASE o_orderpriority WHEN '1-URGENT' THEN 'ite' WHEN '2-HIGH' THEN 'ipe' WHEN '3-MEDIUM' THEN 'ime'
-             WHEN '4-NOT SPECIFIED' THEN 'ije' ELSE 'ete' END AS code,
+             WHEN '4-NOT SPECIFIED' THEN CASE WHEN o_custkey % 2 = 1 THEN 'ice' ELSE 'ije' END ELSE 'ete' END AS code,
              CAST(o_custkey AS VARCHAR) AS c, o_orderstatus AS s, CAST(year(o_orderdate) AS VARCHAR) AS y FROM orders
     ),
     listed AS (
@@ -326,8 +326,8 @@ _RANKING_CODE = {
     SELECT o_orderkey, code, CAST(row_no AS BIGINT) AS row_no, cells[1] AS rank_text,
       CASE WHEN code <> 'ete' THEN cells[2] END AS participant,
       CASE WHEN code = 'ete' THEN cells[2] ELSE cells[3] END AS team,
-      CASE WHEN code IN ('ite', 'ije') THEN cells[4] WHEN code = 'ete' THEN cells[3] END AS times,
-      CASE WHEN code IN ('ite', 'ije') THEN cells[5] WHEN code = 'ete' THEN cells[4] END AS gap,
+      CASE WHEN code IN ('ite', 'ije', 'ice') THEN cells[4] WHEN code = 'ete' THEN cells[3] END AS times,
+      CASE WHEN code IN ('ite', 'ije', 'ice') THEN cells[5] WHEN code = 'ete' THEN cells[4] END AS gap,
       CASE code WHEN 'ipe' THEN cells[5] WHEN 'ite' THEN cells[6] END AS bonus,
       CASE code WHEN 'ite' THEN cells[7] END AS penalty,
       CASE WHEN code IN ('ipe', 'ime') THEN cells[4] END AS points,
@@ -336,7 +336,25 @@ _RANKING_CODE = {
     """,
 )
 def ranking_rows_by_class(spark, sf_dir):
-    """Ranking pages of five classifications: ragged rows, checkpoints and short rows."""
+    """Ranking pages of all classifications: ragged rows, checkpoints and short rows."""
+    return X.ranking_rows(_ranking_pages(spark, sf_dir))
+
+
+@query(
+    "ranking_short_rows",
+    """
+    WITH pages_of AS (SELECT o_orderkey, o_orderpriority IN ('2-HIGH', '3-MEDIUM') AS points FROM orders)
+    SELECT o_orderkey, CAST(at AS BIGINT) AS row_no, cells AS short_cells
+    FROM pages_of, (VALUES (1, 1), (3, 1), (5, 2)) AS s(at, cells) WHERE NOT points OR cells > 1
+    """,
+)
+def ranking_short_rows(spark, sf_dir):
+    """Rows of the same pages that have too few cells and go to the rejects."""
+    rows = X.ranking_rows(_ranking_pages(spark, sf_dir), keep_short=True)
+    return rows.where("short_cells IS NOT NULL").select("o_orderkey", "row_no", "short_cells")
+
+
+def _ranking_pages(spark, sf_dir):
     orders = _orders(spark, sf_dir)
     customer, status, year = F.col("o_custkey"), F.col("o_orderstatus"), F.year("o_orderdate")
     checkpoint = F.concat(F.lit("km "), customer.cast("string"))
@@ -352,8 +370,9 @@ def ranking_rows_by_class(spark, sf_dir):
         css=RANKING_TABLE_CLASS,
     )
     codes = F.create_map(*[F.lit(x) for pair in _RANKING_CODE.items() for x in pair])
-    pages = orders.select("o_orderkey", codes[F.col("o_orderpriority")].alias("code"), html.alias("html"))
-    return X.ranking_rows(X.with_page(pages).drop("html"))
+    combative = (F.col("o_orderpriority") == "4-NOT SPECIFIED") & (customer % 2 == 1)
+    code = F.when(combative, "ice").otherwise(codes[F.col("o_orderpriority")])
+    return X.with_page(orders.select("o_orderkey", code.alias("code"), html.alias("html"))).drop("html")
 
 
 # --- legs and request grid -------------------------------------------------------

@@ -10,12 +10,12 @@ from spark_queries.views import spread_table, table
 
 _VERSIONS = """
 WITH old AS (
-  SELECT CAST(o_custkey AS VARCHAR) AS customer, o_orderstatus AS status, CAST(year(o_orderdate) AS VARCHAR) AS edition FROM orders
+  SELECT CAST(o_custkey AS VARCHAR) AS customer, o_orderstatus AS status, CAST(year(o_orderdate) * 10000 + 101 AS VARCHAR) AS edition FROM orders
 ),
 new AS (
   SELECT CAST(o_custkey AS VARCHAR) AS customer,
          CASE WHEN o_orderpriority = '1-URGENT' AND o_orderstatus = 'F' THEN 'X' ELSE o_orderstatus END AS status,
-         CAST(year(o_orderdate) AS VARCHAR) AS edition FROM orders WHERE o_totalprice >= 20000
+         CAST(year(o_orderdate) * 10000 + 101 AS VARCHAR) AS edition FROM orders WHERE o_totalprice >= 20000
   UNION ALL
   SELECT CAST(c_custkey AS VARCHAR), c_mktsegment, '' FROM customer
 )
@@ -24,11 +24,11 @@ new AS (
 
 def _versions(spark, sf_dir):
     """Orders as they were, and a version with altered, lost and added rows and other spellings."""
-    orders = spread_table(spark, sf_dir, "orders")
+    orders = table(spark, sf_dir, "orders")
     old = orders.select(
         F.col("o_custkey").alias("customer"),
         F.col("o_orderstatus").alias("status"),
-        F.year("o_orderdate").alias("edition"),
+        (F.year("o_orderdate") * 10000 + 101).alias("edition"),
     )
     altered = F.when(
         (F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderstatus") == "F"), "X"
@@ -36,7 +36,7 @@ def _versions(spark, sf_dir):
     kept = orders.where(F.col("o_totalprice") >= 20000).select(
         F.concat(F.col("o_custkey").cast("string"), F.lit(".0")).alias("customer"),
         F.concat(altered, F.lit("  ")).alias("status"),
-        F.year("o_orderdate").cast("double").alias("edition"),
+        (F.year("o_orderdate") * 10000 + 101).cast("double").alias("edition"),
     )
     added = table(spark, sf_dir, "customer").select(
         F.col("c_custkey").cast("string").alias("customer"),

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from legwise.operators import standings
 from legwise.operators.normalise import numeric_positions
 from legwise.operators.ordering import carry_forward, first_k, number_rows
-from legwise.schema import TableSpec
+from legwise.schema import Role
 from spark_queries import views
 from spark_queries.registry import query
 from spark_queries.views import table
@@ -143,7 +143,7 @@ def numeric_sort_position(spark, sf_dir):
         .otherwise((F.col("o_custkey") % 50).cast("string"))
         .alias("Rank"),
     )
-    spec = TableSpec(("Year", "Rank"))
+    spec = {"Year": Role.KEY, "Rank": Role.KEY}
     return numeric_positions(listed, spec, ["o_orderkey"]).select("o_orderkey", "position")
 
 

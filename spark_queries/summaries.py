@@ -214,6 +214,23 @@ def closest_edition(spark, sf_dir):
     return analytics.closest_edition(_margins(spark, sf_dir), span=4)
 
 
+@query(
+    "margin_limits",
+    f"""{_MARGINS}
+    SELECT series, CAST(min(edition) - 2 AS INTEGER) AS axis_start, CAST(max(edition) + 2 AS INTEGER) AS axis_end,
+           round(CASE WHEN count(*) <= 10 THEN min(CAST(margin_minutes AS DOUBLE)) * 0.4 END, 6) AS margin_floor,
+           round(CASE WHEN count(*) <= 10 THEN max(CAST(margin_minutes AS DOUBLE)) * 3 END, 6) AS margin_ceiling
+    FROM margins GROUP BY series
+    """,
+)
+def margin_limits(spark, sf_dir):
+    """Axis limits of the margin chart, with margin limits for sparse series."""
+    limits = analytics.margin_limits(analytics.margin_bounds(_margins(spark, sf_dir)))
+    return limits.select(
+        "series", "axis_start", "axis_end", *[F.round(c, 6).alias(c) for c in ("margin_floor", "margin_ceiling")]
+    )
+
+
 @query(
     "scale_ticks",
     f"""{_MARGINS}

@@ -20,6 +20,7 @@ _ORDER_TYPES = T.StructType(
         T.StructField("o_custkey", T.LongType()),
         T.StructField("o_totalprice", T.DoubleType()),
         T.StructField("o_orderpriority", T.StringType()),
+        T.StructField("note", T.StringType()),
     ]
 )
 
@@ -42,18 +43,23 @@ def scan_filter_orders(spark, sf_dir):
     "csv_roundtrip",
     """
     SELECT o_orderkey, o_custkey, o_totalprice,
-           CASE WHEN o_orderpriority <> '5-LOW' THEN o_orderpriority END AS o_orderpriority
+           CASE WHEN o_orderpriority <> '5-LOW' THEN o_orderpriority END AS o_orderpriority,
+           CASE o_custkey % 3 WHEN 0 THEN '  ' || o_orderstatus || ' ' WHEN 1 THEN o_orderstatus || chr(10) || 'x' ELSE 'a, "b"' END AS note
     FROM orders
     """,
 )
 def csv_roundtrip(spark, sf_dir):
-    """Export to CSV and scan it back: missing markers become NULL, texts are typed."""
+    """Export to CSV and scan it back: missing markers become NULL, texts are typed, blanks and line breaks stay."""
     priority = F.col("o_orderpriority")
     exported = table(spark, sf_dir, "orders").select(
         "o_orderkey",
         "o_custkey",
         "o_totalprice",
         F.when(priority == "5-LOW", "N/A").otherwise(priority).alias("o_orderpriority"),
+        F.when(F.col("o_custkey") % 3 == 0, F.concat(F.lit("  "), "o_orderstatus", F.lit(" ")))
+        .when(F.col("o_custkey") % 3 == 1, F.concat("o_orderstatus", F.lit("\nx")))
+        .otherwise('a, "b"')
+        .alias("note"),
     )
     path = f"{shared_folder(spark)}/csv-{uuid.uuid4().hex}"
     sources.export_csv(exported, path)
@@ -146,23 +152,23 @@ def lookup_default(spark, sf_dir):
 @query(
     "fallback_union",
     """
-    WITH listed AS (SELECT o_orderkey, o_custkey, year(o_orderdate) AS y FROM orders)
-    SELECT o_orderkey, o_custkey, 'primary' AS origin FROM listed WHERE y = 2001
+    WITH listed AS (SELECT o_orderkey, o_custkey, o_orderkey % 2 AS side FROM orders)
+    SELECT o_orderkey, o_custkey, 'primary' AS origin FROM listed WHERE side = 0
     UNION ALL
-    SELECT o_orderkey, o_custkey, 'fallback' FROM listed WHERE y = 2000
-      AND o_custkey NOT IN (SELECT o_custkey FROM listed WHERE y = 2001)
+    SELECT o_orderkey, o_custkey, 'fallback' FROM listed WHERE side = 1
+      AND o_custkey NOT IN (SELECT o_custkey FROM listed WHERE side = 0)
     """,
 )
 def fallback_union(spark, sf_dir):
-    """The newest year's orders, and the year before for customers without any."""
+    """Orders with an even key, and the others for customers without any; together all orders are read."""
     orders = table(spark, sf_dir, "orders")
 
-    def of(year, origin):
-        return orders.where(F.year("o_orderdate") == year).select(
+    def of(side, origin):
+        return orders.where(F.col("o_orderkey") % 2 == side).select(
             "o_orderkey", "o_custkey", F.lit(origin).alias("origin")
         )
 
-    return joins.with_fallback(of(2001, "primary"), of(2000, "fallback"), ["o_custkey"])
+    return joins.with_fallback(of(0, "primary"), of(1, "fallback"), ["o_custkey"])
 
 
 @query(

@@ -26,9 +26,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
-    """The table's columns over all cores, for queries that are heavy per row."""
+    """The table's columns over as many tasks as there are cores; the driver's tables are single files.
+
+    For queries that work row by row and do not shuffle.
+    """
     df = table(spark, sf_dir, name)
-    return spread(df.select(*columns) if columns else df)
+    return spread(df.select(*columns) if columns else df, spark.sparkContext.defaultParallelism)
 
 
 # --- leg rankings: one row per series, edition, leg and participant ----------
@@ -144,7 +147,7 @@ def _result_edition():
 
 
 def results(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = spread_table(spark, sf_dir, "orders")
+    orders = table(spark, sf_dir, "orders")
     series, edition = F.col("o_orderstatus"), _result_edition()
     total = F.floor("o_totalprice")
     priority = F.col("o_orderpriority")

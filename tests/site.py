@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from legwise.schema import SeriesSite
+from legwise.schema import RANKING_TABLE_CLASS, SeriesSite
 
 SITES = (
     SeriesSite("women", "women.example", "https://women.example"),
     SeriesSite("men", "example", "https://men.example"),
 )
 HISTORY = ("https://men.example/en/history", "https://women.example/en/history")
-RANKING_CLASS = "rankingTable rtable js-extend-target"
+RANKING_CLASS = RANKING_TABLE_CLASS
 
 
 def table(rows, header=None, css="", bibs=None):

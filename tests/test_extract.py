@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from legwise.functions.html import PageReader, pages_array
 from legwise.operators import extract as X
+from legwise.schema import RANKING_TABLE_CLASS
 from tests.conftest import rows_of
 from tests.site import RANKING_CLASS, SITES, table
 
@@ -47,7 +48,7 @@ def test_page_reader_elements():
     assert page["headings"] == [{"tag": "h3", "text": "Tour 2024"}]
     assert page["figures"] == ["21", "3,404 "]
     assert page["options"] == ["one", "two"]
-    assert page["tabs"] == [{"label": "Ranking", "link": "/r"}]
+    assert page["tabs"] == [{"label": "Ranking", "link": "/r", "active": False}]
 
 
 @pytest.mark.parametrize(
@@ -136,3 +137,34 @@ def test_request_grid(spark):
     assert ("/r?stage=13.1&type=ete",) in rows_of(grid, "request") and ("/r?stage=1&type=ite",) in rows_of(grid, "request")
     have = spark.createDataFrame([(1.0, "Individual (Stage)")], "leg double, classification string")
     assert X.missing_rankings(grid, have, ["leg", "classification"]).count() == 11
+
+
+def test_active_tab_wins_wherever_it_stands(spark):
+    html = (
+        "<button class='tabs__item btn js-tabs-nested is-active' data-tabs-ajax='/on'>R</button>"
+        "<button class='tabs__item btn js-tabs-nested' data-tabs-ajax='/off'>R</button>"
+    )
+    page = X.with_page(spark.createDataFrame([(1, html)], "id int, html string"))
+    assert rows_of(X.tab_links(page, ["id"], F.lit("")), "label", "link") == [("R", "/on")]
+
+
+def test_empty_bibs_and_huge_ranks(spark):
+    html = (
+        "<p data-bib=''></p><table><tr><th>Rank</th><th>Rider</th></tr>"
+        "<tr data-bib='#7'><td>1</td><td>A</td></tr><tr data-bib='#9'><td>99999999999</td><td>B</td></tr></table>"
+    )
+    read = X.with_page(spark.createDataFrame([(1, html)], "id int, html string")).drop("html")
+    rows = X.standings_rows(read, X.first_table(F.col("page")), F.col("page.bibs"))
+    assert rows_of(rows, "rank", "rank_text", "bib") == [(1, "1", 7), (None, "99999999999", 9)]
+
+
+def test_short_ranking_rows_are_marked(spark):
+    cells = [["1", "A", "T", "9"], ["Sprint"], ["2", "B"], ["3", "C", "T", "5"]]
+    body = "".join("<tr>" + "".join(f"<td>{c}</td>" for c in row) + "</tr>" for row in cells)
+    html = f"<table class='{RANKING_TABLE_CLASS}'><tr><th>h</th></tr>{body}</table>"
+    df = spark.createDataFrame([("ipe", html)], "code string, html string")
+    rows = X.ranking_rows(X.with_page(df).drop("html"), keep_short=True)
+    assert rows_of(rows, "row_no", "points", "checkpoint", "short_cells") == [
+        (0, "9", None, None), (2, None, "Sprint", 2), (3, "5", "Sprint", None),
+    ]
+    assert rows_of(X.ranking_rows(X.with_page(df).drop("html")), "row_no") == [(0,), (3,)]

@@ -5,54 +5,62 @@ from pyspark.sql import functions as F
 
 from legwise.operators import normalise
 from legwise.plans.jobs import run_all
-from legwise.schema import LEGS_SPEC, STANDINGS, STANDINGS_SPEC, TableSpec
+from legwise.schema import LEGS_ROLES, Role, STANDINGS, STANDINGS_ROLES, having
 from legwise.sources import tables
 from tests.conftest import rows_of
 
-RIDERS = [("2", "B", "21.0", "2024", 0), ("1", "A", "11.0", "2024", 1), ("10", "J", None, "2024", 2), ("1", "Z", "5.0", "2023", 3)]
-RIDER_COLUMNS = "Rank string, Rider string, `Rider No.` string, Year string, row_no int"
+ENTRIES = [("3", "Quinn", "105.0", "1988", 0), ("12", "Rae", "7.00", "1988", 1), ("1", "Sam", None, "1988", 2), ("4", "Toni", "+31", "1987", 3), ("", "Uli", "2e1", "1988", 4)]
+ENTRY_COLUMNS = "Rank string, Rider string, `Rider No.` string, Year string, row_no int"
 
 
-def test_sorts_numerically_and_writes_integers(spark):
-    df = normalise.apply_spec(spark.createDataFrame(RIDERS, RIDER_COLUMNS), STANDINGS_SPEC)
-    got = [tuple(r) for r in normalise.ordered(df, STANDINGS_SPEC, ["row_no"]).drop("row_no").collect()]
-    assert got == [(1, "Z", 5, 2023), (1, "A", 11, 2024), (2, "B", 21, 2024), (10, "J", None, 2024)]
+def test_rows_sort_as_numbers_and_whole_columns_become_integers(spark):
+    found = normalise.apply_roles(spark.createDataFrame(ENTRIES, ENTRY_COLUMNS).replace("", None), STANDINGS_ROLES)
+    rows = [tuple(r) for r in normalise.ordered(found, STANDINGS_ROLES, ["row_no"]).drop("row_no").collect()]
+    assert rows == [(4, "Toni", 31, 1987), (1, "Sam", None, 1988), (3, "Quinn", 105, 1988), (12, "Rae", 7, 1988), (None, "Uli", 20, 1988)]
+    again = normalise.apply_roles(found, STANDINGS_ROLES)
+    assert again.schema == found.schema and rows_of(again) == rows_of(found)
 
 
-def test_idempotent(spark):
-    once = normalise.apply_spec(spark.createDataFrame(RIDERS, RIDER_COLUMNS), STANDINGS_SPEC)
-    twice = normalise.apply_spec(once, STANDINGS_SPEC)
-    assert once.schema == twice.schema and rows_of(once) == rows_of(twice)
-
-
-def test_split_legs_and_absent_columns(spark):
-    df = spark.createDataFrame(
-        [("1934", "13.2", "C"), ("1934", "13.1", "B"), ("1934", "1.0", "A"), ("1934", "x", "D")],
+def test_half_legs_keep_their_fraction(spark):
+    legs = spark.createDataFrame(
+        [("1971", "7.50", "late"), ("1971", "7.0", "noon"), ("1970", "20", "old"), ("1971", "rest day", "none")],
         "Year string, Stages string, Start string",
     )
-    legs = normalise.apply_spec(df, LEGS_SPEC)
-    got = [tuple(r) for r in normalise.ordered(legs, LEGS_SPEC, ["Start"]).collect()]
-    assert got == [(1934, "1", "A"), (1934, "13.1", "B"), (1934, "13.2", "C"), (1934, None, "D")]
-    only = spark.createDataFrame([("b",)], "Start string")
-    assert rows_of(normalise.apply_spec(only, LEGS_SPEC)) == [("b",)]
-
-
-def test_column_with_words_is_left_alone(spark):
-    df = spark.createDataFrame([("1", "2024"), ("DSQ", "2024")], "Rank string, Year string")
-    assert rows_of(normalise.apply_spec(df, STANDINGS_SPEC)) == [("1", 2024), ("DSQ", 2024)]
-    verdicts = dict(rows_of(normalise.lossless_int_check(df.limit(0), ["Rank", "Year", "absent"])))
+    found = normalise.apply_roles(legs, LEGS_ROLES)
+    assert [tuple(r) for r in normalise.ordered(found, LEGS_ROLES, ["Start"]).collect()] == [
+        (1970, "20", "old"), (1971, "7", "noon"), (1971, "7.5", "late"), (1971, None, "none"),
+    ]
+    unrelated = spark.createDataFrame([("x",)], "Start string")
+    assert rows_of(normalise.apply_roles(unrelated, LEGS_ROLES)) == [("x",)]
+
+
+def test_whole_numbers_are_exact_or_left_alone(spark):
+    cases = [
+        (["9007199254740993", "-9223372036854775808"], [9007199254740993, -9223372036854775808]),
+        (["1e3", "12.000"], [1000, 12]),
+        (["9223372036854775808", "1"], None),
+        (["1.5", "2"], None),
+        (["abandoned", "2"], None),
+        (["1e30", "2"], None),
+    ]
+    for texts, expected in cases:
+        df = spark.createDataFrame([(t,) for t in texts], "Rank string")
+        got = normalise.apply_roles(df, {"Rank": Role.WHOLE})
+        assert rows_of(got) == sorted([(v,) for v in (texts if expected is None else expected)], key=repr)
+    none = spark.createDataFrame([], "Rank string, Year string")
+    verdicts = dict(rows_of(normalise.lossless_int_check(none, ["Rank", "Year", "absent"])))
     assert verdicts == {"Rank": True, "Year": True}
 
 
 def test_numeric_positions(spark):
-    df = spark.createDataFrame([("2024", "10", 0), ("2024", "2", 1), ("2024", "DSQ", 2), ("2023", "2", 3), ("2024", "2", 4)], "Year string, Rank string, row_no int")
-    got = dict(rows_of(normalise.numeric_positions(df, TableSpec(("Year", "Rank", "none")), ["row_no"]), "row_no", "position"))
+    df = spark.createDataFrame([("1990", "30", 0), ("1990", "9", 1), ("1990", "out", 2), ("1989", "9", 3), ("1990", "9", 4)], "Year string, Rank string, row_no int")
+    roles = {"Year": Role.KEY, "Rank": Role.KEY, "none": Role.KEY}
+    got = dict(rows_of(normalise.numeric_positions(df, roles, ["row_no"]), "row_no", "position"))
     assert got == {3: 1, 1: 2, 4: 3, 0: 4, 2: 5}
 
 
-def test_spec_defaults():
-    spec = TableSpec(sort_columns=("Year",))
-    assert spec.integer_columns == () and spec.leg_number_columns == ()
+def test_roles():
+    assert having(STANDINGS_ROLES, Role.KEY) == ["Year", "Rank"] and having(LEGS_ROLES, Role.WHOLE) == ["Year"]
 
 
 def test_scan_csv(spark, tmp_path):
@@ -66,9 +74,27 @@ def test_scan_csv(spark, tmp_path):
 
 
 def test_csv_round_trip(spark, tmp_path):
-    df = spark.createDataFrame([(1, 'x "y", z'), (2, None)], "a int, b string")
+    texts = ['x "y", z', None, "  blanks  ", "two\nlines", "\ttab", "a\r\nb, \"c\""]
+    df = spark.createDataFrame(list(enumerate(texts)), "a int, b string").repartition(2)
     tables.export_csv(df, str(tmp_path / "out"))
-    assert rows_of(tables.scan_csv(spark, str(tmp_path / "out"))) == [("1", 'x "y", z'), ("2", None)]
+    got = rows_of(tables.scan_csv(spark, str(tmp_path / "out")))
+    assert got == sorted([(str(i), t) for i, t in enumerate(texts)], key=repr)
+
+
+def test_part_files_are_read_in_the_order_of_their_numbers(spark, tmp_path):
+    for number in (99_999, 100_000, 7):
+        (tmp_path / f"part-{number:05d}-x.csv").write_text(f"v\n{number}\n")
+    scanned = tables.scan_csv(spark, str(tmp_path), with_order=True)
+    assert [r.v for r in scanned.orderBy(*tables.SOURCE_ORDER).collect()] == ["7", "99999", "100000"]
+
+
+def test_written_rows_have_nulls_last(spark, tmp_path):
+    df = spark.createDataFrame([("a", 1, None), ("a", 1, 2), ("a", 1, 1)], "series string, edition int, rank int")
+    tables.write_table(df, str(tmp_path / "t"), sort_by=["rank"])
+    file = next((tmp_path / "t").rglob("*.parquet"))
+    import pyarrow.parquet as pq
+
+    assert pq.read_table(file, partitioning=None).column("rank").to_pylist() == [1, 2, None]
 
 
 def test_missing_table(spark, tmp_path):

@@ -3,8 +3,9 @@ from __future__ import annotations
 from types import SimpleNamespace
 
 import pytest
+from pyspark.sql import functions as F
 
-from legwise.staging import shared_folder, spread, stage
+from legwise.staging import release, shared_folder, spread, stage
 from tests.conftest import rows_of
 
 
@@ -39,7 +40,31 @@ def test_stage_reads_back_what_it_wrote(spark):
     assert stage(df.limit(0), "empty").columns == ["a", "b"]
 
 
-def test_spread_only_when_there_are_fewer_splits_than_cores(spark):
-    few, many = spark.range(0, 10, 1, 1), spark.range(0, 10, 1, 64)
-    assert spread(few).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    assert spread(many) is many
+def test_spread(spark):
+    parts = spread(spark.range(0, 10, 1, 1), 5).select(F.spark_partition_id().alias("p")).distinct()
+    assert parts.count() == 5
+
+
+def test_local_clusters_need_a_shared_folder():
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(_session("local-cluster[2,1,1024]"))
+
+
+def test_release_deletes_what_was_staged(spark, tmp_path):
+    folder = str(tmp_path / "own")
+    calls = []
+
+    class Path:
+        def __init__(self, name):
+            self.name = name
+
+        def getFileSystem(self, _):
+            return SimpleNamespace(delete=lambda path, deep: calls.append((path.name, deep)))
+
+    hadoop = SimpleNamespace(apache=SimpleNamespace(hadoop=SimpleNamespace(fs=SimpleNamespace(Path=Path))))
+    session = SimpleNamespace(
+        sparkContext=SimpleNamespace(getCheckpointDir=lambda: folder),
+        _jvm=SimpleNamespace(org=hadoop), _jsc=SimpleNamespace(hadoopConfiguration=lambda: None),
+    )
+    release(session)
+    assert calls == [(folder, True)]
