@@ -1,15 +1,15 @@
 """Token counts by distinct pre-tokens, without any document's ids.
 
-1. One pass over the texts splits them into pre-tokens.  Those that are themselves
-   a piece of the vocabulary (a fixed table of bounded size) count one piece each at
-   once.  The others are written as postings: for each block of documents one row
-   per distinct pre-token with the documents it occurs in and how often.
-2. The library counts the pieces of every distinct pre-token once.
-3. Postings and piece counts are joined by pre-token; each task adds up what its
-   postings give per document before the sums are shuffled.
+1. One pass over the texts splits them into pre-tokens.  Those that are themselves a
+   piece of the vocabulary count one piece each at once, and so do those in many of a
+   block's documents, by their pieces.  For each other pre-token of a block one row has
+   the documents it occurs in and how often.
+2. These rows are dealt and sorted by pre-token.  The library counts the pieces of each
+   distinct pre-token once, its rows are multiplied by the count, and each task adds up
+   what it has per document before the sums are shuffled.
 
-A pre-token that is in every document has one row per block of documents, and
-AQE splits its join partition, so no key has to fit into one task.
+No pre-token sends the postings of more than a ``1 / FREQUENT_PART`` of the documents,
+so none is too much for one task.
 
 Defined results: a null or empty text has 0 bytes and 0 tokens; every input row
 gives one output row, repeated rows included; other input columns are ignored.
@@ -23,17 +23,18 @@ from itertools import count
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_type
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import StructField, StructType
 
 from legwise.llm.pretokens import definition, encoder
-from legwise.staging import stage
 
 #: Documents and bytes of text in a block of postings; a document's place in its block fits 16 bits.
 BLOCK_ROWS, BLOCK_BYTES = 1 << 16, 32 << 20
+#: A pre-token in more than this part of a block's documents is counted where it is.
+FREQUENT_PART, FREQUENT_LEAST = 16, 64
 #: Blocks whose sums a task holds before it passes them on.
 OPEN_BLOCKS = 64
 
@@ -49,7 +50,7 @@ def _blocks(texts: list[str]) -> Iterator[tuple[int, int]]:
         yield first, len(texts)
 
 
-def _postings(batches, tokenizer, key_type: pa.DataType):
+def _postings(batches, tokenizer):
     code = encoder(tokenizer.value)
     single = code.single_pieces
     place = TaskContext.get().partitionId() << 33
@@ -66,99 +67,136 @@ def _postings(batches, tokenizer, key_type: pa.DataType):
                     rare = ids[ids >= len(single)]
                     known[k - first] += len(ids) - len(rare)
                     seen.append(rare * BLOCK_ROWS + (k - first))
-            rows = pa.array(np.arange(place, place + last - first))
             sizes = [len(t.encode()) for t in texts[first:last]]
-            nothing = {"piece": pa.string(), "postings": pa.binary()}
-            yield _frame(
-                keys.slice(first, last - first), rows, pa.array(sizes, pa.int64()), pa.array(known),
-                *[pa.nulls(last - first, kind) for kind in nothing.values()],
-            )
             codes, times = np.unique(np.concatenate(seen or [np.zeros(0, np.int64)]), return_counts=True)
+            words = list(number)
+            kinds, begins = np.unique(codes // BLOCK_ROWS, return_index=True)
+            spans = np.diff(np.append(begins, len(codes)))
+            frequent = np.flatnonzero(spans > max(FREQUENT_LEAST, (last - first) // FREQUENT_PART))
+            if len(frequent):
+                each = np.array(code.counts([words[p] for p in kinds[frequent]]))
+                mine = np.isin(codes // BLOCK_ROWS, kinds[frequent])
+                weights = np.repeat(each, spans[frequent]) * times[mine]
+                known += np.bincount(codes[mine] % BLOCK_ROWS, weights, last - first).astype(np.int64)
+                codes, times = codes[~mine], times[~mine]
+            whole = pa.RecordBatch.from_arrays(
+                [keys.slice(first, last - first), pa.array(sizes, pa.int64()), pa.array(known)], ["key", "n_bytes", "known"]
+            )
+            yield _frame(pa.nulls(1, pa.string()), pa.array([place]), pa.array([_packed(whole)], pa.binary()))
             while len(over := np.flatnonzero(times > 0xFFFF)):  # a count too large for its 16 bits is written in parts
                 codes = np.concatenate([codes, codes[over]])
                 times = np.concatenate([np.where(times > 0xFFFF, 0xFFFF, times), times[over] - 0xFFFF])
             order = np.argsort(codes, kind="stable")
             codes, times = codes[order], times[order]
-            words = list(number)
-            pieces, begins = np.unique(codes // BLOCK_ROWS, return_index=True)
+            kinds, begins = np.unique(codes // BLOCK_ROWS, return_index=True)
             packed = ((codes % BLOCK_ROWS) << 16 | times).astype("<u4")
-            for at in range(0, len(pieces), 100_000):
-                part = slice(at, at + 100_000)
-                bounds = np.append(begins, len(codes))[at : at + 100_001]
-                values = packed[bounds[0] : bounds[-1]]
-                offsets = ((bounds - bounds[0]) * 4).astype(np.int32)
-                size = len(bounds) - 1
-                binary = pa.Array.from_buffers(
-                    pa.binary(), size, [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(values.tobytes())]
-                )
-                yield _frame(
-                    pa.nulls(size, key_type), pa.array(np.full(size, place)),
-                    pa.nulls(size, pa.int64()), pa.nulls(size, pa.int64()),
-                    pa.array([words[p] for p in pieces[part]], pa.string()), binary,
-                )
+            bounds = np.append(begins, len(codes))
+            binary = pa.Array.from_buffers(
+                pa.binary(), len(kinds),
+                [None, pa.py_buffer((bounds * 4).astype(np.int32).tobytes()), pa.py_buffer(packed.tobytes())],
+            )
+            pieces = pa.array([words[p] for p in kinds], pa.string())
+            order = pc.array_sort_indices(pieces)  # like pieces together, for the shuffle's compression
+            for at in range(0, len(kinds), 50_000):
+                part = order.slice(at, 50_000)
+                yield _frame(pieces.take(part), pa.array(np.full(len(part), place)), binary.take(part))
             place += last - first
 
 
-def _frame(*columns: pa.Array) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(list(columns), ["key", "row", "n_bytes", "known", "piece", "postings"])
+def _packed(batch: pa.RecordBatch) -> bytes:
+    """A block's documents as one value."""
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema) as writer:
+        writer.write_batch(batch)
+    return sink.getvalue().to_pybytes()
 
 
-def _sizes(batches, tokenizer):
-    code = encoder(tokenizer.value)
-    for batch in batches:
-        pieces = batch.column(0).to_pylist()
-        counts = [len(ids) for ids in code.encode(pieces)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64())], ["piece", "pieces"])
+def _frame(*columns: pa.Array) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(list(columns), ["piece", "block", "payload"])
 
 
-def _sums(batches):
-    """Sums per document of what this task's postings give, for a bounded number of blocks at a time."""
+def _sums(batches, tokenizer):
+    """Rows sorted by pre-token: blocks of documents pass, postings become sums per document.
+
+    A block's sums are one row of (place in the block, sum); a bounded number of blocks is held at a time.
+    """
+    code = encoder(tokenizer.value)
     held: dict[int, np.ndarray] = {}
+    last, last_count = None, 0
+
+    def frame(blocks, documents, payload):
+        return pa.RecordBatch.from_arrays([blocks, documents, payload], ["block", "documents", "payload"])
 
     def flush():
-        for base, sums in held.items():
-            at = np.flatnonzero(sums)
-            yield pa.RecordBatch.from_arrays([pa.array(at + base), pa.array(sums[at].astype(np.int64))], ["row", "tokens"])
+        places = [np.flatnonzero(sums) for sums in held.values()]
+        blobs = [(at.astype("<u8") << 48 | sums[at].astype("<u8")).tobytes() for at, sums in zip(places, held.values())]
+        yield frame(pa.array(list(held), pa.int64()), pa.array([False] * len(blobs), pa.bool_()), pa.array(blobs, pa.binary()))
         held.clear()
 
     for batch in batches:
-        bases, pieces = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-        blobs = batch.column(2).to_pylist()
+        documents = batch.filter(pc.is_null(batch.column(0)))
+        if documents.num_rows:
+            yield frame(documents.column(1), pa.array([True] * documents.num_rows), documents.column(2))
+        postings = batch.filter(pc.is_valid(batch.column(0)))
+        if not postings.num_rows:
+            continue
+        pieces = postings.column(0).to_pylist()
+        kinds = [p for p, before in zip(pieces, [last, *pieces]) if p != before]
+        counts = ([last_count] if pieces[0] == last else []) + [len(ids) for ids in code.encode(kinds)]
+        changes = np.array([p != before for p, before in zip(pieces[1:], pieces)], bool)
+        each = np.array(counts)[np.concatenate([[0], np.cumsum(changes)])]
+        last, last_count = pieces[-1], counts[-1]
+        bases, blobs = postings.column(1).to_numpy(), postings.column(2).to_pylist()
         for base in np.unique(bases):
             mine = np.flatnonzero(bases == base)
             entries = np.frombuffer(b"".join([blobs[k] for k in mine]), "<u4")
-            each = np.repeat(pieces[mine], [len(blobs[k]) // 4 for k in mine])
-            gives = np.bincount(entries >> 16, weights=(entries & 0xFFFF) * each, minlength=BLOCK_ROWS)
+            times = np.repeat(each[mine], [len(blobs[k]) // 4 for k in mine])
+            gives = np.bincount(entries >> 16, weights=(entries & 0xFFFF) * times, minlength=BLOCK_ROWS)
             if base not in held and len(held) >= OPEN_BLOCKS:
                 yield from flush()
             held[int(base)] = held.get(int(base), 0) + gives
     yield from flush()
 
 
+def _documents(batches):
+    """Rows sorted by block: each block's documents with all their sums."""
+    block, total, documents = None, None, None
+
+    def frame():
+        keys, n_bytes, known = documents
+        tokens = known.to_numpy() + total[: len(known)]
+        return pa.RecordBatch.from_arrays([keys, n_bytes, pa.array(tokens)], ["key", "n_bytes", "n_tokens"])
+
+    for batch in batches:
+        for mine, whole, payload in zip(*[column.to_pylist() for column in batch.columns]):
+            if mine != block:
+                if documents is not None:
+                    yield frame()
+                block, total, documents = mine, np.zeros(BLOCK_ROWS, np.int64), None
+            if whole:
+                documents = pa.ipc.open_stream(payload).read_next_batch().columns
+            else:
+                entries = np.frombuffer(payload, "<u8")
+                total[(entries >> 48).astype(np.int64)] += (entries & 0xFFFFFFFFFFFF).astype(np.int64)
+    if documents is not None:
+        yield frame()
+
+
 def count_tokens(docs: DataFrame, tokenizer_path: str, text: str = "text", key: str = "doc_id", limit: int = 512) -> DataFrame:
     """``key``, ``n_bytes``, ``n_tokens`` and ``over_limit`` (more than ``limit`` tokens) of every row."""
     spark = docs.sparkSession
     tokenizer = spark.sparkContext.broadcast(definition(tokenizer_path))
     rows = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").cast("string").alias("text"))
     kind = rows.schema["key"].dataType
-    arrow_kind = to_arrow_type(kind)
-    schema = "row bigint, n_bytes bigint, known bigint, piece string, postings binary"
-    schema = StructType([StructField("key", kind), *StructType.fromDDL(schema).fields])
-    written = stage(rows.mapInArrow(lambda batches: _postings(batches, tokenizer, arrow_kind), schema), "postings")
-    rare = written.where("piece IS NOT NULL").select("piece", "row", "postings")
-    pieces = StructType([StructField("piece", StringType()), StructField("pieces", LongType())])
-    sizes = stage(rare.select("piece").distinct().mapInArrow(lambda b: _sizes(b, tokenizer), pieces), "piece-sizes")
+    place = F.when(F.col("piece").isNull(), F.xxhash64("block")).otherwise(F.xxhash64("piece"))
     sums = (
-        rare.join(sizes, "piece")
-        .select("row", "pieces", "postings")
-        .mapInArrow(_sums, "row bigint, tokens bigint")
-        .groupBy("row")
-        .agg(F.sum("tokens").alias("tokens"))
+        rows.mapInArrow(lambda batches: _postings(batches, tokenizer), "piece string, block bigint, payload binary")
+        .repartition(place)
+        .sortWithinPartitions("piece")
+        .mapInArrow(lambda batches: _sums(batches, tokenizer), "block bigint, documents boolean, payload binary")
     )
-    tokens = F.col("known") + F.coalesce("tokens", F.lit(0))
-    return (
-        written.where("piece IS NULL")
-        .select("key", "row", "n_bytes", "known")
-        .join(sums, "row", "left")
-        .select(F.col("key").alias(key), "n_bytes", tokens.alias("n_tokens"), (tokens > limit).alias("over_limit"))
+    counted = sums.repartition("block").sortWithinPartitions("block").mapInArrow(
+        _documents,
+        StructType([StructField("key", kind), *StructType.fromDDL("n_bytes bigint, n_tokens bigint").fields]),
     )
+    return counted.select(F.col("key").alias(key), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
