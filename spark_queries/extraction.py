@@ -344,8 +344,8 @@ def ranking_rows_by_class(spark, sf_dir):
     "ranking_short_rows",
     """
     WITH pages_of AS (SELECT o_orderkey, o_orderpriority IN ('2-HIGH', '3-MEDIUM') AS points FROM orders)
-    SELECT o_orderkey, CAST(at AS BIGINT) AS row_no, cells AS short_cells
-    FROM pages_of, (VALUES (1, 1), (3, 1), (5, 2)) AS s(at, cells) WHERE NOT points OR cells > 1
+    SELECT o_orderkey, CAST(place AS BIGINT) AS row_no, cells AS short_cells
+    FROM pages_of, (VALUES (1, 1), (3, 1), (5, 2)) AS s(place, cells) WHERE NOT points OR cells > 1
     """,
 )
 def ranking_short_rows(spark, sf_dir):
