@@ -3,21 +3,22 @@
 Two sets of similarity t or more share all but few shingles.  In one global order,
 rare shingles first, each set's prefix is long enough that such a pair has one
 rare-class shingle in common in both prefixes, or two frequent-class ones: with r
-allowed misses, a prefix of r + 2 shingles leaves at least two common ones, so
-frequent shingles may be indexed by pairs and rare ones alone.
+allowed misses, a prefix of r + 2 or more shingles leaves at least two common ones,
+so frequent shingles may be indexed by pairs and rare ones alone.
 
 1. One pass over the texts gives every text's set fingerprint; equal sets are one
    node from here on, so copies are never compared.  The same pass counts shingles
    that recur in its partitions; the often counted ones (a table of bounded size)
    come last in the order.  The order only moves work: any order gives all links.
-2. The prefix index is sorted by shingle.  Each posting is checked against the first
-   node of its shingle, which is linear in the index, and linked nodes are contracted
-   to components.  Families of near copies fall together here.
+2. The prefix index is sorted by shingle, and postings that are alone go.  Each posting
+   is checked against a few leading nodes of its shingle, which is linear in the index,
+   and linked nodes are contracted to components.  Families of near copies fall together
+   here.
 3. A shingle whose nodes are now in one component needs nothing more.  Those of few
-   components (rare class) give the pairs across components; those of many (frequent
-   class) are replaced by the two-shingle combinations within each prefix, which give
-   such pairs in turn.
-4. Candidate pairs are verified on their whole sets.
+   postings (rare class) give the pairs across components; those of many (frequent
+   class) give such pairs in combinations of two only, a pair at its first one.
+4. A pair's common prefix shingles and what is behind the prefixes bound its overlap.
+   Pairs that the bound allows are verified on their whole sets.
 
 Only links inside a component that is already known are skipped, so the components
 are those of all links.  Defined results: a text without words has no shingles and
@@ -33,8 +34,10 @@ from fractions import Fraction
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import StructField, StructType
 
 from legwise.llm.components import components
 from legwise.llm.texts import blocks, shingles, words
@@ -42,15 +45,19 @@ from legwise.staging import stage
 
 SHINGLE_WORDS = 5
 SIMILARITY = Fraction(75, 100)
+#: Shingles of a prefix beyond the allowed misses; two are needed, more make the count filter sharper.
+EXTRA = 8
 #: Shingles moved to the end of the order, at most, and the count from which they are.
 FREQUENT_ENTRIES, FREQUENT_COUNT = 100_000, 32
-#: Components from which a shingle is indexed in combinations.
-FREQUENT_COMPONENTS = 16
+#: Postings from which a shingle is indexed in combinations.
+FREQUENT_POSTINGS = 16
+#: Random orders that give a frequent shingle its leaders.
+HOT_LEADERS = 4
 #: Count from which a shingle's postings are dealt over several tasks, about as many rows for each.
 HOT_COUNT = 1 << 17
 #: Bound of all such tasks together.
 HOT_PARTS = 10_000
-_COUNT_BUFFER = 1 << 20
+_COUNT_BUFFER = 1 << 22
 _BLOOM_BITS = 1 << 24
 
 
@@ -142,7 +149,7 @@ def _prefixes(batches, size: int, similarity: Fraction, frequent):
             if len(members) < 2 or node in seen:
                 continue
             seen.add(node)
-            length = _allowed_misses(len(members), similarity) + 2
+            length = _allowed_misses(len(members), similarity) + EXTRA
             if len(late):
                 at = np.minimum(np.searchsorted(late, members), len(late) - 1)
                 rank = np.where(late[at] == members, ranks[at], 0)
@@ -167,52 +174,160 @@ def _leaders(batches, parts: np.ndarray):
 
     The first itself has a row in the ``parts`` of hot shingles only; lone postings go.
     """
-    names = ["signature", "node", "n", "leader", "leader_n"]
-    last = None  # signature, leader, leader's size, node before
+    names = ["signature", "node", "n", "place", "leader", "leader_n", "leader_place"]
+    last = None  # signature, leader, its size and place, node before
     for batch in batches:
-        signature, node, n = (batch.column(k).to_numpy() for k in range(3))
+        signature, node, n, place = (batch.column(k).to_numpy() for k in range(4))
         if not len(signature):
             continue
         first = np.concatenate([[True], signature[1:] != signature[:-1]])
         if last is not None and last[0] == signature[0]:
             first[0] = False
         at = np.maximum.accumulate(np.where(first, np.arange(len(signature)), -1))
-        leader, leader_n = node[np.maximum(at, 0)], n[np.maximum(at, 0)]
+        own = [column[np.maximum(at, 0)] for column in (node, n, place)]
         if last is not None:
-            leader, leader_n = np.where(at < 0, last[1], leader), np.where(at < 0, last[2], leader_n)
-        before = np.concatenate([[node[0] if last is None or first[0] else last[3]], node[:-1]])
+            own = [np.where(at < 0, held, column).astype(column.dtype) for held, column in zip(last[1:], own)]
+        leader = own[0]
+        before = np.concatenate([[node[0] if last is None or first[0] else last[4]], node[:-1]])
         follows = ~first & (node != before) & (node != leader)
         if len(parts):
             follows |= first & np.isin(signature, parts)
-        last = signature[-1], leader[-1], leader_n[-1], node[-1]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c[follows]) for c in (signature, node, n, leader, leader_n.astype(np.int32))], names
-        )
+        last = signature[-1], *[column[-1] for column in own], node[-1]
+        yield pa.RecordBatch.from_arrays([pa.array(c[follows]) for c in (signature, node, n, place, *own)], names)
+
+
+_POSTING = "node bigint, n int, place int"
 
 
 def _led(postings: DataFrame, parts: np.ndarray) -> DataFrame:
     dealt = postings.repartition("signature").sortWithinPartitions("signature", "node")
-    return dealt.mapInArrow(lambda batches: _leaders(batches, parts), "signature bigint, node bigint, n int, leader bigint, leader_n int")
+    return dealt.mapInArrow(lambda batches: _leaders(batches, parts), f"signature bigint, {_POSTING}, leader bigint, leader_n int, leader_place int")
 
 
 def _joined_parts(led: DataFrame, parts: DataFrame) -> DataFrame:
     """Postings of a hot shingle's parts under its own signature, the parts' leaders led by the first of them."""
     # at most HOT_PARTS rows and one for each hot shingle
     whole = led.join(F.broadcast(parts), F.col("signature") == F.col("bucket"), "left")
-    rows = whole.select(F.coalesce("whole", "signature").alias("signature"), "node", "n", "leader", "leader_n")
-    heads = rows.where("node = leader").select("signature", "node", "n")
-    first = heads.groupBy("signature").agg(F.min_by(F.struct("node", "n"), "node").alias("first"))
+    rows = whole.withColumn("signature", F.coalesce("whole", "signature")).select(*led.columns)
+    heads = rows.where("node = leader").select("signature", "node", "n", "place")
+    first = heads.groupBy("signature").agg(F.min_by(F.struct("node", "n", "place"), "node").alias("first"))
     joined = heads.join(first, "signature").where("node != first.node")
-    return rows.where("node != leader").unionAll(
-        joined.select("signature", "node", "n", F.col("first.node").alias("leader"), F.col("first.n").alias("leader_n"))
+    return rows.where("node != leader").unionAll(joined.select("signature", "node", "n", "place", "first.*"))
+
+
+def _ceil_share(size: str, similarity: Fraction) -> Column:
+    """Least overlap of a set of that size with a similar one."""
+    return F.ceil(F.col(size) * similarity.numerator / F.lit(similarity.denominator))
+
+
+def _fits(similarity: Fraction) -> Column:
+    """Whether the sizes ``n`` and ``m`` allow the similarity."""
+    return F.least("n", "m") * similarity.denominator >= F.greatest("n", "m") * similarity.numerator
+
+
+def _possible(shared: Column, similarity: Fraction) -> Column:
+    """Whether sets of sizes ``n`` and ``m`` with so many common prefix shingles may reach the similarity.
+
+    Of the prefix that ends first, every common shingle is in both, so the others lie
+    behind it.
+    """
+    p, q = similarity.numerator, similarity.denominator
+    behind = [F.greatest(_ceil_share(size, similarity) - EXTRA, F.lit(0)) for size in ("n", "m")]  # n less its prefix
+    overlap = F.least(shared + F.greatest(*behind), F.col("n"), F.col("m"))
+    return overlap * (p + q) >= (F.col("n") + F.col("m")) * p
+
+
+def _least_shared(similarity: Fraction) -> Column:
+    """Common prefix shingles that a set of size ``n`` has with any similar one."""
+    return F.least(F.lit(EXTRA), _ceil_share("n", similarity))
+
+
+def _able(postings: DataFrame, similarity: Fraction, *more: Column) -> DataFrame:
+    """The postings of nodes that have as many, ``opened``, as a similar pair shares at least."""
+    per_node = postings.groupBy("node").agg(F.count(F.lit(1)).alias("opened"), *more)
+    return postings.join(per_node, "node").where(F.col("opened") >= _least_shared(similarity))
+
+
+def _open(postings: DataFrame, known: DataFrame) -> DataFrame:
+    """The postings of signatures whose nodes are of several components, with component and ``postings``, their number."""
+    named = postings.join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    spans = named.groupBy("signature").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("postings")
+    ).where("low < high")
+    return stage(named.join(spans.select("signature", "postings"), "signature"), "open")
+
+
+def _to_leaders(postings: DataFrame, similarity: Fraction) -> DataFrame:
+    """Pairs of a node and a leader of one of its signatures that may be similar.
+
+    A signature's leaders are its most central node, the one whose signatures have the
+    most postings, as the original of a family of copies has, and its first node in a
+    random order of all nodes; a frequent one also has those of more orders.  Pairs that are not tried here are found across
+    components later.
+    """
+    sizes = postings.groupBy("signature").agg(F.count(F.lit(1)).alias("postings"))
+    central = postings.join(sizes, "signature").groupBy("node").agg(F.sum("postings").alias("central"))
+    ranked = postings.join(central, "node")
+    node = F.struct("node", "n")
+    orders = [F.min_by(node, F.xxhash64("node", F.lit(turn))) for turn in range(HOT_LEADERS)]
+    leaders = ranked.groupBy("signature").agg(
+        F.array(F.max_by(node, F.struct("central", "node")), orders[0]).alias("leaders"),
+        F.when(F.count(F.lit(1)) > FREQUENT_POSTINGS, F.array(*orders[1:])).alias("more"),
+    )
+    leaders = leaders.select("signature", F.concat("leaders", F.coalesce("more", F.slice("leaders", 1, 0))).alias("leaders"))
+    led = postings.join(leaders, "signature").select("node", "n", F.explode(F.array_distinct("leaders")).alias("leader"))
+    sized = led.where("node != leader.node").select(
+        F.col("node").alias("a"), F.col("leader.node").alias("b"), "n", F.col("leader.n").alias("m")
     )
+    counted = sized.where(_fits(similarity)).groupBy("a", "b", "n", "m").agg(F.count(F.lit(1)).alias("shared"))
+    return counted.where(_possible(F.col("shared"), similarity)).select("a", "b")
 
 
-def _pairs(led: DataFrame, similarity: Fraction) -> DataFrame:
-    """Distinct pairs of a posting and its leader whose sizes allow the similarity."""
+def _across(open_: DataFrame, similarity: Fraction, frequent_postings: int) -> DataFrame:
+    """Pairs of nodes of different components that may be similar.
+
+    They have two common signatures at the beginnings of their prefixes, a shorter one for
+    the smaller set; rare ones give pairs alone, frequent ones in combinations of two.  A pair shares no more
+    signatures than either node has open ones, which rules out most nodes and pairs
+    before they are formed, and the common signatures of their whole prefixes most others.
+    """
     p, q = similarity.numerator, similarity.denominator
-    fits = (F.least("n", "leader_n") * q >= F.greatest("n", "leader_n") * p) & (F.col("node") != F.col("leader"))
-    return led.where(fits).select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
+    able = _able(open_, similarity).withColumn("frequent", F.col("postings") > frequent_postings)
+    columns = ["node", "n", "component", "opened", "place"]
+
+    def single(early: DataFrame) -> DataFrame:
+        return early.where("NOT frequent").select("signature", *columns)
+
+    def combined(early: DataFrame) -> DataFrame:
+        many = early.where("frequent")
+        lists = many.groupBy("node").agg(F.sort_array(F.collect_list("signature")).alias("often"))  # of a prefix at most
+        return many.select("signature", *columns).join(lists.where(F.size("often") > 1), "node")
+
+    def meet(smaller: DataFrame, larger: DataFrame, keys: list[str], *more: Column) -> DataFrame:
+        others = [c for c in larger.columns if c not in keys]
+        larger = larger.select(*keys, *[F.col(c).alias(f"{c}_2") for c in others]).withColumnRenamed("n_2", "m")
+        met = F.expr("(n < m OR n = m AND node < node_2) AND component != component_2") & _fits(similarity)
+        met &= _possible(F.least("opened", "opened_2"), similarity)
+        overlap = F.ceil((F.col("n") + F.col("m")) * p / F.lit(p + q))  # of a similar pair; so much lies behind its first place
+        met &= (F.col("place") < F.col("n") - overlap + 2) & (F.col("place_2") < F.col("m") - overlap + 2)
+        for condition in more:
+            met &= condition
+        return smaller.join(larger, keys).where(met).select(F.col("node").alias("a"), F.col("node_2").alias("b"), "n", "m")
+
+    # the smaller set of a pair overlaps by 2 t / (1 + t) of its size, the larger by t
+    smaller = able.where(F.col("place") < F.col("n") - F.ceil(F.col("n") * (2 * p) / F.lit(p + q)) + 2)
+    larger = able.where(F.col("place") < F.col("n") - _ceil_share("n", similarity) + 2)
+    rare = meet(single(smaller), single(larger), ["signature"])
+    # combinations are met at their first shingle, and a pair at its first common combination only
+    common = F.array_intersect("often", "often_2")
+    first = (F.get(common, F.lit(0)) == F.col("signature")) & (F.size(common) > 1)
+    often = meet(combined(smaller), combined(larger), ["signature"], first)
+    pairs = rare.unionAll(often).distinct()
+    prefixes = able.groupBy("node").agg(F.collect_list("signature").alias("prefix"))  # a node's prefix at most
+    first = prefixes.select(F.col("node").alias("a"), F.col("prefix").alias("of_a"))
+    second = prefixes.select(F.col("node").alias("b"), F.col("prefix").alias("of_b"))
+    shared = F.size(F.array_intersect("of_a", "of_b"))
+    return pairs.join(first, "a").join(second, "b").where(_possible(shared, similarity)).select("a", "b")
 
 
 def _whole_sets(batches, size: int, wanted):
@@ -247,7 +362,25 @@ def _bloom(batches):
     yield pa.RecordBatch.from_arrays([pa.array([np.packbits(bits).tobytes()])], ["bits"])
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, similarity: Fraction) -> DataFrame:
+def _sets_of(nodes: DataFrame, texts: DataFrame, rows: DataFrame, size: int) -> DataFrame:
+    """``node`` and ``members`` of every set among ``nodes``, from one of its texts.
+
+    A Bloom filter of bounded size over the texts' hashes goes to the scan, so that only
+    texts of such sets are read into sets and shuffled.
+    """
+    spark = texts.sparkSession
+    nodes = stage(nodes, "nodes")
+    one_text = rows.where("n > 0").groupBy("node").agg(F.min("text_hash").alias("text_hash"))
+    hashes = one_text.join(nodes, "node").select("text_hash")
+    bits = np.zeros(_BLOOM_BITS // 8, np.uint8)
+    for row in hashes.coalesce(8).mapInArrow(_bloom, "bits binary").collect():  # at most eight rows of two megabytes
+        bits |= np.frombuffer(row.bits, np.uint8)
+    wanted = spark.sparkContext.broadcast(np.unpackbits(bits).astype(bool))
+    found = texts.mapInArrow(lambda batches: _whole_sets(batches, size, wanted), "node bigint, members array<bigint>")
+    return stage(found.join(nodes, "node", "left_semi").dropDuplicates(["node"]), "sets")
+
+
+def _similar(pairs: DataFrame, sets: DataFrame, similarity: Fraction) -> DataFrame:
     """The pairs whose whole sets reach the similarity."""
     first = sets.select(F.col("node").alias("a"), F.col("members").alias("of_a"))
     second = sets.select(F.col("node").alias("b"), F.col("members").alias("of_b"))
@@ -258,7 +391,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, similarity: Fraction) -> DataFr
 
 
 def linked_sets(
-    texts: DataFrame, rows: DataFrame, size: int, similarity: Fraction, frequent_components: int = FREQUENT_COMPONENTS
+    texts: DataFrame, rows: DataFrame, size: int, similarity: Fraction, frequent_postings: int = FREQUENT_POSTINGS
 ) -> DataFrame:
     """``node`` and ``component`` of every set with a link; ``texts`` has one column, ``rows`` the first pass."""
     spark = texts.sparkSession
@@ -278,48 +411,22 @@ def linked_sets(
     indexed = texts.mapInArrow(
         lambda batches: _prefixes(batches, size, similarity, frequent), "node bigint, n int, prefix array<bigint>"
     )
-    led = stage(_led(indexed.select("node", "n", F.explode("prefix").alias("signature")).select("signature", "node", "n"), buckets), "prefixes")
+    placed = indexed.select("node", "n", F.posexplode("prefix").alias("place", "signature"))
+    led = stage(_led(placed.select("signature", "node", "n", "place"), buckets), "prefixes")
     if named_parts:
         led = _joined_parts(led, spark.createDataFrame(named_parts, "bucket bigint, whole bigint"))
 
-    # whole sets of the nodes that share a signature with another
-    near = led.select("node").unionAll(led.select(F.col("leader").alias("node"))).distinct()
-    hashes = rows.where("n > 0").groupBy("node").agg(F.min("text_hash").alias("text_hash")).join(near, "node").select("text_hash")
-    maps = hashes.coalesce(8).mapInArrow(_bloom, "bits binary").collect()  # at most eight rows of two megabytes
-    bits = np.zeros(_BLOOM_BITS // 8, np.uint8)
-    for row in maps:
-        bits |= np.frombuffer(row.bits, np.uint8)
-    wanted = spark.sparkContext.broadcast(np.unpackbits(bits).astype(bool))
-    found = texts.mapInArrow(lambda batches: _whole_sets(batches, size, wanted), "node bigint, members array<bigint>")
-    sets = stage(found.join(near, "node", "left_semi").dropDuplicates(["node"]), "sets")
+    leaders = led.select("signature", *[F.col(f"leader{c}") for c in ("", "_n", "_place")]).distinct()
+    postings = led.select("signature", "node", "n", "place").unionAll(leaders)
+    able = stage(_able(postings, similarity).drop("opened"), "postings")
 
-    links = stage(_verified(stage(_pairs(led, similarity), "pairs"), sets, similarity), "links")
-    known = stage(components(links), "known")
+    def links_of(pairs: DataFrame) -> DataFrame:
+        pairs = stage(pairs, "pairs")
+        nodes = pairs.select(F.col("a").alias("node")).unionAll(pairs.select(F.col("b").alias("node"))).distinct()
+        return stage(_similar(pairs, _sets_of(nodes, texts, rows, size), similarity), "links")
 
-    # signatures that still join several components
-    postings = led.select("signature", "node", "n").unionAll(
-        led.select("signature", F.col("leader").alias("node"), F.col("leader_n").alias("n")).distinct()
-    )
-    named = postings.join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    spans = named.groupBy("signature").agg(
-        F.min("component").alias("low"), F.max("component").alias("high"), F.approx_count_distinct("component").alias("kinds")
-    ).where("low < high")
-    spans = stage(spans.select("signature", "kinds"), "spans")
-    open_ = stage(named.join(spans, "signature"), "open")
-    single = open_.where(F.col("kinds") <= frequent_components).select("signature", "node", "n", "component")
-    many = open_.where(F.col("kinds") > frequent_components)
-    left, right = many.select("node", "n", "component", "signature"), many.select("node", F.col("signature").alias("other"))
-    both = left.join(right, "node").where("signature < other").select(F.xxhash64("signature", "other").alias("signature"), "node", "n", "component")
-    p, q = similarity.numerator, similarity.denominator
-    keyed = single.withColumn("kind", F.lit(1)).unionByName(both.withColumn("kind", F.lit(2)))
-    one, two = keyed.alias("one"), keyed.alias("two")
-    across = one.join(
-        two,
-        (F.col("one.signature") == F.col("two.signature")) & (F.col("one.kind") == F.col("two.kind"))
-        & (F.col("one.node") < F.col("two.node")) & (F.col("one.component") != F.col("two.component"))
-        & (F.least("one.n", "two.n") * q >= F.greatest("one.n", "two.n") * p),
-    ).select(F.col("one.node").alias("a"), F.col("two.node").alias("b")).distinct()
-    more = stage(_verified(stage(across, "across"), sets, similarity), "more-links")
+    known = stage(components(links_of(_to_leaders(able, similarity))), "known")
+    more = links_of(_across(_open(able, known), similarity, frequent_postings))
     # stars of the known components, joined by the further links
     return components(known.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(more))
 
@@ -330,19 +437,16 @@ def group(
     key: str = "doc_id",
     size: int = SHINGLE_WORDS,
     similarity: Fraction = SIMILARITY,
-    frequent_components: int = FREQUENT_COMPONENTS,
+    frequent_postings: int = FREQUENT_POSTINGS,
 ) -> DataFrame:
     """``key``, ``n_shingles`` and ``component_id`` (smallest key of its component) of every row."""
-    from pyspark.sql.pandas.types import to_arrow_type
-    from pyspark.sql.types import StructField, StructType
-
     chosen = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").cast("string").alias("text"))
     kind = chosen.schema["key"].dataType
     key_type = to_arrow_type(kind)
     fields = StructType.fromDDL("text_hash bigint, node bigint, n bigint, shingle bigint, count bigint").fields
     first = chosen.mapInArrow(lambda batches: _first_pass(batches, size, key_type), StructType([StructField("key", kind), *fields]))
     rows = stage(first, "fingerprints")
-    found = linked_sets(chosen.select("text"), rows, size, similarity, frequent_components)
+    found = linked_sets(chosen.select("text"), rows, size, similarity, frequent_postings)
     texts = rows.where("node IS NOT NULL").select("key", "node", "n")
     named = texts.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = named.where("n > 0").groupBy("component").agg(F.min("key").alias("least"))

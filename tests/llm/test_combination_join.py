@@ -60,7 +60,7 @@ def test_all_links_are_found(spark, monkeypatch, seed, limit, hot):
     monkeypatch.setattr(combination_join, "HOT_COUNT", hot)
     texts = corpus(seed)
     df = spark.createDataFrame([(i, t, "clash", 0) for i, t in enumerate(texts)], "doc_id bigint, text string, node string, n int").repartition(5)
-    got = {r.doc_id: (r.n_shingles, r.component_id) for r in combination_join.group(df, frequent_components=limit).collect()}
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in combination_join.group(df, frequent_postings=limit).collect()}
     sets = [shingle_set(t) for t in texts]
     assert got == {i: (len(sets[i]), c) for i, c in enumerate(plain_components(sets))}
     assert len({c for _, c in got.values()}) < len(texts) - 20
