@@ -50,9 +50,7 @@ EXTRA = 8
 #: Shingles moved to the end of the order, at most, and the count from which they are.
 FREQUENT_ENTRIES, FREQUENT_COUNT = 100_000, 32
 #: Postings from which a shingle is indexed in combinations.
-FREQUENT_POSTINGS = 16
-#: Random orders that give a frequent shingle its leaders.
-HOT_LEADERS = 4
+FREQUENT_POSTINGS = 40
 #: Count from which a shingle's postings are dealt over several tasks, about as many rows for each.
 HOT_COUNT = 1 << 17
 #: Bound of all such tasks together.
@@ -262,19 +260,15 @@ def _to_leaders(postings: DataFrame, similarity: Fraction) -> DataFrame:
 
     A signature's leaders are its most central node, the one whose signatures have the
     most postings, as the original of a family of copies has, and its first node in a
-    random order of all nodes; a frequent one also has those of more orders.  Pairs that are not tried here are found across
+    random order of all nodes.  Pairs that are not tried here are found across
     components later.
     """
     sizes = postings.groupBy("signature").agg(F.count(F.lit(1)).alias("postings"))
     central = postings.join(sizes, "signature").groupBy("node").agg(F.sum("postings").alias("central"))
     ranked = postings.join(central, "node")
     node = F.struct("node", "n")
-    orders = [F.min_by(node, F.xxhash64("node", F.lit(turn))) for turn in range(HOT_LEADERS)]
-    leaders = ranked.groupBy("signature").agg(
-        F.array(F.max_by(node, F.struct("central", "node")), orders[0]).alias("leaders"),
-        F.when(F.count(F.lit(1)) > FREQUENT_POSTINGS, F.array(*orders[1:])).alias("more"),
-    )
-    leaders = leaders.select("signature", F.concat("leaders", F.coalesce("more", F.slice("leaders", 1, 0))).alias("leaders"))
+    first = F.max_by(node, F.struct("central", "node")), F.min_by(node, F.xxhash64("node"))
+    leaders = ranked.groupBy("signature").agg(F.array(*first).alias("leaders"))
     led = postings.join(leaders, "signature").select("node", "n", F.explode(F.array_distinct("leaders")).alias("leader"))
     sized = led.where("node != leader.node").select(
         F.col("node").alias("a"), F.col("leader.node").alias("b"), "n", F.col("leader.n").alias("m")
