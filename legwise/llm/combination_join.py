@@ -294,7 +294,8 @@ def _across(open_: DataFrame, similarity: Fraction, frequent_postings: int) -> D
 
     def combined(early: DataFrame) -> DataFrame:
         many = early.where("frequent")
-        lists = many.groupBy("node").agg(F.sort_array(F.collect_list("signature")).alias("often"))  # of a prefix at most
+        placed = F.sort_array(F.collect_list(F.struct("place", "signature")))  # of a prefix at most, in the global order
+        lists = many.groupBy("node").agg(placed["signature"].alias("often"))
         return many.select("signature", *columns).join(lists.where(F.size("often") > 1), "node")
 
     def meet(smaller: DataFrame, larger: DataFrame, keys: list[str], *more: Column) -> DataFrame:
@@ -312,7 +313,8 @@ def _across(open_: DataFrame, similarity: Fraction, frequent_postings: int) -> D
     smaller = able.where(F.col("place") < F.col("n") - F.ceil(F.col("n") * (2 * p) / F.lit(p + q)) + 2)
     larger = able.where(F.col("place") < F.col("n") - _ceil_share("n", similarity) + 2)
     rare = meet(single(smaller), single(larger), ["signature"])
-    # combinations are met at their first shingle, and a pair at its first common combination only
+    # combinations are met at their first shingle, and a pair at its first common combination only; the first two
+    # common shingles of the global order are those that no place test excludes
     common = F.array_intersect("often", "often_2")
     first = (F.get(common, F.lit(0)) == F.col("signature")) & (F.size(common) > 1)
     often = meet(combined(smaller), combined(larger), ["signature"], first)

@@ -7,6 +7,7 @@ import re
 from itertools import combinations
 
 import pytest
+from pyspark.sql import functions as F
 
 from legwise.llm import combination_join
 from legwise.llm.components import components
@@ -66,6 +67,18 @@ def test_all_links_are_found(spark, monkeypatch, seed, limit, hot):
     assert len({c for _, c in got.values()}) < len(texts) - 20
 
 
+@pytest.mark.parametrize("signed", [(-5, 7, 9), (9, 7, -5)])
+def test_pairs_of_unequal_sets_meet_at_their_first_common_shingle(spark, signed):
+    """Ranks order the prefix, not signed hashes: any sign may come first; the last shingle is behind the allowed places."""
+    at_a, at_b = (0, 1, 3), (0, 1, 7)
+    rows = [(s, 1, 20, a, 1) for s, a in zip(signed, at_a)] + [(s, 2, 24, b, 2) for s, b in zip(signed, at_b)]
+    rows += [(100 + k, node, n, 10 + k, node) for node, n in ((1, 20), (2, 24)) for k in range(6)]
+    open_ = spark.createDataFrame(rows, "signature bigint, node bigint, n int, place int, component bigint")
+    open_ = open_.withColumn("postings", F.lit(50))
+    got = combination_join._across(open_, combination_join.SIMILARITY, 40).collect()
+    assert [(r.a, r.b) for r in got] == [(1, 2)]
+
+
 def test_odd_tables(spark):
     kind = "doc_id bigint, text string"
     assert combination_join.group(spark.createDataFrame([], kind)).count() == 0
