@@ -4,7 +4,7 @@ Two sets of similarity t or more share all but few shingles.  In one global orde
 rare shingles first, each set's prefix is long enough that such a pair has one
 rare-class shingle in common in both prefixes, or two frequent-class ones: with r
 allowed misses, a prefix of r + 2 or more shingles leaves at least two common ones,
-so frequent shingles may be indexed by pairs and rare ones alone.
+so frequent shingles need to give pairs by two only and rare ones alone.
 
 1. One pass over the texts gives every text's set fingerprint; equal sets are one
    node from here on, so copies are never compared.  The same pass counts shingles
@@ -16,7 +16,9 @@ so frequent shingles may be indexed by pairs and rare ones alone.
    here.
 3. A shingle whose nodes are now in one component needs nothing more.  Those of few
    postings (rare class) give the pairs across components; those of many (frequent
-   class) give such pairs in combinations of two only, a pair at its first one.
+   class) give such pairs in combinations of two only, a pair at its first one.  There
+   is no index of combinations: postings meet at the first shingle, and the second and
+   the components are conditions, so all postings of an open frequent shingle meet.
 4. A pair's common prefix shingles and what is behind the prefixes bound its overlap.
    Pairs that the bound allows are verified on their whole sets.
 
@@ -49,7 +51,7 @@ SIMILARITY = Fraction(75, 100)
 EXTRA = 8
 #: Shingles moved to the end of the order, at most, and the count from which they are.
 FREQUENT_ENTRIES, FREQUENT_COUNT = 100_000, 32
-#: Postings from which a shingle is indexed in combinations.
+#: Postings from which a shingle gives pairs only with a second one of that kind.
 FREQUENT_POSTINGS = 40
 #: Count from which a shingle's postings are dealt over several tasks, about as many rows for each.
 HOT_COUNT = 1 << 17
