@@ -457,9 +457,9 @@ def group(
 def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """One row of each group of ``docs``, that of the smallest key, with its own columns.
 
-    ``docs`` must be a table that is read in the same order each time, as written ones are.
+    The numbered rows are written: the numbers of a second scan may be others.
     """
-    numbered = docs.withColumn("_row", F.monotonically_increasing_id())
+    numbered = stage(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
     order = F.struct(F.col(f"`{key}`").isNull().alias("unknown"), F.col(f"`{key}`").alias("key"), "_row")
     found = group(numbered.select(order.alias("place"), F.col(f"`{text}`").alias("text")), "text", "place")
     first = found.where(F.col("place") == F.col("component_id")).select("place._row")

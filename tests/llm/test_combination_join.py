@@ -89,6 +89,22 @@ def test_odd_tables(spark):
     assert got == sorted(map(repr, expected))
 
 
+def test_kept_rows_do_not_depend_on_how_files_are_split(spark, tmp_path):
+    rows = [(i, f"text {i if i % 3 else i // 6} of its own words and more") for i in range(120)]
+    spark.createDataFrame(rows, "doc_id bigint, text string").repartition(12, "doc_id").write.parquet(str(tmp_path / "docs"))
+    kept = combination_join.keep_one(spark.read.parquet(str(tmp_path / "docs")))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")  # a second scan would get other partitions
+    try:
+        got = sorted(tuple(r) for r in kept.collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    first = {}
+    for i, text in rows:
+        first.setdefault(text, (i, text))
+    assert got == sorted(first.values())
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(0, 60)] + [(100, i) for i in range(101, 140)] + [(139, 200), (300, 300)]
     found = dict(components(spark.createDataFrame(edges, "a bigint, b bigint")).collect())
