@@ -136,9 +136,8 @@ def parse(page: str) -> Node:
                     node.children.append(" " if tag not in BLOCK else Node(tag, node))
                 continue
             dropped, names = (True, ()) if node.dropped else _unwanted(tag, attributes, node)
-            if tag in RAW and not attributes.endswith("/"):
-                close = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.I).search(page, at)
-                at = close.end() if close else end
+            if tag in RAW:
+                at = _after_raw(page, at, tag, attributes.endswith("/"))
                 continue
             child = Node(tag, node, names, dropped)
             if not dropped:
@@ -149,6 +148,21 @@ def parse(page: str) -> Node:
     return root
 
 
+def _after_raw(page: str, at: int, tag: str, self_closed: bool) -> int:
+    """Where a raw element's contents end.
+
+    Self-closed ones have none, unless their own end tag follows before another such element.
+    """
+    if self_closed and tag in ("svg", "math"):
+        return at
+    slash = "/?" if self_closed else "/"
+    ends = re.compile(rf"<({slash}){re.escape(tag)}(?=[\s/>])[^>]*>", re.I)
+    found = ends.search(page, at)
+    if self_closed and (found is None or not found[1]):
+        return at
+    return found.end() if found else len(page)
+
+
 def _close(node: Node, tag: str) -> Node:
     found = node
     while found is not None and found.tag != tag:

@@ -125,3 +125,18 @@ def test_given_pages(spark, sf):
         inside = re.search("<article>(.*?)</article>", row.html, re.S)[1]
         lines = (" ".join(html.unescape(re.sub("<[^>]*>", " ", part)).split()) for part in re.split("</?(?:p|h1)>", inside))
         assert row.text == "\n".join(line for line in lines if line)
+
+
+@pytest.mark.parametrize("tag", ["svg class='i'", "math", "iframe src='x'", "object data=a", "video src='v'", "audio", "canvas", "noscript"])
+def test_a_self_closed_raw_element_hides_nothing(tag):
+    first, second = ("%s paragraph, with some words, long enough to matter here." % which for which in ("First", "Second"))
+    page = f"<html><body><article><p>{first}</p><{tag} /><p>{second}</p></article></body></html>"
+    assert main_text(page).splitlines() == [first, second]
+    inside = f"<html><body><article><p>{first}</p><p><{tag}/>{second}</p></article></body></html>"
+    assert main_text(inside).splitlines() == [first, second]
+
+
+def test_a_slash_before_an_end_tag_of_its_own_hides_the_contents():
+    text = "A paragraph, with some words, long enough to matter here."
+    page = f"<html><body><article><script src=http://x/>var hidden = 1;</script><p>{text}</p></article></body></html>"
+    assert main_text(page) == text
