@@ -136,6 +136,13 @@ def train(
     return Model(places, weights, bias)
 
 
+def _last_hash(wanted: int, total: int) -> int:
+    """Last signed 64-bit hash of a range that holds about 1.2 times the wanted number of ``total`` rows."""
+    if 6 * wanted >= 5 * total:
+        return (1 << 63) - 1
+    return -(1 << 63) + (6 * wanted << 64) // (5 * total)
+
+
 def fit(
     docs: DataFrame, labels: DataFrame, learnt: Column, text: str = "text", key: str = "doc_id", label: str = "toxic",
     positives: int = POSITIVES, unlabelled: int = UNLABELLED,
@@ -157,14 +164,15 @@ def fit(
     confirmed = rows.join(F.broadcast(chosen), key).select(F.lit(True).alias("positive"), "text")
     total = rows.count()
     # a hash range that holds about the wanted number of rows
-    part = min(1.0, 1.2 * unlabelled / max(1, total))
-    drawn = rows.where(F.pmod(draw, F.lit(1 << 20)) < int(part * (1 << 20))).orderBy(draw, key).select(F.lit(False).alias("positive"), "text")
+    drawn = rows.where(draw <= _last_hash(unlabelled, total)).orderBy(draw, key).select(F.lit(False).alias("positive"), "text")
     schema = "positive boolean, features array<int>"
     found = [
         frame.mapInArrow(_feature_rows, schema).toArrow()
         for frame in (confirmed.limit(2 * positives), drawn.limit(unlabelled))
     ]
     toxic_rows, mixed_rows = ([r.values.to_numpy() for r in f.column("features")] for f in found)
+    if total and not mixed_rows:
+        raise ValueError(f"no unlabelled text was drawn from {total} rows; their ids may be few")
     prior = min(0.9, max(0.001, toxic / seen))
     return train(toxic_rows, mixed_rows, prior)
 

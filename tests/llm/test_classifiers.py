@@ -116,3 +116,17 @@ def test_held_out_accuracy(spark, name, label, least):
     assert found.columns[:4] == ["doc_id", "held_out", "score", "predicted"] and found.count() == 10_000
     judged = found.where("held_out").join(spark.read.parquet(f"{SF}/labels.parquet"), "doc_id")
     assert judged.agg(F.avg((F.col("predicted") == F.col(label)).cast("double"))).first()[0] > least
+
+
+@pytest.mark.parametrize("total", [13_000, 10**6, 2 * 10**10, 10**13])
+def test_the_unlabelled_range_is_not_empty_at_any_size(total):
+    share = (pu_toxicity._last_hash(10_000, total) + (1 << 63)) / 2**64
+    assert share * total == pytest.approx(12_000)
+
+
+def test_an_empty_draw_is_an_error(spark, toxic_table, monkeypatch):
+    assert pu_toxicity._last_hash(10_000, 12_000) == pu_toxicity._last_hash(10_000, 0) == (1 << 63) - 1
+    docs, labels, _ = toxic_table
+    monkeypatch.setattr(pu_toxicity, "_last_hash", lambda wanted, total: -(1 << 63))
+    with pytest.raises(ValueError, match="no unlabelled text"):
+        pu_toxicity.fit(docs, labels, F.lit(True))
