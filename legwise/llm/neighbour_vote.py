@@ -110,8 +110,9 @@ def fit(
     known = known.where(F.col(key).isNotNull() & F.col("label").isNotNull() & learnt)
     chosen = known.groupBy(key).agg(F.max("label").alias("label")).orderBy(F.xxhash64(key, F.lit("vote")), key).limit(labelled)
     rows = docs.select(F.col(f"`{key}`").alias(key), F.col(f"`{text}`").cast("string").alias("text"))
-    # at most ``labelled`` ids
-    sample = rows.join(F.broadcast(chosen), key).select("label", "text").limit(2 * labelled)
+    # at most ``labelled`` ids; of a repeated id the text with the smallest hash
+    one = F.min_by("text", F.xxhash64("text")).alias("text")
+    sample = rows.join(F.broadcast(chosen), key).groupBy(key, "label").agg(one).orderBy(key).select("label", "text")
     found = sample.mapInArrow(_term_rows, "label double, terms array<double>").toArrow()
     if not found.num_rows:
         return None

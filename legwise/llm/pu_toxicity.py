@@ -161,14 +161,16 @@ def fit(
     draw = F.xxhash64(key, F.lit("draw"))
     # at most ``positives`` ids
     chosen = known.where("label = 1").select(key).distinct().orderBy(draw, key).limit(positives)
-    confirmed = rows.join(F.broadcast(chosen), key).select(F.lit(True).alias("positive"), "text")
+    # of a repeated id the text with the smallest hash
+    one = F.min_by("text", F.xxhash64("text")).alias("text")
+    confirmed = rows.join(F.broadcast(chosen), key).groupBy(key).agg(one).orderBy(key).select(F.lit(True).alias("positive"), "text")
     total = rows.count()
     # a hash range that holds about the wanted number of rows
     drawn = rows.where(draw <= _last_hash(unlabelled, total)).orderBy(draw, key).select(F.lit(False).alias("positive"), "text")
     schema = "positive boolean, features array<int>"
     found = [
         frame.mapInArrow(_feature_rows, schema).toArrow()
-        for frame in (confirmed.limit(2 * positives), drawn.limit(unlabelled))
+        for frame in (confirmed, drawn.limit(unlabelled))
     ]
     toxic_rows, mixed_rows = ([r.values.to_numpy() for r in f.column("features")] for f in found)
     if total and not mixed_rows:

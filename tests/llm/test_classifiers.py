@@ -130,3 +130,14 @@ def test_an_empty_draw_is_an_error(spark, toxic_table, monkeypatch):
     monkeypatch.setattr(pu_toxicity, "_last_hash", lambda wanted, total: -(1 << 63))
     with pytest.raises(ValueError, match="no unlabelled text"):
         pu_toxicity.fit(docs, labels, F.lit(True))
+
+
+def test_copies_of_a_labelled_id_take_no_place_of_others(spark, toxic_table, monkeypatch):
+    docs = spark.createDataFrame([(1, f"copy {i}") for i in range(200)] + [(i, f"text {i}") for i in range(2, 12)], "doc_id int, text string")
+    labels = spark.createDataFrame([(i, i % 2, 1) for i in range(1, 12)], "doc_id int, quality int, toxic int")
+    space = neighbour_vote.fit(docs.coalesce(1), labels, F.lit(True), labelled=11)
+    assert len(space.labels) == 11
+    seen = []
+    monkeypatch.setattr(pu_toxicity, "train", lambda toxic, mixed, prior: seen.append(len(toxic)))
+    pu_toxicity.fit(docs.coalesce(1), labels, F.lit(True), positives=11)
+    assert seen == [11]
