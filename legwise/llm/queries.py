@@ -6,10 +6,15 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from legwise.llm import combination_join, hilbert_shards, neighbour_vote, piece_counts, pu_toxicity, rule_cascade, string_tiling, tier_packing, tree_extract, warc
+from legwise.llm import (
+    centroid_clustering, combination_join, fill_in_middle, hilbert_shards, marginal_unigrams, neighbour_vote, piece_counts, pu_toxicity,
+    rule_cascade, string_tiling, tier_packing, tree_extract, warc,
+)
 from legwise.llm.registry import ORACLE, QUERIES, query, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+#: Vocabulary of the language model.
+RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 __all__ = ["ORACLE", "QUERIES"]
 
@@ -139,3 +144,80 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_tree_extract")
 def op8_tree_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tree_extract.extract(table(spark, sf_dir, "pages"))
+
+
+@query("op11_marginal_unigrams")
+def op11_marginal_unigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = table(spark, sf_dir, "documents"), remainder(4) == 2
+    model = marginal_unigrams.fit(docs, ~held_out, RANKS)
+    return marginal_unigrams.predict(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+@query(
+    "op12_fill_in_middle",
+    """
+WITH given AS (
+  SELECT doc_id, coalesce(text, '') AS t, CAST(length(coalesce(text, '')) AS BIGINT) AS n,
+         sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+drawn AS (
+  SELECT doc_id, t, n, ('0x' || substr(h, 1, 8))::BIGINT % (n + 1) AS x, ('0x' || substr(h, 9, 8))::BIGINT % (n + 1) AS y,
+         CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>')
+                   OR ('0x' || substr(h, 17, 8))::BIGINT % 100 >= 90 THEN 'plain'
+              WHEN ('0x' || substr(h, 25, 8))::BIGINT % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM given),
+cut AS (
+  SELECT doc_id, t, n, form, least(x, y) AS a, greatest(x, y) AS b FROM drawn),
+parts AS (
+  SELECT *, substr(t, 1, a) AS p, substr(t, a + 1, b - a) AS m, substr(t, b + 1, n - b) AS s FROM cut)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                        ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM parts""",
+)
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fill_in_middle.transform(table(spark, sf_dir, "documents"))
+    output = F.col("output")
+    return found.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2(output.cast("binary"), 256).alias("output_sha256"),
+        F.sha2(fill_in_middle.restored(output, F.col("form")).cast("binary"), 256).alias("restored_sha256"),
+    )
+
+
+def _rounds_sql(rounds: int) -> str:
+    """The centroids c1 to c{rounds} and the nearest ones n0 to n{rounds}; distances are far below 2^50."""
+    parts = []
+    for k in range(rounds + 1):
+        parts.append(f"""
+n{k} AS (
+  SELECT r, nearest % 64 AS cluster, nearest // 64 AS distance FROM (
+    SELECT r, min(64 * CAST(list_sum(list_transform(range(1, 65), lambda j: (kept.v[j] - c{k}.v[j]) * (kept.v[j] - c{k}.v[j]))) AS BIGINT) + c) AS nearest
+    FROM kept, c{k} GROUP BY r))""")
+        if k < rounds:
+            parts.append(f"""
+s{k} AS (
+  SELECT cluster, j, CAST(sum(x) AS BIGINT) AS total, count(*) AS members
+  FROM (SELECT cluster, unnest(range(1, 65)) AS j, unnest(v) AS x FROM n{k} JOIN kept USING (r)) GROUP BY cluster, j),
+m{k} AS (
+  SELECT cluster, list((total - (total % members + members) % members) // members ORDER BY j) AS v FROM s{k} GROUP BY cluster),
+c{k + 1} AS (SELECT c, coalesce(m{k}.v, c{k}.v) AS v FROM c{k} LEFT JOIN m{k} ON c = cluster)""")
+    return ",".join(parts)
+
+
+@query(
+    "op13_simplex_clustering",
+    """
+WITH kept AS (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+c0 AS (
+  SELECT CAST(row_number() OVER (ORDER BY h, v) - 1 AS BIGINT) AS c, v
+  FROM (SELECT sha256('2:' || CAST(vec_id AS VARCHAR)) AS h, v FROM kept ORDER BY h, v LIMIT 40)),"""
+    + _rounds_sql(centroid_clustering.ROUNDS)
+    + """
+SELECT vec_id, CAST(cluster AS INTEGER) AS cluster, distance, CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+       CAST(sum(distance) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c5.v, ',')) AS centroid_sha256
+FROM n5 JOIN kept USING (r) JOIN c5 ON cluster = c""",
+)
+def op13_simplex_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroid_clustering.cluster(table(spark, sf_dir, "embeddings"))
