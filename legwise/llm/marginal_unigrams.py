@@ -267,7 +267,8 @@ def _used(batches, model: Model) -> Iterator[pa.RecordBatch]:
 def smoothed(uses: np.ndarray) -> np.ndarray:
     """Probabilities of the pieces in each language from their uses, mixed with the mean over languages."""
     own = uses / np.maximum(uses.sum(axis=0), 1e-300)
-    mean = (own.mean(axis=1) + 1e-7) / (1 + 1e-7 * len(own))
+    mean = own.mean(axis=1) + 1e-7
+    mean /= mean.sum()
     shares = (uses + PRIOR_USES * mean[:, None]) / (uses.sum(axis=0) + PRIOR_USES)
     return np.maximum(shares, LEAST)
 

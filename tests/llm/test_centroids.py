@@ -1,0 +1,102 @@
+"""Clustering behind simplex bounds against Lloyd's rounds in whole numbers, and the bounds against distances."""
+
+from __future__ import annotations
+
+import hashlib
+import math
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from legwise.llm import centroid_clustering as clustering
+
+INF, NAN = float("inf"), float("nan")
+
+
+def plain_version(rows, count, dimensions, rounds=5):
+    kept = [(i, [math.floor(256 * x) for x in v]) for i, v in rows
+            if v is not None and len(v) == dimensions and all(x is not None and math.isfinite(x) for x in v)]
+    order = sorted(kept, key=lambda r: (hashlib.sha256(f"2:{'' if r[0] is None else r[0]}".encode()).hexdigest(), r[1]))
+    centroids = [v for _, v in order[:count]]
+
+    def nearest(v):
+        return min((sum((a - b) ** 2 for a, b in zip(v, c, strict=True)), k) for k, c in enumerate(centroids))
+
+    for _ in range(rounds):
+        mine = [nearest(v)[1] for _, v in kept]
+        for k in range(len(centroids)):
+            members = [v for (_, v), m in zip(kept, mine, strict=True) if m == k]
+            if members:
+                centroids[k] = [sum(c) // len(members) for c in zip(*members, strict=True)]
+    found = [(i, *nearest(v)) for i, v in kept]
+    inertia = [sum(d for _, d, k in found if k == c) for c in range(len(centroids))]
+    digests = [hashlib.sha256(",".join(map(str, c)).encode()).hexdigest() for c in centroids]
+    return sorted(((i, k, d, inertia[k], sum(inertia), digests[k]) for i, d, k in found), key=repr)
+
+
+def run(spark, rows, count, dimensions, **more):
+    frame = spark.createDataFrame([(i, v, 7) for i, v in rows], "vec_id bigint, embedding array<float>, cluster int").repartition(3)
+    found = clustering.cluster(frame, centroids=count, dimensions=dimensions, **more)
+    assert found.columns == ["vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"]
+    return sorted((tuple(r) for r in found.collect()), key=repr)
+
+
+def rounded(rows):
+    return [(i, None if v is None else [None if x is None else float(np.float32(x)) for x in v]) for i, v in rows]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_against_plain_rounds(spark, seed):
+    draw = np.random.default_rng(seed)
+    middles = draw.normal(size=(5, 6))
+    rows = [(i, (middles[i % 5] + 0.3 * draw.normal(size=6)).tolist()) for i in range(150)]
+    rows += [(i, rows[i][1]) for i in range(20)]  # repeated rows
+    rows += [(200 + i, rows[3][1]) for i in range(60)]  # one vector under many ids
+    rows += [(None, rows[5][1]), (1, rows[9][1]), (300, None), (301, []), (302, [1.0] * 5), (303, [1.0] * 7), (304, [0.0] * 5 + [None]),
+             (305, [0.0] * 5 + [NAN]), (306, [0.0] * 5 + [INF]), (307, [-INF] + [0.0] * 5), (308, [0.0] * 6), (309, [-0.0] * 6), (310, [1000.0] * 6)]
+    assert run(spark, rows, 12, 6) == plain_version(rounded(rows), 12, 6)
+
+
+def test_fewer_vectors_than_centroids_and_none(spark):
+    rows = [(i, [float(i), 1.0]) for i in range(3)]
+    assert run(spark, rows, 40, 2) == plain_version(rows, 40, 2)
+    assert run(spark, [(1, None), (2, [1.0])], 40, 2) == []
+    assert run(spark, [], 40, 2) == []
+    same = [(i, [0.5, -0.5]) for i in range(9)]
+    assert run(spark, same, 4, 2) == plain_version(same, 4, 2)
+
+
+def test_components_beyond_a_long(spark):
+    with pytest.raises(Exception, match="beyond"):
+        run(spark, [(1, [1e30, 0.0]), (2, [0.0, 0.0])], 2, 2)
+    edge = [(1, [524287.0, -524287.0]), (2, [-524287.0, 524287.0]), (3, [0.0, 0.0])]
+    assert run(spark, edge, 2, 2) == plain_version(edge, 2, 2)
+
+
+points = st.lists(st.lists(st.integers(-40, 40) | st.integers(-(2**27) + 1, 2**27 - 1), min_size=4, max_size=4), min_size=1, max_size=30)
+
+
+@settings(max_examples=300, deadline=None)
+@given(points, points, st.integers(1, 6))
+def test_bounds_hold_and_nearest_is_exact(vectors, centroids, count):
+    vectors, centroids = np.array(vectors, np.int64), np.array(centroids, np.int64)
+    pivots = clustering.choose_pivots(centroids, count)
+    away = clustering.squared(vectors, pivots.points)
+    mine, theirs = clustering.project(away, pivots.base), clustering.project(clustering.squared(centroids, pivots.points), pivots.base)
+    lower, upper = clustering.bounds(mine, theirs)
+    exact = clustering.squared(vectors, centroids)
+    slack = clustering.SLACK * (1 + (mine**2).sum(axis=1).max() + (theirs**2).sum(axis=1).max())
+    assert (lower <= exact + slack).all() and (upper >= exact - slack).all()
+    cluster, distance, _ = clustering.nearest(vectors, away, centroids, pivots)
+    assert (cluster == exact.argmin(axis=1)).all() and (distance == exact.min(axis=1)).all()
+
+
+def test_bounds_leave_out_far_centroids():
+    draw = np.random.default_rng(0)
+    middles = draw.integers(-5000, 5000, (20, 16))
+    vectors = np.repeat(middles, 50, axis=0) + draw.integers(-50, 50, (1000, 16))
+    pivots = clustering.choose_pivots(middles)
+    _, _, measured = clustering.nearest(vectors, clustering.squared(vectors, pivots.points), middles, pivots)
+    assert measured < 2 * len(vectors)  # of 20 per vector
