@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -88,7 +88,7 @@ def write_table(
 
     ``rebalance`` gathers each edition into few files and splits an oversized one.
     """
-    _writer(df, partition_by, sort_by).mode("overwrite").parquet(path)
+    sorted_writer(df, partition_by, sort_by).mode("overwrite").parquet(path)
 
 
 def replace_editions(
@@ -96,14 +96,15 @@ def replace_editions(
 ) -> None:
     """Overwrite only the editions present in ``df``; all others stay as they are."""
     (
-        _writer(df, partition_by, sort_by)
+        sorted_writer(df, partition_by, sort_by)
         .option("partitionOverwriteMode", "dynamic")
         .mode("overwrite")
         .parquet(path)
     )
 
 
-def _writer(df: DataFrame, partition_by: Sequence[str], sort_by: Sequence[str]):
+def sorted_writer(df: DataFrame, partition_by: Sequence[str], sort_by: Sequence[str]) -> DataFrameWriter:
+    """A writer of balanced files per partition, sorted; the caller sets mode and format."""
     balanced = df.hint("rebalance", *partition_by)
     if sort_by:
         balanced = balanced.sortWithinPartitions(*[F.col(c).asc_nulls_last() for c in (*partition_by, *sort_by)])
