@@ -140,9 +140,19 @@ def drop_empty_columns(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
 
 
 def title_case_columns(df: DataFrame, words: Sequence[str] = ("winner", "jersey")) -> DataFrame:
-    """Title-case every column whose name contains one of the words."""
-    chosen = [c for c in df.columns if any(word in c.lower() for word in words)]
-    return df.withColumns({c: title_case(F.col(f"`{c}`")) for c in chosen})
+    """Title-case every text column, and every entry of a column of named texts, whose name contains one of the words."""
+
+    def named(name: Column) -> Column:
+        found = F.lit(False)
+        for word in words:
+            found |= F.contains(F.lower(name), F.lit(word))
+        return found
+
+    maps = [name for name, kind in df.dtypes if kind == "map<string,string>"]
+    chosen = [c for c in df.columns if c not in maps and any(word in c.lower() for word in words)]
+    texts = {c: title_case(F.col(f"`{c}`")) for c in chosen}
+    entries = {c: F.transform_values(F.col(f"`{c}`"), lambda k, v: F.when(named(k), title_case(v)).otherwise(v)) for c in maps}
+    return df.withColumns(texts | entries)
 
 
 def pace(distance: Column, seconds: Column) -> Column:

@@ -54,18 +54,58 @@ def with_page(
     return df.withColumn(into, content)
 
 
-def one_page_per_url(pages: DataFrame) -> DataFrame:
-    """One row per address; of a page stored more than once the one with the smallest text hash.
+def completeness(page: Column, html: Column) -> Column:
+    """How much of a page is there, as a struct that sorts: legs, tabs, figures, rows, length, and a hash for ties.
 
-    Only the repeated addresses, a small written table, are aggregated; the other
-    pages stay where they are.
+    A page that was cut off anywhere has no more of any of them than the whole one.
     """
-    repeated = stage(pages.groupBy("url").count().where("count > 1").select(F.col("url").alias("_url")), "repeated")
+    rows = F.aggregate(page["tables"], F.lit(0), lambda n, t: n + F.size(t["rows"]))
+    return F.struct(
+        F.size(page["options"]).alias("legs"),
+        F.size(page["tabs"]).alias("tabs"),
+        F.size(page["figures"]).alias("figures"),
+        rows.alias("rows"),
+        F.length(html).alias("length"),
+        F.xxhash64(html).alias("hash"),
+    )
+
+
+def page_versions(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """One page per address, and the addresses stored in versions that differ.
+
+    Of those the most complete one counts.  The second table has ``url``, ``n_versions``, ``n_rows``
+    and ``kept`` (the chosen one's completeness).  Only repeated addresses, a small written table, are
+    aggregated, and only those whose versions differ are read; all other pages stay where they are.
+    """
+    counted = pages.groupBy("url").agg(F.count(F.lit(1)).alias("n_rows"), F.min(F.xxhash64("html")).alias("_least"), F.max(F.xxhash64("html")).alias("_most"))
+    repeated = stage(
+        counted.where("n_rows > 1").select(F.col("url").alias("_url"), (F.col("_least") != F.col("_most")).alias("_differs")), "repeated"
+    )
     again = F.col("url").eqNullSafe(F.col("_url"))
-    chosen = pages.join(repeated, again, "left_semi").groupBy("url").agg(
-        F.min_by("html", F.xxhash64("html")).alias("html")
+    once = pages.select("url", "html").join(repeated, again, "left_anti")
+    copies = pages.select("url", "html").join(repeated.where(~F.col("_differs")), again, "left_semi").groupBy("url").agg(F.first("html").alias("html"))
+    ranked = with_page(pages.select("url", "html").join(repeated.where("_differs"), again, "left_semi"))
+    ranked = ranked.withColumn("_rank", completeness(F.col("page"), F.col("html"))).drop("page")
+    # written: its pages and the list of versions both come from it
+    chosen = stage(
+        ranked.groupBy("url").agg(
+            F.max_by("html", "_rank").alias("html"), F.max("_rank").alias("kept"),
+            F.count(F.lit(1)).alias("n_rows"), F.count_distinct("_rank.hash").alias("n_versions"),
+        ),
+        "page-versions",
+    )
+    whole = once.unionByName(copies).unionByName(chosen.select("url", "html"))
+    return whole, chosen.select("url", "n_versions", "n_rows", "kept")
+
+
+def version_rejects(versions: DataFrame, sites: Sequence[SeriesSite]) -> DataFrame:
+    """Reject rows naming the versions of a page that were left out."""
+    left_out, kept = F.col("n_versions") - 1, F.col("kept")
+    reason = F.format_string(
+        "%d other versions of this page; kept the most complete one (%d legs, %d rows, %d characters)",
+        left_out, kept["legs"], kept["rows"], kept["length"],
     )
-    return pages.select("url", "html").join(repeated, again, "left_anti").unionByName(chosen)
+    return versions.select(classify_host(F.col("url"), sites).alias("series"), "url", reason.alias("reason"))
 
 
 # --- links ------------------------------------------------------------------

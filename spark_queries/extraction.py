@@ -10,6 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from legwise.operators import extract as X
+from legwise.operators.opencolumns import other_cells, spread_out
 from legwise.functions.text import first_number
 from legwise.schema import RANKING_TABLE_CLASS, SeriesSite
 from spark_queries.registry import query
@@ -466,3 +467,47 @@ def latest_leg_per_edition(spark, sf_dir):
         F.nullif(F.month("l_shipdate"), F.lit(12)).cast("double").alias("leg"),
     )
     return X.latest_leg(legs, ["l_suppkey", "edition"])
+
+
+@query(
+    "page_versions",
+    """
+    SELECT url, count(*) AS n_rows, count(DISTINCT html) AS n_versions, CAST(max(length(html)) AS INTEGER) AS kept_length
+    FROM (SELECT url, html FROM pages UNION ALL SELECT url, html FROM pages
+          UNION ALL SELECT url, left(html, length(html) // 2) FROM pages UNION ALL SELECT url, left(html, length(html) // 3) FROM pages)
+    GROUP BY url HAVING count(DISTINCT html) > 1
+    """,
+)
+def page_versions(spark, sf_dir):
+    """Every page stored twice and cut off at a half and at a third: the whole one counts."""
+    pages = table(spark, sf_dir, "pages").select("url", "html")
+    cut = [pages.select("url", F.substring("html", F.lit(1), F.floor(F.length("html") / k).cast("int")).alias("html")) for k in (2, 3)]
+    chosen, listed = X.page_versions(pages.unionByName(pages).unionByName(cut[0]).unionByName(cut[1]))
+    lengths = chosen.select(F.col("url").alias("_url"), F.length("html").alias("kept_length"))
+    return listed.join(lengths, F.col("url").eqNullSafe(F.col("_url"))).select("url", "n_rows", "n_versions", "kept_length")
+
+
+@query(
+    "open_columns",
+    """
+    SELECT c_custkey, c_name AS winner,
+           CASE WHEN c_nationkey % 5 <> 0 AND c_mktsegment = 'BUILDING' THEN c_name END AS "BUILDING jersey",
+           CASE WHEN c_nationkey % 5 <> 0 AND c_mktsegment = 'MACHINERY' THEN c_name END AS "MACHINERY jersey",
+           CASE WHEN c_nationkey % 2 = 0 THEN c_mktsegment END AS note
+    FROM customer
+    """,
+)
+def open_columns(spark, sf_dir):
+    """Tables whose headers differ by row: a named column, two jerseys picked by their names, a note left in the map, an empty column nowhere."""
+    at = F.col("c_nationkey")
+    rows = table(spark, sf_dir, "customer").select(
+        "c_custkey",
+        F.array(F.lit("Stages"), F.lit("Winner of stage"), F.concat("c_mktsegment", F.lit(" jersey")), F.lit("Empty"), F.lit("Note")).alias("header"),
+        F.array(
+            F.col("c_custkey").cast("string"), F.col("c_name"), F.when(at % 5 != 0, F.col("c_name")), F.lit(None).cast("string"),
+            F.when(at % 2 == 0, F.col("c_mktsegment")),
+        ).alias("cells"),
+    )
+    named = rows.select("c_custkey", X.cell("Winner of stage").alias("winner"), other_cells(F.col("header"), F.col("cells"), ["Stages", "Winner of stage"]).alias("others"))
+    spread = spread_out(named, "others", lambda name: name.rlike("^(B|M).* jersey$"))
+    return spread.withColumn("note", F.col("others")["Note"]).drop("others")

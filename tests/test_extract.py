@@ -3,9 +3,12 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from legwise.functions.html import PageReader, pages_array
+from legwise import schema
+from legwise.functions.html import PageReader, pages_array, span
 from legwise.operators import extract as X
+from legwise.operators.opencolumns import merged, names, other_cells, spread_out
 from legwise.schema import RANKING_TABLE_CLASS
+from tests import site
 from tests.conftest import rows_of
 from tests.site import RANKING_CLASS, SITES, table
 
@@ -168,3 +171,64 @@ def test_short_ranking_rows_are_marked(spark):
         (0, "9", None, None), (2, None, "Sprint", 2), (3, "5", "Sprint", None),
     ]
     assert rows_of(X.ranking_rows(X.with_page(df).drop("html")), "row_no") == [(0,), (3,)]
+
+
+@pytest.mark.parametrize(
+    ("text", "most", "wanted"),
+    [("3", 1000, 3), (" 03 ", 1000, 3), ("²", 1000, 1), ("٣", 1000, 1), ("0", 1000, 1), ("-2", 1000, 1), ("", 1000, 1), ("x", 1000, 1),
+     ("1001", 1000, 1000), ("3000000", 1000, 1000), ("9" * 5000, 65534, 65534)],
+)
+def test_spans_have_limits(text, most, wanted):
+    assert span({"colspan": text}, "colspan", most) == wanted
+
+
+def test_spans_cannot_fill_memory():
+    cell = '<td colspan="1000000000" rowspan="999999999">a</td>'
+    wide = PageReader("f", (), "t", "b").read(f"<table><tr>{cell * 50}</tr></table>")[5][0][2]
+    assert len(wide) == 1 and len(wide[0][2]) == 1049
+    deep = PageReader("f", (), "t", "b").read(f"<table><tr>{cell}</tr>{'<tr><td>z</td></tr>' * 60_000}</table>")[5][0][2]
+    assert len(deep) == 60_001 and sum(len(r[2]) for r in deep) < 2**20 + 70_000
+    assert deep[1][2] == ["a"] * 1000 + ["z"] and deep[-1][2] == ["z"]
+    many = PageReader("f", (), "t", "b").read(f"<table><tr>{'<td>c</td>' * 200_000}</tr><tr><td rowspan=2>d</td></tr><tr></tr></table>")[5][0][2]
+    assert [len(r[2]) for r in many] == [200_000, 1, 1]
+
+
+def test_pages_cut_off_anywhere_are_less_complete():
+    page = site.year_page("Edition 2025", "3 338.5 ", ["Stage 1 : A &gt; B", "Stage 2 : B &gt; C"], [("1", "X", "Y", "1h"), ("2", "Z", "Y", "2h")], "/e", bibs=(1, 2))
+
+    def rank(html):
+        _, figures, options, tabs, _, tables = PageReader("statsInfos__number", schema.TAB_BUTTON_CLASSES, schema.TAB_LINK_ATTRIBUTE, "data-bib").read(html)
+        return len(options), len(tabs), len(figures), sum(len(t[2]) for t in tables), len(html)
+
+    ranks = [rank(page[:k]) for k in range(len(page) + 1)]
+    assert max(ranks) == ranks[-1] and ranks.count(ranks[-1]) == 1
+
+
+def test_page_versions(spark):
+    whole = "<h3>2001</h3>" + site.table([("1", "a"), ("2", "b")])
+    rows = [("u", whole), ("u", whole), ("u", whole[:-30]), ("u", "z" * 1000), ("v", "same"), ("v", "same"), ("w", "once"), (None, "x"), (None, "xy"), ("n", None), ("n", "text")]
+    chosen, listed = X.page_versions(spark.createDataFrame(rows, "url string, html string").repartition(3))
+    assert rows_of(chosen) == sorted([("u", whole), ("v", "same"), ("w", "once"), (None, "xy"), ("n", "text")], key=repr)
+    assert rows_of(listed, "url", "n_versions", "n_rows") == sorted([("u", 3, 4), (None, 2, 2), ("n", 2, 2)], key=repr)
+    empty, none = X.page_versions(spark.createDataFrame([], "url string, html string"))
+    assert empty.isEmpty() and none.isEmpty()
+
+
+def test_open_columns(spark):
+    rows = [
+        (1, ["Stages", "A", "A", "B"], ["1", "x", "y", None]), (2, ["Stages", "Id"], ["2", "i", "extra"]), (3, ["Stages"], ["3"]), (4, None, None),
+        (5, ["stages", None], ["s", "t"]), (6, ["A b", "a B"], ["1", "2"]),
+    ]
+    df = spark.createDataFrame(rows, "id int, header array<string>, cells array<string>")
+    found = df.select("id", other_cells(F.col("header"), F.col("cells"), ["Stages"]).alias("others"))
+    assert {r.id: r.others for r in found.collect()} == {
+        1: {"A": "x", "A (2)": "y"}, 2: {"Id": "i", "column 3": "extra"}, 3: None, 4: None, 5: {"stages": "s", "column 2": "t"}, 6: {"A b": "1", "a B": "2"}}
+    assert names(found, "others", lambda n: n.startswith("A")) == ["A", "A (2)", "A b"]
+    spread = spread_out(found, "others", lambda n: F.lower(n).rlike("^(a|id)"))
+    assert spread.columns == ["id", "others", "A", "A (2)", "A b"]  # Id is a column already, a B is A b
+    by_id = {r.id: r for r in spread.collect()}
+    assert by_id[2].others == {"Id": "i", "column 3": "extra"} and by_id[1]["A (2)"] == "y" and by_id[1].others is None
+    assert by_id[6]["A b"] == "1" and by_id[6].others == {"a B": "2"}
+    assert spread_out(found.limit(0), "others").columns == ["id", "others"]
+    both = spark.range(1).select(merged(F.expr("map('k', '1')"), F.expr("map('k', '2', 'm', '3')"), "x").alias("m"), merged(F.lit(None).cast("map<string,string>"), F.lit(None).cast("map<string,string>"), "x").alias("n")).first()
+    assert both.m == {"k": "1", "k (x)": "2", "m": "3"} and both.n is None
