@@ -82,6 +82,9 @@ def page_versions(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
         counted.where("n_rows > 1").select(F.col("url").alias("_url"), (F.col("_least") != F.col("_most")).alias("_differs")), "repeated"
     )
     again = F.col("url").eqNullSafe(F.col("_url"))
+    if repeated.isEmpty():
+        none = with_page(pages.limit(0)).withColumn("kept", completeness(F.col("page"), F.col("html")))
+        return pages.select("url", "html"), none.select("url", F.lit(0).alias("n_versions"), F.lit(0).alias("n_rows"), "kept")
     once = pages.select("url", "html").join(repeated, again, "left_anti")
     copies = pages.select("url", "html").join(repeated.where(~F.col("_differs")), again, "left_semi").groupBy("url").agg(F.first("html").alias("html"))
     ranked = with_page(pages.select("url", "html").join(repeated.where("_differs"), again, "left_semi"))
