@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from legwise.functions.numbers import to_number
 from legwise.schema import EDITION_KEY, MISSING_TEXTS
+from legwise.sources.csvsplits import scan_split_csv
 
 
 def missing_to_null(text: Column) -> Column:
@@ -27,8 +28,8 @@ def scan_csv(
 ) -> DataFrame:
     """A CSV with header as text columns, missing markers as NULL.
 
-    Quoted line breaks are read by default, one file by one task.  ``multiline=False`` splits
-    large files and is only for those without such cells.
+    Large files are read by many tasks each.  Quoted line breaks are read by default, which takes a
+    first pass over the files; ``multiline=False`` does without it and is only for files without such cells.
     ``with_order`` adds the columns of SOURCE_ORDER: number in a part file's name, file, start of
     the split in it, and a number that grows with the rows of a split.
     """
@@ -38,13 +39,19 @@ def scan_csv(
         .option("multiLine", multiline)
         .csv(path)
     )
-    columns = [missing_to_null(F.col(f"`{c}`")).alias(c) for c in raw.columns]
+    cells = [f"c{k}" for k in range(len(raw.columns))]
+    if multiline and cells:
+        rows = scan_split_csv(spark, path, cells, with_order)
+    else:
+        origin = [F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block")]
+        place = [*origin, F.monotonically_increasing_id().alias("line")] if with_order else []
+        rows = raw.select(*place, *[F.col(f"`{c}`").alias(cell) for c, cell in zip(raw.columns, cells)])
+    columns = [missing_to_null(F.col(cell)).alias(c) for c, cell in zip(raw.columns, cells)]
     if with_order:
-        part = F.regexp_extract("_metadata.file_name", r"^part-(\d+)", 1).try_cast("bigint")
-        origin = ("_metadata.file_path", "_metadata.file_block_start")
-        places = [F.coalesce(part, F.lit(-1)), *[F.col(c) for c in origin], F.monotonically_increasing_id()]
+        part = F.regexp_extract("path", r"/part-(\d+)[^/]*$", 1).try_cast("bigint")
+        places = [F.coalesce(part, F.lit(-1)), F.col("path"), F.col("block"), F.col("line")]
         columns += [place.alias(name) for place, name in zip(places, SOURCE_ORDER)]
-    return raw.select(*columns)
+    return rows.select(*columns)
 
 
 def typed(df: DataFrame, schema: T.StructType) -> DataFrame:
