@@ -1,10 +1,11 @@
 """Main text of HTML pages by tree scoring.
 
-A page becomes a small tree.  Scripts, menus, notices and the like are dropped by
-tag, role or class name.  Every paragraph gives points for its length and commas to
+A page becomes a small tree, in time linear in its length.  Scripts, menus, notices and the like are dropped by
+tag, role or class name.  A name counts if all its words say so (``ad``, ``share-buttons``, not ``share-price``); containers
+outside an article go by their name's first or last word, and inside one if most of their text is links besides.  Every paragraph gives points for its length and commas to
 its ancestors, full to the parent and less further up; a container's points are
-discounted by the share of its text inside links.  The best container is kept with
-those of its siblings that also read like text, its blocks one per line.
+discounted by the share of its text inside links.  The best container, or the article it is in, is kept with
+those of its siblings (beside an article: other articles) that also read like text, its blocks one per line.
 
 Defined results: a null or empty page has an empty text; broken markup is closed
 where the next block begins; every input row gives one row; other input columns are
@@ -22,12 +23,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|</([a-zA-Z][^\s/>]*)[^>]*>"
-    r"|<([a-zA-Z][^\s/>]*)([^>\"']*(?:\"[^\"<]*\"[^>\"']*|'[^'<]*'[^>\"']*)*)>|<([a-zA-Z][^\s/>]*)([^>]*)>",
-    re.S,
-)
-_ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden|style)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+#: A start tag: its name, and attributes whose quotes are closed; neither goes past a ``<``.
+_TAG = re.compile(r"<([a-zA-Z][^\s/<>]*+)((?:[^<>\"']++|\"[^\"<]*+\"|'[^'<]*+')*+)>")
+_NAME = re.compile(r"[a-zA-Z][^\s/<>]*+")
+_ATTRIBUTE = re.compile(r"([^\s/=>\"'][^\s/=>]*+)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>]++)))?+")
 _NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 # Element kinds of HTML.
@@ -55,6 +54,15 @@ DROPPED_NAMES = set(
     "pager toolbar login outbrain taboola topbar skip tracking paywall".split()
 )
 KEPT_NAMES = {"article", "entry", "post", "story"}
+# Words that say nothing about what a block is for.
+PLAIN_NAMES = set(
+    "area articles bar block blocks body bottom box btn btns button buttons c col column container content group header icons inner item items "
+    "js label left level line link links list main media msg message module outer page panel placeholder posts primary right row "
+    "secondary section site slot slots text title tool tools top unit units view wrap wrapper zone".split()
+)
+#: Containers outside an article that one word of their name is enough for, and the link share that is enough inside.
+CONTAINERS = {"div", "section", "ul", "ol", "dl", "table", "header", "figure", "details", "address"}
+MOSTLY_LINKS = 0.5
 PARAGRAPHS = {"p", "pre", "td", "blockquote", "li", "dd", "figcaption"}
 TAG_POINTS = {"article": 10, "main": 5, "div": 5, "section": 5, "pre": 3, "td": 3, "blockquote": 3}
 TAG_POINTS |= dict.fromkeys(("address", "ol", "ul", "dl", "dd", "dt", "li", "table", "tr"), -3)
@@ -63,133 +71,203 @@ HEADINGS = {"h1", "h2", "h3"}
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "names", "dropped", "score", "length", "linked", "links", "commas")
+    __slots__ = (
+        "tag", "parent", "children", "names", "dropped", "suspect", "inside", "depth", "block", "score", "length", "linked", "links", "commas",
+    )
 
-    def __init__(self, tag: str, parent: Node | None, names: tuple[str, ...] = (), dropped: bool = False):
-        self.tag, self.parent, self.names, self.dropped = tag, parent, names, dropped
+    def __init__(self, tag: str, parent: Node | None, names: tuple[str, ...] = (), dropped: bool = False, suspect: bool = False):
+        self.tag, self.parent, self.names, self.dropped, self.suspect = tag, parent, names, dropped, suspect
         self.children: list[Node | str] = []
         self.score = 0.0
         self.length = self.linked = self.links = self.commas = 0
+        self.depth = parent.depth + 1 if parent else 0
+        self.inside = tag in ("article", "main") or parent is not None and parent.inside
+        self.block = self if tag in BLOCK or parent is None else parent.block
 
     def link_density(self) -> float:
         return self.linked / self.length if self.length else 0.0
 
 
-def _unwanted(tag: str, attributes: str, parent: Node) -> tuple[bool, tuple[str, ...]]:
-    """Whether an element is dropped, and its class names."""
+def attributes_of(text: str) -> dict[str, str]:
+    """Attributes by lower-case name, read one after the other; the first of a name counts."""
+    found: dict[str, str] = {}
+    for name, double, single, bare in _ATTRIBUTE.findall(text):
+        found.setdefault(name.lower(), double or single or bare)
+    return found
+
+
+def _unwanted(tag: str, attributes: str, parent: Node) -> tuple[bool, tuple[str, ...], bool]:
+    """Whether an element is dropped, its class names, and whether it is to be dropped if it is mostly links."""
     if tag in DROPPED_TAGS or tag in RAW:
-        return True, ()
-    inside = parent
-    while inside is not None and inside.tag not in ("article", "main"):
-        inside = inside.parent
-    if tag == "header" and inside is None:
-        return True, ()
-    if not attributes or tag in ("html", "body", "article", "main"):
-        return False, ()
-    names: list[str] = []
-    for kind, double, single, bare in _ATTRIBUTE.findall(attributes):
-        kind, value = kind.lower(), double or single or bare
-        if kind == "role" and value.strip().lower() in DROPPED_ROLES:
-            return True, ()
-        if kind == "hidden" or kind == "aria-hidden" and value.lower() == "true":
-            return True, ()
-        if kind == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-            return True, ()
-        if kind in ("class", "id"):
-            names += value.split()
+        return True, (), False
+    if tag == "header" and not parent.inside:
+        return True, (), False
+    if not attributes or tag in ("html", "body", "article", "main") and "class" not in attributes.lower():
+        return False, (), False
+    given = attributes_of(attributes)
+    if given.get("role", "").strip().lower() in DROPPED_ROLES or "hidden" in given or given.get("aria-hidden", "").strip().lower() == "true":
+        return True, (), False
+    if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", given.get("style", ""), re.I):
+        return True, (), False
+    names, suspect = (*given.get("class", "").split(), *given.get("id", "").split()), False
     for name in names:
         parts = [part.lower() for part in _NAME_PARTS.findall(name)]
         if not parts or parts[0] in ("has", "with", "no", "js"):
             continue
+        if DROPPED_NAMES.intersection(parts) and all(part in DROPPED_NAMES or part in PLAIN_NAMES or part.isdigit() for part in parts):
+            return True, (), False
+        if tag in ("article", "main"):
+            continue
         if parts[0] in DROPPED_NAMES or parts[-1] in DROPPED_NAMES:
-            return True, ()
-        if parts[-1] == "header" and inside is None and not KEPT_NAMES.intersection(parts):
-            return True, ()
-    return False, tuple(names)
+            if not parent.inside and tag in CONTAINERS:
+                return True, (), False
+            suspect = True
+        if parts[-1] == "header" and not parent.inside and tag in CONTAINERS and not KEPT_NAMES.intersection(parts):
+            return True, (), False
+    return False, names, suspect
 
 
-def parse(page: str) -> Node:
-    """The tree of a page without its dropped elements' contents."""
-    root = node = Node("html", None)
-    at, end = 0, len(page)
+class Builder:
+    """The open elements of a page, and the way up from the innermost one."""
+
+    def __init__(self):
+        self.root = self.node = Node("html", None)
+        self.open: dict[str, list[Node]] = {}
+
+    def down(self, child: Node) -> None:
+        self.open.setdefault(child.tag, []).append(child)
+        self.node = child
+
+    def up(self, to: Node) -> None:
+        """Close everything up to ``to``, which stays open."""
+        while self.node is not to:
+            self.open[self.node.tag].pop()
+            self.node = self.node.parent
+
+    def innermost(self, tags) -> Node | None:
+        return max((self.open[t][-1] for t in tags if self.open.get(t)), key=lambda n: n.depth, default=None)
+
+    def end_inside(self, kinds, until) -> None:
+        """Close the innermost open element of ``kinds`` unless one of ``until`` is inside it."""
+        found, stop = self.innermost(kinds), self.innermost(until)
+        if found is not None and (stop is None or stop.depth < found.depth):
+            self.up(found.parent)
+
+    def end(self, tag: str) -> None:
+        found = self.innermost((tag,))
+        # an inline end tag does not close blocks
+        if found is not None and (tag in BLOCK or found.block is self.node.block):
+            self.up(found.parent)
+
+
+def _marks(page: str) -> Iterator[tuple[str, str, str, int]]:
+    """Text, end tags and start tags in order, as (kind, name or text, attributes, where it ends); send a place to go on from there.
+
+    Every character is looked at a bounded number of times: what is searched for ahead is remembered.
+    """
+    at, end, close = 0, len(page), -1
     while at < end:
-        match = _TOKEN.search(page, at)
-        text = page[at : match.start()] if match else page[at:]
-        if text and not node.dropped:
-            node.children.append(html.unescape(text) if "&" in text else text)
-        if match is None:
-            break
-        at = match.end()
-        closing, opening, attributes = match[1], match[2] or match[4], match[3] or match[5] or ""
-        if closing:
-            node = _close(node, closing.lower())
-        elif opening:
-            tag = opening.lower()
-            if tag in ("html", "body", "head"):
-                continue
-            if tag in BLOCK:
-                node = _end_paragraph(node)
-            if tag in ENDS:
-                node = _end_like(node, *ENDS[tag])
-            if tag in VOID:
-                if not node.dropped:
-                    node.children.append(" " if tag not in BLOCK else Node(tag, node))
+        begin = page.find("<", at)
+        if begin < 0:
+            yield "text", page[at:], "", end
+            return
+        if begin > at:
+            yield "text", page[at:begin], "", begin
+        at = begin
+        if close < at:
+            close = page.find(">", at)
+            if close < 0:
+                close = end
+        if page.startswith("<!--", at):
+            found = page.find("-->", at + 4)
+            at = end if found < 0 else found + 3
+            continue
+        following = page[at + 1 : at + 2]
+        if following in ("!", "?"):
+            at = min(close + 1, end)
+            continue
+        if following == "/":
+            name = _NAME.match(page, at + 2)
+            if name and close < end:
+                at = close + 1
+                yield "end", name[0].lower(), "", at
                 continue
-            dropped, names = (True, ()) if node.dropped else _unwanted(tag, attributes, node)
-            if tag in RAW:
-                at = _after_raw(page, at, tag, attributes.endswith("/"))
+        elif following.isascii() and following.isalpha() and close < end:
+            tag, found = _TAG.match(page, at), None
+            if tag is not None:
+                found = tag[1].lower(), tag[2], tag.end()
+            else:
+                cut = page.find("<", at + 1, close)
+                # quotes that are not closed: the tag ends where it seems to, unless another begins before
+                if cut < 0 or page.count('"', at, cut) % 2 or page.count("'", at, cut) % 2:
+                    name = _NAME.match(page, at + 1)
+                    found = name[0].lower(), page[name.end() : close], close + 1
+            if found is not None:
+                place = yield "start", *found
+                at = place or found[2]
                 continue
-            child = Node(tag, node, names, dropped)
-            if not dropped:
-                node.children.append(child)
-            elif not node.dropped and tag in BLOCK:
-                node.children.append(Node("hr", node))  # the block's place still parts what is around it
-            node = child
-    return root
+        yield "text", "<", "", at + 1
+        at += 1
+
+
+def parse(page: str) -> Node:
+    """The tree of a page without its dropped elements' contents."""
+    build, raw_ends = Builder(), {}
+    marks, place = _marks(page), None
+    while True:
+        try:
+            kind, name, attributes, at = marks.send(place)
+        except StopIteration:
+            return build.root
+        place, node = None, build.node
+        if kind == "text":
+            if not node.dropped:
+                node.children.append(html.unescape(name) if "&" in name else name)
+            continue
+        if kind == "end":
+            build.end(name)
+            continue
+        if name in ("html", "body", "head"):
+            continue
+        if name in BLOCK:
+            build.end_inside(("p",), SCOPE)
+        if name in ENDS:
+            build.end_inside(*ENDS[name])
+        node = build.node
+        if name in VOID:
+            if not node.dropped:
+                node.children.append(" " if name not in BLOCK else Node(name, node))
+            continue
+        dropped, names, suspect = (True, (), False) if node.dropped else _unwanted(name, attributes, node)
+        if name in RAW:
+            place = _after_raw(page, at, name, attributes.endswith("/"), raw_ends)
+            continue
+        child = Node(name, node, names, dropped, suspect)
+        if not dropped:
+            node.children.append(child)
+        elif not node.dropped and name in BLOCK:
+            node.children.append(Node("hr", node))  # the block's place still parts what is around it
+        build.down(child)
 
 
-def _after_raw(page: str, at: int, tag: str, self_closed: bool) -> int:
+def _after_raw(page: str, at: int, tag: str, self_closed: bool, known: dict) -> int:
     """Where a raw element's contents end.
 
     Self-closed ones have none, unless their own end tag follows before another such element.
+    ``known`` remembers the next tag of each kind, so a page is searched once for it.
     """
     if self_closed and tag in ("svg", "math"):
         return at
-    slash = "/?" if self_closed else "/"
-    ends = re.compile(rf"<({slash}){re.escape(tag)}(?=[\s/>])[^>]*>", re.I)
-    found = ends.search(page, at)
+    key = tag, self_closed
+    found = known.get(key)
+    if key not in known or found is not None and found.start() < at:
+        slash = "/?" if self_closed else "/"
+        found = known[key] = re.compile(rf"<({slash}){re.escape(tag)}(?=[\s/>])[^<>]*+>", re.I).search(page, at)
     if self_closed and (found is None or not found[1]):
         return at
     return found.end() if found else len(page)
 
 
-def _close(node: Node, tag: str) -> Node:
-    found = node
-    while found is not None and found.tag != tag:
-        if tag not in BLOCK and found.tag in BLOCK:
-            return node  # an inline end tag does not close blocks
-        found = found.parent
-    return found.parent if found is not None and found.parent is not None else node
-
-
-def _end_paragraph(node: Node) -> Node:
-    found = node
-    while found is not None and found.tag not in SCOPE:
-        if found.tag == "p":
-            return found.parent
-        found = found.parent
-    return node
-
-
-def _end_like(node: Node, kinds: set[str], until: set[str]) -> Node:
-    found = node
-    while found is not None and found.tag not in until:
-        if found.tag in kinds:
-            return found.parent
-        found = found.parent
-    return node
-
-
 def _ordered(root: Node) -> list[Node]:
     """Nodes, parents before children."""
     nodes = [root]
@@ -235,8 +313,9 @@ def _best(nodes: list[Node]) -> list[Node]:
         return [next((n for n in nodes if n.tag in ("article", "main")), nodes[0])]
     above = best
     while above is not None:
-        if above.tag == "article":
-            return [above]
+        if above.tag == "article" and above.parent is not None:
+            beside = [n for n in above.parent.children if not isinstance(n, str) and n.tag == "article"]
+            return [n for n in beside if n is above or n.length >= 0.2 * above.length and n.link_density() < MOSTLY_LINKS]
         above = above.parent
     if best.parent is None:
         return [best]
@@ -272,8 +351,10 @@ def _blocks(top: Node) -> Iterator[str]:
             if child.tag in BLOCK:
                 yield "".join(inline)
                 inline.clear()
-                if child.links > 1 and child.link_density() > 0.6 and child.tag not in PARAGRAPHS:
-                    continue  # a menu inside the article
+                if child.suspect and child.links and child.link_density() > MOSTLY_LINKS:
+                    continue  # named like a menu, and one
+                if not child.inside and child.links > 2 and child.link_density() > 0.6 and child.tag not in PARAGRAPHS:
+                    continue  # a menu among the text of a page without an article
             stack.append((child, iter(child.children)))
             break
         else:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import io
+import time
 
 import pytest
 
@@ -140,3 +141,51 @@ def test_a_slash_before_an_end_tag_of_its_own_hides_the_contents():
     text = "A paragraph, with some words, long enough to matter here."
     page = f"<html><body><article><script src=http://x/>var hidden = 1;</script><p>{text}</p></article></body></html>"
     assert main_text(page) == text
+
+
+LONG = "A paragraph of the article, with some words, long enough to matter here."
+
+
+@pytest.mark.parametrize(
+    "element",
+    ['<p title="The hidden valley">%s</p>', '<div data-src="/img/hidden/x.png">%s</div>', '<p data-hidden="false">%s</p>', '<p data-id="comments">%s</p>',
+     '<p data-role="alert">%s</p>', '<div id="social-science">%s</div>', '<p class="share-price">%s</p>', '<div class="story-related">%s</div>',
+     '<section id="notice-of-award">%s</section>', "<p title='class=\"ad\" hidden'>%s</p>", '<p data-x="a < b" class=lead>%s</p>', "<p title=\"it's\">%s</p>", "<p/ >%s</p>",
+     '<blockquote cite="http://x/hidden" class="with-ad">%s</blockquote>'],
+)
+def test_article_text_stays(element):
+    text = "What is said here, in this place, belongs to the article as well."
+    for around in ("<article>%s</article>", "<main><div>%s</div></main>"):
+        page = PAGE % (around % (f"<p>{LONG}</p>" + element % text + f"<p>{LONG}</p>"))
+        assert main_text(page).splitlines() == [LONG, text, LONG]
+
+
+@pytest.mark.parametrize(
+    "element",
+    ['<p hidden>%s</p>', '<div HIDDEN="">%s</div>', '<div class="ad">%s</div>', '<div class="ad-slot-2">%s</div>', '<div id="shareButtons">%s</div>', '<div class="comment-list">%s</div>',
+     '<div role=alert>%s</div>', '<p style="color:red; display : none">%s</p>', '<div class="related-articles">%s</div>', '<article class="comment">%s</article>',
+     '<div class="share-this-story"><a href=1>%s</a></div>', '<div aria-hidden="true">%s</div>', "<button>%s</button>"],
+)
+def test_what_is_not_article_text_goes(element):
+    page = PAGE % ("<article>" + f"<p>{LONG}</p>" + element % "Something else, that is not the article, but long enough." + f"<p>{LONG}</p></article>")
+    assert main_text(page).splitlines() == [LONG, LONG]
+
+
+def test_linked_lists_and_second_articles_stay():
+    links = "<ul><li><a href=1>First source of the claim</a></li><li><a href=2>Second source of the claim</a></li></ul>"
+    assert main_text(PAGE % f"<article><p>{LONG}</p>{links}</article>").splitlines() == [LONG, "First source of the claim", "Second source of the claim"]
+    two = f"<article><p>{LONG}</p><p>{LONG}</p></article><article><p>{LONG} Two.</p><p>{LONG}</p></article><article><p>Teaser.</p></article>"
+    assert main_text(PAGE % two).splitlines() == [LONG, LONG, LONG + " Two.", LONG]
+
+
+@pytest.mark.parametrize(
+    "page",
+    ["<a" * 100_000, "<a" * 100_000 + ">", "x<" + "y" * 1_000_000, "<p " + "z " * 500_000, "<div>" * 100_000 + "word", "<div><li>" * 50_000, "<ul>" + "<div><li></li>" * 50_000,
+     "<b>" * 100_000 + "</i>" * 100_000, "<i><div>" + "<b>" * 50_000 + "</i>" * 50_000, "<script/>" * 100_000, "<p title=\"" * 100_000, "<a '" * 100_000, "<!-" * 100_000,
+     "<p class=" + "ad" * 300_000 + ">word</p>", "</" * 200_000, "<svg/>" * 100_000, "<" * 300_000, "<p>" + "," * 500_000, "<table><tr>" * 30_000 + "<td>" * 30_000],
+    ids=lambda page: page[:12].strip(),
+)
+def test_long_odd_pages_take_linear_time(page):
+    begun = time.perf_counter()
+    main_text(page)
+    assert time.perf_counter() - begun < 12  # a second or so on a machine of its own; a quadratic walk takes minutes
