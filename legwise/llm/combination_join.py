@@ -459,8 +459,10 @@ def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFr
 
     The numbered rows are written: the numbers of a second scan may be others.
     """
-    numbered = stage(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
-    order = F.struct(F.col(f"`{key}`").isNull().alias("unknown"), F.col(f"`{key}`").alias("key"), "_row")
-    found = group(numbered.select(order.alias("place"), F.col(f"`{text}`").alias("text")), "text", "place")
-    first = found.where(F.col("place") == F.col("component_id")).select("place._row")
-    return numbered.join(first, "_row", "left_semi").drop("_row")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")  # no name of a column can meet one of ours
+    numbered = stage(docs.select(row, F.monotonically_increasing_id().alias("number")), "numbered")
+    given = F.col("row")[key]
+    order = F.struct(given.isNull().alias("unknown"), given.alias("key"), "number")
+    found = group(numbered.select(order.alias("place"), F.col("row")[text].alias("text")), "text", "place")
+    first = found.where(F.col("place") == F.col("component_id")).select("place.number")
+    return numbered.join(first, "number", "left_semi").select("row.*")

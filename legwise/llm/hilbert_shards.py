@@ -10,8 +10,9 @@ from a table of keys without texts; texts are shuffled once, straight to the run
 they belong to.
 
 Defined results: null dimensions sort before all values, null ids last; repeated
-rows take neighbouring slots; a column of the input that has the name of an added one
-is written with an underscore behind it; a null text has no bytes.
+rows take neighbouring slots of one run; a column of the input that has the name of an added one
+is written with underscores behind it, all others keep their names; ids that are no whole numbers
+are an error; a null text has no bytes.
 """
 
 from __future__ import annotations
@@ -32,6 +33,8 @@ from legwise.staging import shared_folder
 SHARDS = 16
 #: Bits of each dimension on the curve.
 BITS = 5
+#: Texts sorted by one task; there are as many runs as that takes.
+RUN_BYTES = 128 << 20
 ADDED = ("shard", "slot", "curve_index")
 
 
@@ -112,38 +115,50 @@ def write_shards(
     Added columns: ``shard``, ``slot`` (place in the shard, from 0) and ``curve_index``.
     """
     spark = docs.sparkSession
-    renamed = docs.select(*[F.col(f"`{c}`").alias(f"{c}_" if c in ADDED else c) for c in docs.columns])
-    dimensions = [f"{d}_" if d in ADDED else d for d in dimensions]
-    # ids in order, then a hash of the whole row, so that equal keys are equal rows
-    identity = F.coalesce(F.col(f"`{key}`").cast("bigint"), F.lit((1 << 63) - 1))
-    keyed = renamed.withColumns(
-        {
-            "curve_index": curve(renamed, dimensions, bits),
-            "_id": identity,
-            "_hash": F.xxhash64(*[F.col(f"`{c}`") for c in renamed.columns]),
-        }
+    names = _free_names(docs.columns)
+    renamed = docs.select(*[F.col(f"`{c}`").alias(names[c]) for c in docs.columns])
+    dimensions = [names[d] for d in dimensions]
+    columns = [F.col(f"`{c}`") for c in renamed.columns]
+    # ids in order, then a hash of the whole row, so that equal keys are equal rows; the row itself is one struct
+    identity = F.coalesce(F.col(f"`{names[key]}`").cast("bigint"), F.lit((1 << 63) - 1))
+    keyed = renamed.select(
+        curve(renamed, dimensions, bits).alias("curve_index"), identity.alias("_id"), F.xxhash64(*columns).alias("_hash"), F.struct(*columns).alias("_row")
     )
-    names = ["curve_index", "_id", "_hash"]
-    ranked = number_all(keyed.select(*names), names).withColumn("_at", F.col("position") - 1)
+    order = ["curve_index", "_id", "_hash"]
+    ranked = number_all(keyed.select(*order), order).withColumn("_at", F.col("position") - 1)
     total = ranked.count()
-    runs = shards * math.ceil(int(spark.conf.get("spark.sql.shuffle.partitions")) / shards)
+    texts = [F.coalesce(F.octet_length(f"`{c}`"), F.lit(0)) for c, kind in renamed.dtypes if kind in ("string", "binary")]
+    size = renamed.agg(F.sum(sum(texts, F.lit(16 * len(columns))).cast("bigint"))).first()[0] or 0
+    least = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // RUN_BYTES)
+    runs = shards * math.ceil(least / shards)
     run_of_rank = F.floor(F.col("_at") * runs / F.lit(max(total, 1)))
     # one row per run: the first key of every run but the first
     heads = ranked.where((F.col("_at") > 0) & (run_of_rank != F.floor((F.col("_at") - 1) * runs / F.lit(max(total, 1)))))
-    keys = sorted(tuple(r) for r in heads.select(*names).collect())
+    keys = sorted(tuple(r) for r in heads.select(*order).collect())
     run = _run_of(keys)
-    begins = dict(ranked.groupBy(run(*names).alias("run")).agg(F.min("_at")).collect())
-    begin = F.element_at(F.create_map(*[F.lit(v) for pair in (begins or {0: 0}).items() for v in pair]), F.col("_run"))
-    dealt = keyed.withColumn("_run", run(*names)).repartitionByRange(runs, "_run")
-    inside = F.row_number().over(Window.partitionBy("_run").orderBy("curve_index", "_id", "_hash"))
-    placed = dealt.withColumn("_at", begin + inside - 1)
+    begins = ranked.groupBy(run(*order).alias("_run")).agg(F.min("_at").alias("_begin"))
+    dealt = keyed.withColumn("_run", run(*order)).repartitionByRange(runs, "_run")
+    inside = F.row_number().over(Window.partitionBy("_run").orderBy(*order))
+    # two numbers a run, of RUN_BYTES or more each
+    placed = dealt.withColumn("_nth", inside).join(F.broadcast(begins), "_run").withColumn("_at", F.col("_begin") + F.col("_nth") - 1)
     shard = F.floor(F.col("_at") * shards / F.lit(max(total, 1)))
-    placed = placed.withColumn("shard", shard.cast("int"))
-    first = F.ceil(F.col("shard") * F.lit(total) / shards)
-    placed = placed.withColumn("slot", (F.col("_at") - first).cast("bigint")).drop("_id", "_hash", "_run", "_at")
+    placed = placed.withColumn("_shard", shard.cast("int"))
+    first = F.ceil(F.col("_shard") * F.lit(total) / shards)
+    placed = placed.select("_row.*", "curve_index", F.col("_shard").alias("shard"), (F.col("_at") - first).cast("bigint").alias("slot"))
     placed.sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(folder)
     return spark.read.schema(placed.schema).parquet(folder)
 
 
+def _free_names(columns: Sequence[str]) -> dict[str, str]:
+    """Names of the written columns: one that is an added one's gets underscores until it is nobody else's."""
+    names = {}
+    for column in columns:
+        name = column
+        while name in ADDED or name != column and name in columns:
+            name += "_"
+        names[column] = name
+    return names
+
+
 def new_folder(spark) -> str:
     return f"{shared_folder(spark)}/shards-{uuid.uuid4().hex}"

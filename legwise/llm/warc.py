@@ -13,7 +13,9 @@ that is read twice.
 
 Defined results: null payloads are empty; of rows with equal payloads of at least
 ``least`` bytes the one with the largest id is the response and the others revisit
-it; rows without an id are responses; other input columns are ignored.
+it; rows without an id are responses, and of rows that repeat the largest id all are; other input columns
+are ignored.  Members that are not gzip are passed over; records whose headers, length or digest (SHA-1, SHA-256,
+SHA-512 or MD5, in base 32 or hex; others are not checked) do not fit are left out and listed by ``rejects``.
 """
 
 from __future__ import annotations
@@ -186,25 +188,56 @@ def decode(member: bytes) -> tuple | None:
     block = rest[: int(fields["content-length"])]
     if len(block) < int(fields["content-length"]):
         return None
-    digest = fields.get("warc-payload-digest", "").removeprefix("sha1:") or None
+    stated = fields.get("warc-payload-digest") or None
     kind, http, payload, size = fields["warc-type"], b"", block, len(block)
     if "application/http" in fields.get("content-type", ""):
         http, _, payload = block.partition(b"\r\n\r\n")
         size = len(payload)
     if kind == "revisit":
         payload, size = None, int(_fields(http).get("content-length", 0))
-    elif digest is not None and payload_digest(payload) != digest:
-        raise ValueError(f"payload of {fields.get('warc-record-id')} does not have its digest")
-    return (fields.get("warc-record-id"), kind, fields.get("warc-refers-to"), fields.get("warc-target-uri"), digest, size, payload)
+    elif stated is not None and not has_digest(payload, stated):
+        raise Damaged(f"payload of {fields.get('warc-record-id')} does not have its digest")
+    return (fields.get("warc-record-id"), kind, fields.get("warc-refers-to"), fields.get("warc-target-uri"), bare_digest(stated), size, payload)
 
 
-def records_between(file, begin: int, end: int) -> Iterator[tuple]:
-    """The records that start in [begin, end)."""
+class Damaged(ValueError):
+    """A member that decodes as a record's would, but is not whole."""
+
+
+def has_digest(payload: bytes, stated: str) -> bool:
+    """Whether ``stated`` (``[algorithm:]digest`` in base 32 or hex, of any case) fits; unknown algorithms fit anything."""
+    algorithm, _, digest = stated.rpartition(":")
+    algorithm = algorithm.strip().lower().replace("-", "") or "sha1"
+    if algorithm not in ("sha1", "sha256", "sha512", "md5"):
+        return True
+    found = hashlib.new(algorithm, payload).digest()
+    return digest.strip().upper().rstrip("=") in (found.hex().upper(), b32encode(found).decode().rstrip("="))
+
+
+def bare_digest(stated: str | None) -> str | None:
+    """A SHA-1 digest in upper-case base 32 without its algorithm's name; any other as it is."""
+    if stated is None:
+        return None
+    algorithm, _, digest = stated.rpartition(":")
+    digest = digest.strip().upper()
+    if algorithm.strip().lower() not in ("", "sha1", "sha-1"):
+        return stated
+    return b32encode(bytes.fromhex(digest)).decode() if re.fullmatch("[0-9A-F]{40}", digest) else digest
+
+
+def records_between(file, begin: int, end: int, rejects: list | None = None) -> Iterator[tuple]:
+    """The records that start in [begin, end); places and reasons of members that are none go to ``rejects``."""
     source = _Bytes(file, begin)
     while source.find(end):
         start = source.at
         member = source.member()
-        row = decode(member) if member is not None else None
+        try:
+            row = decode(member) if member is not None else None
+            reason = None if row is not None or member is None else "headers or length of no record"
+        except Damaged as damage:
+            row, reason = None, str(damage)
+        if reason is not None and rejects is not None:
+            rejects.append((start, reason))
         if row is not None:
             yield row
         elif source.at == start:
@@ -233,14 +266,37 @@ def _read(batches, folder: str):
                 yield frame(rows)
 
 
-def read(files: DataFrame, folder: str, split_bytes: int = SPLIT_BYTES) -> DataFrame:
-    """The records of the files in a manifest, read in ranges of ``split_bytes``."""
+def _splits(files: DataFrame, split_bytes: int) -> DataFrame:
+    """Ranges of the files, one a task."""
     begins = F.expr(f"sequence(0L, greatest(size - 1, 0L), {split_bytes}L)")
     splits = files.where("size > 0").select("path", F.explode(begins).alias("begin"))
     splits = splits.select("path", "begin", (F.col("begin") + split_bytes).alias("end"))
-    # a hash of path and place deals the ranges out over the tasks
-    dealt = splits.repartition(F.col("path"), F.col("begin"))
-    return dealt.mapInArrow(lambda batches: _read(batches, folder), RECORDS)
+    # as many tasks as ranges: the rows are small, so their number must not be left to their size
+    return splits.repartition(max(1, splits.count()))
+
+
+def read(files: DataFrame, folder: str, split_bytes: int = SPLIT_BYTES) -> DataFrame:
+    """The records of the files in a manifest, read in ranges of ``split_bytes``; ``rejects`` lists what is left out."""
+    return _splits(files, split_bytes).mapInArrow(lambda batches: _read(batches, folder), RECORDS)
+
+
+def rejects(files: DataFrame, folder: str, split_bytes: int = SPLIT_BYTES) -> DataFrame:
+    """``path``, ``place`` and ``reason`` of members that are no whole record: headers, length or digest do not fit."""
+
+    def listed(batches):
+        store, _ = fs.FileSystem.from_uri(folder)
+        for batch in batches:
+            for path, begin, end in zip(*[column.to_pylist() for column in batch.columns]):
+                found: list = []
+                with store.open_input_file(path) as file:
+                    for _ in records_between(file, begin, end, found):
+                        pass
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([path] * len(found), pa.string()), pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.string())],
+                    ["path", "place", "reason"],
+                )
+
+    return _splits(files, split_bytes).mapInArrow(listed, "path string, place bigint, reason string")
 
 
 def record_number(name: str) -> Column:

@@ -109,3 +109,12 @@ def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(0, 60)] + [(100, i) for i in range(101, 140)] + [(139, 200), (300, 300)]
     found = dict(components(spark.createDataFrame(edges, "a bigint, b bigint")).collect())
     assert found == {**dict.fromkeys(range(61), 0), **dict.fromkeys([*range(100, 140), 200], 100)}
+
+
+def test_kept_rows_keep_every_column(spark):
+    names = ["_row", "row", "number", "key", "place", "node", "n", "a.b"]
+    text = "one two three four five six seven"
+    df = spark.createDataFrame([(i, text if i < 3 else f"{text} {i} " * i, *[f"{n}{i}" for n in names]) for i in range(6)], ["doc_id", "text", *names])
+    kept = combination_join.keep_one(df)
+    assert kept.columns == df.columns
+    assert sorted(r._row for r in kept.collect()) == ["_row0", "_row3", "_row4", "_row5"]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import io
 import time
@@ -72,6 +73,37 @@ def test_magic_inside_a_member_is_not_a_record():
     assert [r[0] for r in warc.records_between(io.BytesIO(b"junk\x1f\x8b\x08junk" + stored), 0, 1 << 20)] == ["<urn:x-record:1>"]
 
 
+def test_splits_are_read_by_as_many_tasks(spark):
+    folder = warc.new_folder(spark)
+    files = warc.write(spark.createDataFrame([(i, "u", f"page {i} " * 50, "s") for i in range(200)], SCHEMA).repartition(2), folder)
+    few, many = warc.read(files, folder, 1 << 30), warc.read(files, folder, 512)
+    assert many.rdd.getNumPartitions() > 20 > few.rdd.getNumPartitions()
+    assert many.count() == few.count() == 200
+
+
+def test_foreign_digests_and_damaged_records(spark, tmp_path):
+    body = b"some payload"
+    sha1, sha256 = hashlib.sha1(body), hashlib.sha256(body)
+
+    def member(name, digest, length=len(body)):
+        head = f"WARC/1.0\r\nWARC-Type: resource\r\nWARC-Record-ID: {name}\r\nContent-Length: {length}\r\n"
+        return gzip.compress((head + (f"WARC-Payload-Digest: {digest}\r\n" if digest else "") + "\r\n").encode() + body + b"\r\n\r\n")
+
+    base32 = base64.b32encode(sha1.digest()).decode()
+    good = [("a", f"sha1:{base32}"), ("b", f"SHA1:{base32.lower()}"), ("c", f"sha1:{sha1.hexdigest()}"), ("d", f"sha256:{sha256.hexdigest()}"),
+            ("e", "blake3:whatever"), ("f", None), ("g", base32)]
+    bad = [member("x", "sha1:" + "A" * 32), member("y", None, 500), gzip.compress(b"WARC/1.0 nothing else"), gzip.compress(b"no record at all")]
+    data = b"".join([*(member(*g) for g in good), *bad, b"junk", member("z", None)])
+    (tmp_path / "foreign.warc.gz").write_bytes(data)
+    files = spark.createDataFrame([(str(tmp_path / "foreign.warc.gz"), len(data))], "path string, size bigint")
+    for split in (100, 1 << 20):
+        read = {r.record_id: r.payload_digest for r in warc.read(files, f"file://{tmp_path}", split).collect()}
+        assert sorted(read) == ["a", "b", "c", "d", "e", "f", "g", "z"]
+        assert read["a"] == read["b"] == read["c"] == read["g"] == base32 and read["d"] == good[3][1] and read["f"] is None
+        left = warc.rejects(files, f"file://{tmp_path}", split).orderBy("place").collect()
+        assert [r.reason for r in left] == ["payload of x does not have its digest"] + ["headers or length of no record"] * 2
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><script>var t="<p>no</p>";</script><style>p{}</style></head><body
 class="has-sidebar"><header><h1>Site</h1></header><nav><ul><li><a href=1>Menu</a></li></ul></nav>
 <div id="cookie-notice"><p>We use cookies, a lot of them, really, and you have to agree to it.</p></div>

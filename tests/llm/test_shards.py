@@ -51,3 +51,31 @@ def test_shards_are_narrow_in_every_dimension(spark):
     written = shards.write_shards(df, shards.new_folder(spark), ("lang", "n_chars"))
     width = written.groupBy("shard").agg((F.max("n_chars") - F.min("n_chars")).alias("w"), F.countDistinct("lang").alias("l")).collect()
     assert np.mean([r.w for r in width]) < 40 and np.mean([r.l for r in width]) < 40
+
+
+def test_no_column_is_lost(spark):
+    """Names of added columns, of internal ones, and of what the added ones are renamed to."""
+    names = ["shard", "shard_", "slot", "curve_index", "_id", "_hash", "_run", "_row", "_at", "_nth", "_begin", "position", "a b.c"]
+    df = spark.range(60).selectExpr("id AS doc_id", "cast(id % 3 as string) AS lang", *[f"cast(id * {k} as string) AS `{n}`" for k, n in enumerate(names, 1)])
+    written = shards.write_shards(df, shards.new_folder(spark), ("lang", "_run", "shard"), shards=4)
+    assert set(written.columns) == {"doc_id", "lang", "shard", "slot", "curve_index", "shard__", "shard_", "slot_", "curve_index_", *names[4:]}
+    renamed = {"shard": "shard__", "slot": "slot_", "curve_index": "curve_index_"}
+    back = written.select("doc_id", "lang", *[F.col(f"`{renamed.get(n, n)}`").alias(n) for n in names])
+    assert back.exceptAll(df).isEmpty() and df.exceptAll(back).isEmpty()
+
+
+def test_against_one_global_order(spark):
+    """Slots are places in the plain order by (curve index, id, hash)."""
+    df = rows(spark, 500).select("doc_id", "text", "lang", "source", "n_chars")
+    written = shards.write_shards(df, shards.new_folder(spark), shards=7).collect()
+    assert sorted(r.curve_index for r in written) == [r.curve_index for r in sorted(written, key=lambda r: (r.shard, r.slot))]
+    for a, b in zip(ordered := sorted(written, key=lambda r: (r.shard, r.slot)), ordered[1:]):
+        assert (a.curve_index, a.doc_id is None, a.doc_id or 0) <= (b.curve_index, b.doc_id is None, b.doc_id or 0)
+
+
+def test_runs_grow_with_the_texts(spark, monkeypatch):
+    monkeypatch.setattr(shards, "RUN_BYTES", 1000)
+    df = rows(spark, 400, 5)
+    written = shards.write_shards(df, shards.new_folder(spark), shards=4)
+    assert written.count() == df.count() and len(written.inputFiles()) >= 4
+    assert sorted(r.slot for r in written.where("shard = 1").collect()) == list(range(written.where("shard = 1").count()))
