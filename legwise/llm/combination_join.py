@@ -57,7 +57,7 @@ FREQUENT_POSTINGS = 40
 HOT_COUNT = 1 << 17
 #: Bound of all such tasks together.
 HOT_PARTS = 10_000
-_COUNT_BUFFER = 1 << 22
+_COUNT_BUFFER = 1 << 21
 _BLOOM_BITS = 1 << 24
 
 
@@ -94,9 +94,13 @@ class _Counts:
     def merge(self) -> None:
         if not self.buffer:
             return
-        values, counts = np.unique(np.concatenate(self.buffer), return_counts=True)
+        held = np.concatenate(self.buffer)
+        self.buffer = []
+        held.sort()
+        begins = np.flatnonzero(np.concatenate([[True], held[1:] != held[:-1]]))
+        counts = np.diff(np.append(begins, len(held)))
         often = counts > 2
-        values = np.concatenate([self.values, values[often]])
+        values = np.concatenate([self.values, held[begins[often]]])
         order = np.argsort(values, kind="stable")
         weights = np.concatenate([self.counts, counts[often]])[order]
         self.values, begins = np.unique(values[order], return_index=True)
@@ -330,12 +334,13 @@ def _across(open_: DataFrame, similarity: Fraction, frequent_postings: int) -> D
 
 def _whole_sets(batches, size: int, wanted):
     """(node, members) of the texts whose hash may be wanted; once per task."""
-    bits = wanted.value
+    bits = np.frombuffer(wanted.value, np.uint8)
     seen: set[int] = set()
     for batch in batches:
         hashes = _text_hashes(batch.column(0))
-        low, high = hashes & np.uint64(_BLOOM_BITS - 1), (hashes >> np.uint64(32)) & np.uint64(_BLOOM_BITS - 1)
-        keep = bits[low] & bits[high]
+        keep = np.ones(len(hashes), bool)
+        for at in _bloom_places(hashes):
+            keep &= (bits[at >> np.uint64(3)] << (at & np.uint64(7)).astype(np.uint8) & 128) > 0
         keep &= np.array([not (h in seen or seen.add(h)) for h in hashes.tolist()], bool)
         for block in blocks(batch.column(0).filter(pa.array(keep))):
             nodes, lists = [], []
@@ -350,13 +355,18 @@ def _whole_sets(batches, size: int, wanted):
             )
 
 
+def _bloom_places(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The two bits of every hash."""
+    return hashes & np.uint64(_BLOOM_BITS - 1), (hashes >> np.uint64(32)) & np.uint64(_BLOOM_BITS - 1)
+
+
 def _bloom(batches):
     """Bits of this task's hashes as one row of bounded size."""
     bits = np.zeros(_BLOOM_BITS, bool)
     for batch in batches:
         hashes = batch.column(0).to_numpy().view(np.uint64)
-        bits[hashes & np.uint64(_BLOOM_BITS - 1)] = True
-        bits[(hashes >> np.uint64(32)) & np.uint64(_BLOOM_BITS - 1)] = True
+        for at in _bloom_places(hashes):
+            bits[at] = True
     yield pa.RecordBatch.from_arrays([pa.array([np.packbits(bits).tobytes()])], ["bits"])
 
 
@@ -373,9 +383,11 @@ def _sets_of(nodes: DataFrame, texts: DataFrame, rows: DataFrame, size: int) ->
     bits = np.zeros(_BLOOM_BITS // 8, np.uint8)
     for row in hashes.coalesce(8).mapInArrow(_bloom, "bits binary").collect():  # at most eight rows of two megabytes
         bits |= np.frombuffer(row.bits, np.uint8)
-    wanted = spark.sparkContext.broadcast(np.unpackbits(bits).astype(bool))
+    wanted = spark.sparkContext.broadcast(bits.tobytes())
     found = texts.mapInArrow(lambda batches: _whole_sets(batches, size, wanted), "node bigint, members array<bigint>")
-    return stage(found.join(nodes, "node", "left_semi").dropDuplicates(["node"]), "sets")
+    sets = stage(found.join(nodes, "node", "left_semi").dropDuplicates(["node"]), "sets")
+    wanted.unpersist()
+    return sets
 
 
 def _similar(pairs: DataFrame, sets: DataFrame, similarity: Fraction) -> DataFrame:
@@ -411,6 +423,7 @@ def linked_sets(
     )
     placed = indexed.select("node", "n", F.posexplode("prefix").alias("place", "signature"))
     led = stage(_led(placed.select("signature", "node", "n", "place"), buckets), "prefixes")
+    frequent.unpersist()
     if named_parts:
         led = _joined_parts(led, spark.createDataFrame(named_parts, "bucket bigint, whole bigint"))
 

@@ -48,23 +48,29 @@ def _longest_run(text: str) -> int:
 
 class Encoder:
     def __init__(self, definition: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
-        from tokenizers import Tokenizer
-
         parts = json.loads(definition)
         split = parts["pre_tokenizer"] or {}
         plain = split.get("type") == "ByteLevel" and split.get("use_regex") and not split.get("add_prefix_space")
         added = parts.get("added_tokens", [])
         if not plain or parts.get("normalizer") or any(a["lstrip"] or a["rstrip"] or a["single_word"] for a in added):
             raise ValueError("only plain byte-level BPE tokenizers are read pre-token by pre-token")
-        self.library = Tokenizer.from_str(definition)
-        self.library.no_truncation()
-        self.library.no_padding()
+        self.definition = definition
         specials = sorted((a["content"] for a in added), key=len, reverse=True)
         self.special = regex.compile("(" + "|".join(map(regex.escape, specials)) + ")") if specials else None
         self.parts = parts
         self.known: dict[str, int] = {}
 
+    @cached_property
+    def library(self):
+        """The tokenizer's own library; built where it is used, since a worker that encodes whole texts hardly needs it."""
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
+        from tokenizers import Tokenizer
+
+        library = Tokenizer.from_str(self.definition)
+        library.no_truncation()
+        library.no_padding()
+        return library
+
     def pretokens(self, text: str) -> Iterator[list[str]]:
         """The pre-tokens of ``text`` in order, a list for each segment; special strings stand alone."""
         for k, part in enumerate(self.special.split(text) if self.special else [text]):
