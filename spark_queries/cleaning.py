@@ -11,7 +11,7 @@ from legwise.operators import clean, normalise
 from legwise.schema import Role
 from spark_queries import views
 from spark_queries.registry import query
-from spark_queries.views import spread_table, table
+from spark_queries.views import columns_of, table
 
 # --- numbers ----------------------------------------------------------------
 
@@ -88,7 +88,7 @@ def canonical_cells(spark, sf_dir):
         .otherwise(F.concat(F.col("o_orderkey").cast("string"), F.lit(".50 ")))
     )
     priority = F.concat(F.lit("\t "), F.col("o_orderpriority"), F.lit(" "))
-    return spread_table(
+    return columns_of(
         spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"
     ).select(
         "o_orderkey", N.canonical(cell).alias("cell"), N.canonical(priority).alias("priority")
@@ -112,7 +112,7 @@ _SECONDS = "CAST(floor(l_extendedprice) AS BIGINT)"
 def duration_roundtrip(spark, sf_dir):
     seconds = F.floor("l_extendedprice")
     return (
-        spread_table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_extendedprice")
+        columns_of(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_extendedprice")
         .select("l_orderkey", "l_linenumber", seconds.alias("seconds"))
         .withColumn("printed", D.duration_text(F.col("seconds")))
         .withColumn("parsed", D.duration_seconds(F.col("printed")))
@@ -144,7 +144,7 @@ def duration_forms(spark, sf_dir):
         .when(priority == "4-NOT SPECIFIED", F.format_string("%02d:%02d:%02d", h, m, s))
         .otherwise("not a time")
     )
-    return spread_table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderpriority").select("o_orderkey", D.duration_seconds(text).alias("seconds"))
+    return columns_of(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderpriority").select("o_orderkey", D.duration_seconds(text).alias("seconds"))
 
 
 @query(
@@ -220,7 +220,7 @@ def format_margin(spark, sf_dir):
 )
 def title_case_names(spark, sf_dir):
     """Whole documents in title case."""
-    return spread_table(spark, sf_dir, "documents", "doc_id", "text").select("doc_id", X.title_case(F.col("text")).alias("titled"))
+    return columns_of(spark, sf_dir, "documents", "doc_id", "text").select("doc_id", X.title_case(F.col("text")).alias("titled"))
 
 
 @query(
@@ -405,7 +405,7 @@ def drop_empty_columns(spark, sf_dir):
 
 
 def _texts(spark, sf_dir):
-    items = spread_table(
+    items = columns_of(
         spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_tax", "l_returnflag", "l_linestatus",
     )

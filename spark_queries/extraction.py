@@ -14,7 +14,7 @@ from legwise.operators.opencolumns import other_cells, spread_out
 from legwise.functions.text import first_number
 from legwise.schema import RANKING_TABLE_CLASS, SeriesSite
 from spark_queries.registry import query
-from spark_queries.views import spread_table, table
+from spark_queries.views import columns_of, table
 
 
 @query(
@@ -47,7 +47,7 @@ def url_number(spark, sf_dir):
 )
 def page_headings(spark, sf_dir):
     """First heading of every page with entities resolved."""
-    read = X.with_page(spread_table(spark, sf_dir, "pages", "page_id", "html"))
+    read = X.with_page(columns_of(spark, sf_dir, "pages", "page_id", "html"))
     heading = X.first_heading(F.col("page"), "h1")
     return read.select("page_id", heading.alias("heading"), F.right(heading, F.lit(4)).alias("ending"))
 
@@ -237,7 +237,7 @@ def tab_links(spark, sf_dir):
 
 def _orders(spark, sf_dir):
     columns = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_orderdate"]
-    return spread_table(spark, sf_dir, "orders", *columns)
+    return columns_of(spark, sf_dir, "orders", *columns)
 
 
 def _escaped(text: Column) -> Column:
@@ -270,7 +270,7 @@ def _table(*rows: Column, css: str = "") -> Column:
 )
 def html_table_roundtrip(spark, sf_dir):
     """Whole documents written into table cells and read back by header name."""
-    documents = spread_table(spark, sf_dir, "documents", "doc_id", "lang", "text")
+    documents = columns_of(spark, sf_dir, "documents", "doc_id", "lang", "text")
     html = _table(_header("Lang", "Text"), _row(F.col("lang"), _escaped(F.col("text"))))
     read = X.with_page(documents.select("doc_id", html.alias("html"))).drop("html")
     rows = X.table_rows(read, X.first_table(F.col("page")))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from legwise.operators import integrity, textblocks
 from spark_queries.registry import query
-from spark_queries.views import spread_table, table
+from spark_queries.views import columns_of, table
 
 _VERSIONS = """
 WITH old AS (
@@ -93,7 +93,7 @@ def _marked(spark, sf_dir):
         .when(F.col("lang") == "fr", F.concat(text, F.lit(start + "a\\1$0" + end)))
         .otherwise(F.concat(F.lit("x" + start), text, F.lit(end), F.col("source")))
     )
-    return spread_table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source").select("doc_id", wrapped.alias("text"))
+    return columns_of(spark, sf_dir, "documents", "doc_id", "text", "lang", "source").select("doc_id", wrapped.alias("text"))
 
 
 @query(

@@ -8,7 +8,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from legwise.operators import joins
+from legwise.operators.analytics import overlaps
 from legwise.operators.ordering import number_rows
+from legwise.operators.written_order import order_faults
+from legwise.plans.jobs import export_jobs, outcome_table, run_side_by_side
+from legwise.schema import Role
 from legwise.sources import tables as sources
 from legwise.staging import shared_folder
 from spark_queries.registry import query
@@ -211,3 +215,80 @@ def csv_source_order(spark, sf_dir):
     scanned = sources.scan_csv(spark, path, with_order=True)
     placed = number_rows(scanned, [], sources.SOURCE_ORDER)
     return placed.select(F.col("o_orderkey").cast("bigint").alias("o_orderkey"), "position")
+
+
+_STORED = T.StructType(
+    [T.StructField("series", T.StringType()), T.StructField("edition", T.IntegerType()), T.StructField("row_no", T.LongType()), T.StructField("price", T.DoubleType())]
+)
+
+
+def _stored_orders(spark, sf_dir):
+    """Orders written by edition in order of their keys; the newest editions then replaced, and one of them in falling order."""
+    rows = table(spark, sf_dir, "orders").select(
+        F.col("o_orderstatus").alias("series"), F.year("o_orderdate").alias("edition"), F.col("o_orderkey").alias("row_no"), F.col("o_totalprice").alias("price")
+    )
+    path = f"{shared_folder(spark)}/ordered-{uuid.uuid4().hex}"
+    sources.write_table(rows, path, sort_by=["row_no"])
+    sources.replace_editions(rows.where("edition = 2000"), path, sort_by=["row_no"])
+    falling = rows.where("edition = 1995 AND series = 'O'").hint("rebalance", "series", "edition").sortWithinPartitions("series", "edition", F.col("row_no").desc())
+    falling.write.partitionBy("series", "edition").option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path)
+    return path
+
+
+@query(
+    "written_order_faults",
+    """
+    SELECT o_orderstatus AS series, CAST(year(o_orderdate) AS INTEGER) AS edition, count(*) AS rows,
+           CASE WHEN year(o_orderdate) = 1995 AND o_orderstatus = 'O' THEN count(*) - 1 ELSE 0 END AS faults
+    FROM orders GROUP BY o_orderstatus, year(o_orderdate)
+    """,
+)
+def written_order_faults(spark, sf_dir):
+    """Rows out of order in a written table, in editions replaced in it, and in one that is stored the wrong way round."""
+    return order_faults(spark, _stored_orders(spark, sf_dir), _STORED, ["row_no"])
+
+
+@query(
+    "dataset_outcomes",
+    """
+    SELECT 'good.csv' AS name, 'done' AS outcome, count(*) AS rows FROM orders
+    UNION ALL SELECT 'missing.csv', 'missing', NULL UNION ALL SELECT 'broken.csv', 'failed', NULL
+    UNION ALL SELECT 'open.csv', 'failed', NULL
+    """,
+)
+def dataset_outcomes(spark, sf_dir):
+    """Exports normalised side by side: a good one, one that is missing, one without a header, and one that ends inside quotes."""
+    root = f"{shared_folder(spark)}/exports-{uuid.uuid4().hex}"
+    orders = table(spark, sf_dir, "orders").select(F.year("o_orderdate").cast("string").alias("Year"), F.col("o_orderkey").cast("string").alias("Rank"))
+    sources.export_csv(orders, f"{root}/good.csv")
+    orders.limit(0).select(F.lit("").alias("value")).coalesce(1).write.text(f"{root}/broken.csv")
+    open_cell = table(spark, sf_dir, "region").agg(F.concat(F.lit('Year,Rank\n1,"'), F.min("r_name")).alias("value"))
+    open_cell.coalesce(1).write.text(f"{root}/open.csv")
+    names = ("good.csv", "missing.csv", "broken.csv", "open.csv")
+    jobs = export_jobs(spark, root, f"{root}/out", {name: {"Year": Role.KEY | Role.WHOLE, "Rank": Role.KEY | Role.WHOLE} for name in names})
+    found = outcome_table(spark, run_side_by_side(spark, jobs))
+    written = spark.read.option("header", True).csv(f"{root}/out/good.csv").agg(F.lit("good.csv").alias("name"), F.count(F.lit(1)).alias("rows"))
+    return found.join(written, "name", "left").select("name", "outcome", "rows")
+
+
+@query(
+    "shipping_overlaps",
+    """
+    SELECT o.o_orderstatus AS status, o.quarter, count(*) AS pairs
+    FROM (SELECT DISTINCT o_orderstatus, year(o_orderdate) * 4 + quarter(o_orderdate) AS quarter,
+                 min(o_orderkey) OVER (PARTITION BY o_orderstatus, year(o_orderdate), quarter(o_orderdate)) AS low,
+                 min(o_orderkey) OVER (PARTITION BY o_orderstatus, year(o_orderdate), quarter(o_orderdate)) + 100 + 50 * quarter(o_orderdate) AS high
+          FROM orders) o
+    JOIN (SELECT l_orderkey AS a, l_orderkey + l_quantity AS b FROM lineitem) l ON o.low < l.b AND o.high > l.a
+    GROUP BY 1, 2
+    """,
+)
+def shipping_overlaps(spark, sf_dir):
+    """Many periods against many ranges: lines as ranges of keys, quarters of a status as periods of keys."""
+    orders, lines = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
+    quarter = (F.year("o_orderdate") * 4 + F.quarter("o_orderdate")).alias("quarter")
+    periods = orders.groupBy(F.col("o_orderstatus").alias("status"), quarter, F.quarter("o_orderdate").alias("q")).agg(F.min("o_orderkey").alias("low"))
+    periods = periods.select("status", "quarter", "low", (F.col("low") + 100 + 50 * F.col("q")).alias("high"))
+    ranges = lines.select(F.col("l_orderkey").alias("a"), (F.col("l_orderkey") + F.col("l_quantity")).alias("b"))
+    found = overlaps(ranges, periods, "a", "b", "low", "high", 100)
+    return found.groupBy("status", "quarter").agg(F.count(F.lit(1)).alias("pairs"))

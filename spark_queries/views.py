@@ -11,7 +11,6 @@ from pyspark.sql.types import StructType
 
 from legwise.functions.durations import duration_text
 from legwise.schema import INDIVIDUAL
-from legwise.staging import spread
 
 
 _schemas: dict[str, StructType] = {}
@@ -25,13 +24,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(_schemas[path]).parquet(path)
 
 
-def spread_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
-    """The table's columns over as many tasks as there are cores; the driver's tables are single files.
-
-    For queries that work row by row and do not shuffle.
-    """
+def columns_of(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    """Some of a table's columns, read where its files are."""
     df = table(spark, sf_dir, name)
-    return spread(df.select(*columns) if columns else df, spark.sparkContext.defaultParallelism)
+    return df.select(*columns) if columns else df
 
 
 # --- leg rankings: one row per series, edition, leg and participant ----------
