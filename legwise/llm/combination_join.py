@@ -1,10 +1,12 @@
 """Jaccard self-join of word-shingle sets by token-combination prefixes.
 
 Two sets of similarity t or more share all but few shingles.  In one global order,
-rare shingles first, each set's prefix is long enough that such a pair has one
-rare-class shingle in common in both prefixes, or two frequent-class ones: with r
-allowed misses, a prefix of r + 2 or more shingles leaves at least two common ones,
-so frequent shingles need to give pairs by two only and rare ones alone.
+rare shingles first, a prefix of r + e shingles, with r allowed misses, leaves at least
+e common ones in both prefixes.  Either one of them is of the rare class and is indexed
+alone, or all are of the frequent class, which is indexed in combinations of two.  As
+the extension e grows with the set, frequent shingles are dealt by their hash to fewer
+than e groups, two common ones fall into one group, and combinations within groups
+suffice: their number is linear in the set's size instead of quadratic.
 
 1. One pass over the texts gives every text's set fingerprint; equal sets are one
    node from here on, so copies are never compared.  The same pass counts shingles
@@ -15,12 +17,13 @@ so frequent shingles need to give pairs by two only and rare ones alone.
    and linked nodes are contracted to components.  Families of near copies fall together
    here.
 3. A shingle whose nodes are now in one component needs nothing more.  Those of few
-   postings (rare class) give the pairs across components; those of many (frequent
-   class) give such pairs in combinations of two only, a pair at its first one.  There
-   is no index of combinations: postings meet at the first shingle, and the second and
-   the components are conditions, so all postings of an open frequent shingle meet.
-4. A pair's common prefix shingles and what is behind the prefixes bound its overlap.
-   Pairs that the bound allows are verified on their whole sets.
+   postings (rare class) give the pairs across components.  Of those of many (frequent
+   class) each node's combinations are written as an index, combinations within one
+   component go, and the postings of a combination outside its largest component meet
+   all others, so a large family does not meet itself.
+4. Parities of a node's shingles in 1024 bits bound the overlap of two that meet; a
+   pair's common prefix shingles and what is behind the prefixes bound it once more.
+   Pairs that the bounds allow are verified on their whole sets.
 
 Only links inside a component that is already known are skipped, so the components
 are those of all links.  Defined results: a text without words has no shingles and
@@ -47,12 +50,14 @@ from legwise.staging import stage
 
 SHINGLE_WORDS = 5
 SIMILARITY = Fraction(75, 100)
-#: Shingles of a prefix beyond the allowed misses; two are needed, more make the count filter sharper.
-EXTRA = 8
+#: Shingles of a prefix beyond the allowed misses: at least so many, for large sets this share of the misses.
+EXTRA, EXTRA_SHARE = 8, 4
+#: Bits of a set's sketch, each the parity of the shingles that fall on it.
+SKETCH_BITS = 1024
 #: Shingles moved to the end of the order, at most, and the count from which they are.
 FREQUENT_ENTRIES, FREQUENT_COUNT = 100_000, 32
 #: Postings from which a shingle gives pairs only with a second one of that kind.
-FREQUENT_POSTINGS = 40
+FREQUENT_POSTINGS = 16
 #: Count from which a shingle's postings are dealt over several tasks, about as many rows for each.
 HOT_COUNT = 1 << 17
 #: Bound of all such tasks together.
@@ -69,6 +74,12 @@ def _fingerprint(members: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(members) if len(members) else 0
 
 
+def _sketch(members: np.ndarray) -> np.ndarray:
+    """Parities of the members on every bit, as 64-bit values."""
+    places = (members & np.uint64(SKETCH_BITS - 1)).astype(np.int64)
+    return np.packbits(np.bincount(places, minlength=SKETCH_BITS).astype(np.uint8) & 1).view(np.int64)
+
+
 def _text_hashes(column: pa.Array) -> np.ndarray:
     """A hash of every text as it is; null texts are empty."""
     return np.array([xxhash.xxh3_64_intdigest(t.encode()) if t else 0 for t in column.to_pylist()], np.uint64)
@@ -109,31 +120,38 @@ class _Counts:
 
 
 def _first_pass(batches, size: int, key_type: pa.DataType):
-    """A row per text (key, hash, set fingerprint and size), then a row per recurring shingle (shingle, count)."""
-    names = ["key", "text_hash", "node", "n", "shingle", "count"]
+    """A row per text (key, hash, set fingerprint, size and sketch), then a row per recurring shingle (shingle, count)."""
+    names = ["key", "text_hash", "node", "n", "sketch", "shingle", "count"]
+    wide = SKETCH_BITS // 64
     recurring = _Counts()
     for batch in batches:
-        nodes, sizes = [], []
+        nodes, sizes, sketches = [], [], []
         for members in _sets(batch.column(1), size):
             nodes.append(_fingerprint(members))
             sizes.append(len(members))
+            sketches.append(_sketch(members))
             recurring.add(members)
+        sketch = pa.ListArray.from_arrays(
+            pa.array(np.arange(len(sketches) + 1, dtype=np.int32) * wide), pa.array(np.concatenate([np.zeros(0, np.int64), *sketches]))
+        )
         nothing = pa.nulls(batch.num_rows, pa.int64())
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), _signed(_text_hashes(batch.column(1))), _signed(np.array(nodes, np.uint64)),
-             pa.array(sizes, pa.int64()), nothing, nothing], names,
+             pa.array(sizes, pa.int64()), sketch, nothing, nothing], names,
         )
     recurring.merge()
     top = np.argsort(-recurring.counts, kind="stable")[:FREQUENT_ENTRIES]
     nothing = pa.nulls(len(top), pa.int64())
     yield pa.RecordBatch.from_arrays(
-        [pa.nulls(len(top), key_type), nothing, nothing, nothing, _signed(recurring.values[top]), pa.array(recurring.counts[top])],
+        [pa.nulls(len(top), key_type), nothing, nothing, nothing, pa.nulls(len(top), pa.list_(pa.int64())),
+         _signed(recurring.values[top]), pa.array(recurring.counts[top])],
         names,
     )
 
 
-def _allowed_misses(n: int, similarity: Fraction) -> int:
-    return n - -(-n * similarity.numerator // similarity.denominator)
+def _prefix_length(n: int, similarity: Fraction) -> int:
+    misses = n - -(-n * similarity.numerator // similarity.denominator)
+    return misses + max(EXTRA, misses // EXTRA_SHARE)
 
 
 def _bucket(shingle: int, part: int) -> int:
@@ -153,7 +171,7 @@ def _prefixes(batches, size: int, similarity: Fraction, frequent):
             if len(members) < 2 or node in seen:
                 continue
             seen.add(node)
-            length = _allowed_misses(len(members), similarity) + EXTRA
+            length = _prefix_length(len(members), similarity)
             if len(late):
                 at = np.minimum(np.searchsorted(late, members), len(late) - 1)
                 rank = np.where(late[at] == members, ranks[at], 0)
@@ -219,9 +237,20 @@ def _joined_parts(led: DataFrame, parts: DataFrame) -> DataFrame:
     return rows.where("node != leader").unionAll(joined.select("signature", "node", "n", "place", "first.*"))
 
 
-def _ceil_share(size: str, similarity: Fraction) -> Column:
+def _ceil_share(size: str | Column, similarity: Fraction) -> Column:
     """Least overlap of a set of that size with a similar one."""
-    return F.ceil(F.col(size) * similarity.numerator / F.lit(similarity.denominator))
+    size = F.col(size) if isinstance(size, str) else size
+    return F.ceil(size * similarity.numerator / F.lit(similarity.denominator))
+
+
+def _extra(size: Column, similarity: Fraction) -> Column:
+    """Shingles of the prefix of a set of that size beyond the allowed misses."""
+    return F.greatest(F.lit(EXTRA), F.floor((size - _ceil_share(size, similarity)) / F.lit(EXTRA_SHARE)))
+
+
+def _common(size: Column, similarity: Fraction) -> Column:
+    """Common prefix shingles that a similar pair has at least, by the size of its smaller set."""
+    return F.least(_extra(size, similarity), _ceil_share(size, similarity))
 
 
 def _fits(similarity: Fraction) -> Column:
@@ -236,14 +265,27 @@ def _possible(shared: Column, similarity: Fraction) -> Column:
     behind it.
     """
     p, q = similarity.numerator, similarity.denominator
-    behind = [F.greatest(_ceil_share(size, similarity) - EXTRA, F.lit(0)) for size in ("n", "m")]  # n less its prefix
+    behind = [  # n less its prefix
+        F.greatest(_ceil_share(size, similarity) - _extra(F.col(size), similarity), F.lit(0)) for size in ("n", "m")
+    ]
     overlap = F.least(shared + F.greatest(*behind), F.col("n"), F.col("m"))
     return overlap * (p + q) >= (F.col("n") + F.col("m")) * p
 
 
 def _least_shared(similarity: Fraction) -> Column:
-    """Common prefix shingles that a set of size ``n`` has with any similar one."""
-    return F.least(F.lit(EXTRA), _ceil_share("n", similarity))
+    """Common prefix shingles that a set of size ``n`` has with any similar one, of which the smallest has ``_ceil_share``."""
+    return _common(_ceil_share("n", similarity), similarity)
+
+
+def _near(similarity: Fraction) -> Column:
+    """Whether the sketches of sets of sizes ``n`` and ``m`` allow the similarity.
+
+    A shingle of one of the sets alone changes one parity, so as many bits as differ at
+    least are such shingles.
+    """
+    p, q = similarity.numerator, similarity.denominator
+    apart = sum(F.bit_count(F.col("sketch")[k].bitwiseXOR(F.col("sketch_2")[k])) for k in range(SKETCH_BITS // 64))
+    return (F.col("n") + F.col("m") - apart) * (p + q) >= (F.col("n") + F.col("m")) * (2 * p)
 
 
 def _able(postings: DataFrame, similarity: Fraction, *more: Column) -> DataFrame:
@@ -283,48 +325,79 @@ def _to_leaders(postings: DataFrame, similarity: Fraction) -> DataFrame:
     return counted.where(_possible(F.col("shared"), similarity)).select("a", "b")
 
 
-def _across(open_: DataFrame, similarity: Fraction, frequent_postings: int) -> DataFrame:
+def _level(size: Column, similarity: Fraction) -> Column:
+    """Binary logarithm of the number of groups for pairs whose smaller set has that size; fewer groups than common shingles."""
+    return F.length(F.bin(F.greatest(_common(size, similarity) - 1, F.lit(1)))) - 1
+
+
+def _combinations(many: DataFrame, similarity: Fraction) -> DataFrame:
+    """The index of two-shingle combinations: ``many`` postings' nodes with each ``pair`` of shingles of one group.
+
+    A set is dealt in the number of groups of every size that the smaller set of a pair
+    of its may have.
+    """
+    levels = F.sequence(_level(_ceil_share("n", similarity), similarity), _level(F.col("n"), similarity))
+    leveled = many.withColumn("level", F.explode(levels))
+    part = F.pmod(F.xxhash64("signature"), F.expr("shiftleft(1, level)"))
+    own = [c for c in many.columns if c not in ("signature", "postings", "place")]
+    dealt = leveled.groupBy(*own, "level", part.alias("part")).agg(F.sort_array(F.collect_list("signature")).alias("group"))
+    pairs = "flatten(transform(group, (x, i) -> transform(slice(group, i + 2, size(group)), y -> xxhash64(level, x, y))))"
+    return dealt.select(*own, "level", F.explode(F.expr(pairs)).alias("pair"))
+
+
+def _outside(index: DataFrame) -> DataFrame:
+    """The combinations whose nodes are of several components, with ``largest``, that of most nodes."""
+    sizes = index.select("node", "component").distinct().groupBy("component").agg(F.count(F.lit(1)).alias("nodes"))
+    per_pair = index.groupBy("pair", "component").agg(F.lit(1).alias("one")).join(sizes, "component")
+    spans = per_pair.groupBy("pair").agg(
+        F.max(F.struct("nodes", "component"))["component"].alias("largest"), F.count(F.lit(1)).alias("several")
+    ).where("several > 1")
+    return index.join(spans.select("pair", "largest"), "pair")
+
+
+def _renamed(postings: DataFrame, *keys: str) -> DataFrame:
+    """The postings as the second side of a join: ``m`` is the size, other columns end with ``_2``."""
+    others = [F.col(c).alias("m" if c == "n" else f"{c}_2") for c in postings.columns if c not in keys]
+    return postings.select(*keys, *others)
+
+
+def _across(open_: DataFrame, similarity: Fraction, frequent_postings: int, sketches: DataFrame | None = None) -> DataFrame:
     """Pairs of nodes of different components that may be similar.
 
-    They have two common signatures at the beginnings of their prefixes, a shorter one for
-    the smaller set; rare ones give pairs alone, frequent ones in combinations of two.  A pair shares no more
-    signatures than either node has open ones, which rules out most nodes and pairs
-    before they are formed, and the common signatures of their whole prefixes most others.
+    Rare signatures give pairs alone, frequent ones in combinations of two.  The first
+    common signatures, as many as a similar pair shares at least, are at the beginnings
+    of the prefixes; if none of them is rare, two frequent ones are in one group.  A pair
+    shares no more signatures than either node has open ones, which rules out most nodes
+    and pairs before they are formed, and the sketches and the common signatures of their
+    whole prefixes most others.
     """
     p, q = similarity.numerator, similarity.denominator
-    able = _able(open_, similarity).withColumn("frequent", F.col("postings") > frequent_postings)
-    columns = ["node", "n", "component", "opened", "place"]
-
-    def single(early: DataFrame) -> DataFrame:
-        return early.where("NOT frequent").select("signature", *columns)
-
-    def combined(early: DataFrame) -> DataFrame:
-        many = early.where("frequent")
-        placed = F.sort_array(F.collect_list(F.struct("place", "signature")))  # of a prefix at most, in the global order
-        lists = many.groupBy("node").agg(placed["signature"].alias("often"))
-        return many.select("signature", *columns).join(lists.where(F.size("often") > 1), "node")
-
-    def meet(smaller: DataFrame, larger: DataFrame, keys: list[str], *more: Column) -> DataFrame:
-        others = [c for c in larger.columns if c not in keys]
-        larger = larger.select(*keys, *[F.col(c).alias(f"{c}_2") for c in others]).withColumnRenamed("n_2", "m")
-        met = F.expr("(n < m OR n = m AND node < node_2) AND component != component_2") & _fits(similarity)
-        met &= _possible(F.least("opened", "opened_2"), similarity)
-        overlap = F.ceil((F.col("n") + F.col("m")) * p / F.lit(p + q))  # of a similar pair; so much lies behind its first place
-        met &= (F.col("place") < F.col("n") - overlap + 2) & (F.col("place_2") < F.col("m") - overlap + 2)
-        for condition in more:
-            met &= condition
-        return smaller.join(larger, keys).where(met).select(F.col("node").alias("a"), F.col("node_2").alias("b"), "n", "m")
-
-    # the smaller set of a pair overlaps by 2 t / (1 + t) of its size, the larger by t
-    smaller = able.where(F.col("place") < F.col("n") - F.ceil(F.col("n") * (2 * p) / F.lit(p + q)) + 2)
-    larger = able.where(F.col("place") < F.col("n") - _ceil_share("n", similarity) + 2)
-    rare = meet(single(smaller), single(larger), ["signature"])
-    # combinations are met at their first shingle, and a pair at its first common combination only; the first two
-    # common shingles of the global order are those that no place test excludes
-    common = F.array_intersect("often", "often_2")
-    first = (F.get(common, F.lit(0)) == F.col("signature")) & (F.size(common) > 1)
-    often = meet(combined(smaller), combined(larger), ["signature"], first)
-    pairs = rare.unionAll(often).distinct()
+    able = stage(_able(open_, similarity), "able")
+    differ = (F.col("component") != F.col("component_2")) & _fits(similarity) & _possible(F.least("opened", "opened_2"), similarity)
+    common = _common(F.least("n", "m"), similarity)
+
+    rare = able.where(F.col("postings") <= frequent_postings).drop("postings")
+    # the smaller set of a pair overlaps by 2 t / (1 + t) of its size at least
+    beginning = F.col("n") - F.ceil(F.col("n") * (2 * p) / F.lit(p + q)) + _common(F.col("n"), similarity)
+    overlap = F.ceil((F.col("n") + F.col("m")) * p / F.lit(p + q))  # of a similar pair; so much lies behind its first place
+    placed = (F.col("place") < F.col("n") - overlap + common) & (F.col("place_2") < F.col("m") - overlap + common)
+    ordered = F.expr("n < m OR n = m AND node < node_2")
+    alone = rare.where(F.col("place") < beginning).join(_renamed(rare, "signature"), "signature").where(ordered & differ & placed)
+
+    many = able.where(F.col("postings") > frequent_postings)
+    index = _outside(stage(_combinations(many, similarity), "combinations"))
+    if sketches is not None:
+        index = index.join(sketches, "node")
+        differ &= _near(similarity)
+    index = stage(index, "index")
+    # a pair of the largest component's nodes never meets; of a pair with one of them, that one is the second
+    once = F.expr("component_2 = largest OR node < node_2")
+    groups = F.col("level") == F.least(*[_level(F.col(size), similarity) for size in ("n", "m")])
+    seconds = _renamed(index.drop("level", "largest"), "pair")
+    combined = index.where("component != largest").join(seconds, "pair").where(once & groups & differ)
+
+    found = [met.select(F.col("node").alias("a"), F.col("node_2").alias("b"), "n", "m") for met in (alone, combined)]
+    pairs = found[0].unionAll(found[1]).distinct()
     prefixes = able.groupBy("node").agg(F.collect_list("signature").alias("prefix"))  # a node's prefix at most
     first = prefixes.select(F.col("node").alias("a"), F.col("prefix").alias("of_a"))
     second = prefixes.select(F.col("node").alias("b"), F.col("prefix").alias("of_b"))
@@ -400,6 +473,21 @@ def _similar(pairs: DataFrame, sets: DataFrame, similarity: Fraction) -> DataFra
     return pairs.join(second, "b").join(first, "a").where(linked).select("a", "b")
 
 
+def _joined(known: DataFrame, more: DataFrame) -> DataFrame:
+    """The ``known`` components joined by ``more`` links; only the links between components are walked again."""
+    of = lambda side: known.select(F.col("node").alias(side), F.col("component").alias(f"of_{side}"))
+    named = more.join(of("a"), "a", "left").join(of("b"), "b", "left").select(
+        "a", "b", F.coalesce("of_a", "a").alias("of_a"), F.coalesce("of_b", "b").alias("of_b")
+    )
+    named = stage(named, "between")
+    whole = stage(components(named.select(F.col("of_a").alias("a"), F.col("of_b").alias("b"))), "whole")
+    lone = named.select(F.explode(F.array(F.struct("a", "of_a"), F.struct(F.col("b").alias("a"), F.col("of_b").alias("of_a")))).alias("side"))
+    lone = lone.select(F.col("side.a").alias("node"), F.col("side.of_a").alias("component")).where("node = component").distinct()
+    every = known.unionAll(lone.join(known, "node", "left_anti"))
+    joined = every.join(whole.select(F.col("node").alias("component"), F.col("component").alias("root")), "component", "left")
+    return joined.select("node", F.coalesce("root", "component").alias("component"))
+
+
 def linked_sets(
     texts: DataFrame, rows: DataFrame, size: int, similarity: Fraction, frequent_postings: int = FREQUENT_POSTINGS
 ) -> DataFrame:
@@ -437,9 +525,9 @@ def linked_sets(
         return stage(_similar(pairs, _sets_of(nodes, texts, rows, size), similarity), "links")
 
     known = stage(components(links_of(_to_leaders(able, similarity))), "known")
-    more = links_of(_across(_open(able, known), similarity, frequent_postings))
-    # stars of the known components, joined by the further links
-    return components(known.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(more))
+    sketches = rows.where("n > 1").select("node", "sketch").dropDuplicates(["node"])
+    more = links_of(_across(_open(able, known), similarity, frequent_postings, sketches))
+    return _joined(known, more)
 
 
 def group(
@@ -454,7 +542,7 @@ def group(
     chosen = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").cast("string").alias("text"))
     kind = chosen.schema["key"].dataType
     key_type = to_arrow_type(kind)
-    fields = StructType.fromDDL("text_hash bigint, node bigint, n bigint, shingle bigint, count bigint").fields
+    fields = StructType.fromDDL("text_hash bigint, node bigint, n bigint, sketch array<bigint>, shingle bigint, count bigint").fields
     first = chosen.mapInArrow(lambda batches: _first_pass(batches, size, key_type), StructType([StructField("key", kind), *fields]))
     rows = stage(first, "fingerprints")
     found = linked_sets(chosen.select("text"), rows, size, similarity, frequent_postings)

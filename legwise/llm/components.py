@@ -7,7 +7,7 @@ are stars around the smallest node of their component.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from legwise.staging import stage
@@ -34,10 +34,12 @@ def components(edges: DataFrame) -> DataFrame:
     ordered = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b").distinct()
     current, state = stage(ordered, "edges"), None
     while True:
+        # order-free sums of the edges, taken as they are written; equal sums of two rounds mean nothing moved
+        sums = Observation()
         step = _small_star(_large_star(current)).distinct()
-        current = stage(step, "edges")
-        # order-free sums of the edges; equal sums of two rounds mean nothing moved
-        now = tuple(current.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first())
+        moved = F.count(F.lit(1)).alias("edges"), F.bit_xor(F.xxhash64("a", "b")).alias("hash")
+        current = stage(step.observe(sums, *moved), "edges")
+        now = sums.get
         if now == state:
             break
         state = now
