@@ -6,6 +6,7 @@ import random
 import re
 from itertools import combinations
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -118,3 +119,40 @@ def test_kept_rows_keep_every_column(spark):
     kept = combination_join.keep_one(df)
     assert kept.columns == df.columns
     assert sorted(r._row for r in kept.collect()) == ["_row0", "_row3", "_row4", "_row5"]
+
+
+def test_pairs_with_the_least_common_shingles_share_a_combination(spark):
+    """Sizes around the steps of the number of groups; no rare shingle helps."""
+    draw, t = random.Random(7), combination_join.SIMILARITY
+    sizes = [(n, m) for n in (2, 3, 9, 11, 40, 131, 144, 257, 300, 700) for m in (n, n + 1, n * 4 // 3) if n * 4 >= m * 3]
+    rows = []
+    for k, (n, m) in enumerate(sizes):
+        misses = n - -(-3 * n // 4)
+        least = min(max(8, misses // 4), -(-3 * n // 4))
+        common = [draw.getrandbits(62) for _ in range(least)]
+        rows += [(s, 2 * k + side, size, 2 * k + side) for side, size in enumerate((n, m)) for s in common]
+    many = spark.createDataFrame(rows, "signature bigint, node bigint, n int, component bigint")
+    index = combination_join._combinations(many, t)
+    met = {(r.node // 2, r.pair): set() for r in index.collect()}
+    for r in index.collect():
+        met[r.node // 2, r.pair].add((r.node % 2, r.level))
+    level = {}
+    for r in many.select("n", combination_join._level(F.col("n"), t).alias("level")).distinct().collect():
+        level[r.n] = r.level
+    for k, (n, _) in enumerate(sizes):
+        assert any(found == {(0, level[n]), (1, level[n])} for (of, _), found in met.items() if of == k), sizes[k]
+
+
+def test_sketches_never_rule_out_a_similar_pair(spark):
+    draw, rows = random.Random(3), []
+    for k in range(300):
+        n, changed = draw.randint(2, 900), draw.random() * 0.4
+        a = {draw.getrandbits(63) for _ in range(n)}
+        b = {x if draw.random() > changed else draw.getrandbits(63) for x in a}
+        similar = 100 * len(a & b) >= 75 * len(a | b)
+        sketch = [combination_join._sketch(np.array(sorted(s), np.uint64)).tolist() for s in (a, b)]
+        rows.append((len(a), len(b), *sketch, similar))
+    df = spark.createDataFrame(rows, "n int, m int, sketch array<bigint>, sketch_2 array<bigint>, similar boolean")
+    got = df.select("similar", combination_join._near(combination_join.SIMILARITY).alias("near")).collect()
+    assert all(r.near for r in got if r.similar) and any(r.similar for r in got)
+    assert not all(r.near for r in got)
