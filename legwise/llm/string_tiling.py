@@ -9,7 +9,8 @@ moved around is covered as fully as a copy.
 
 Items are handled in blocks of bounded size: each block's window table is broadcast
 and meets all documents, so documents are never shuffled and no pairs without a
-common seed are formed.
+common seed are formed.  A pair is tiled only if the item's windows that the document
+has cover enough of the item's words, which no tiling can exceed.
 
 Words are runs of letters, digits and non-ASCII characters, without case.  Defined
 results: texts without words match nothing; an item shorter than ``min_match`` words
@@ -72,17 +73,57 @@ class Items:
             seen[windows & np.uint64((1 << _FILTER_BITS) - 1)] = True
             self.windows[size] = windows[order], items[order], places[order], seen
 
-    def seeds(self, hashes: np.ndarray):
-        """For each window size: document place, item and item place of every common window."""
-        for size, (windows, items, places, seen) in self.windows.items():
-            mine = window_hashes(hashes, size)
-            at = np.flatnonzero(seen[mine & np.uint64((1 << _FILTER_BITS) - 1)])
-            low = np.searchsorted(windows, mine[at], "left")
-            count = np.searchsorted(windows, mine[at], "right") - low
-            at, low, count = at[count > 0], low[count > 0], count[count > 0]
-            if len(at):
-                entry = np.repeat(low - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(count.sum())
-                yield size, np.repeat(at, count), items[entry], places[entry]
+    def _met(self, size: int, mine: np.ndarray):
+        """Which of the window hashes the items have, and the range of their entries in the table."""
+        windows, _, _, seen = self.windows[size]
+        at = np.flatnonzero(seen[mine & np.uint64((1 << _FILTER_BITS) - 1)])
+        low = np.searchsorted(windows, mine[at], "left")
+        count = np.searchsorted(windows, mine[at], "right") - low
+        return at[count > 0], low[count > 0], count[count > 0]
+
+    def seeds(self, words: Words, threshold: float):
+        """For each window size: document, window place, item and item place of every common window of the pairs
+        that can reach the threshold.
+
+        A pair's covered words lie in the item's windows that the document has.  These are counted
+        from a document's different windows, so one that occurs often is not multiplied with
+        all items; its occurrences are set against the items of the remaining pairs alone.
+        """
+        totals = np.array([len(h) for h in self.hashes], np.int64)
+        for size, (_, items, item_places, _) in self.windows.items():
+            mine = window_hashes(words.hashes, size)
+            at, low, count = self._met(size, mine)
+            document = np.searchsorted(words.bounds, at, "right") - 1
+            inside = at + size <= words.bounds[document + 1]  # no window over two texts
+            at, low, count, document = at[inside], low[inside], count[inside], document[inside]
+            begins = np.flatnonzero(np.diff(document, prepend=-1))
+            for first, last in zip(begins, np.append(begins[1:], len(at))):
+                # entries of the table are numbered by window, so equal windows have equal ``low``
+                kinds, which = np.unique(low[first:last], return_inverse=True)
+                each = np.zeros(len(kinds), np.int64)
+                each[which] = count[first:last]
+                entries = _ranges(kinds, each)
+                order = np.lexsort((item_places[entries], items[entries]))
+                pair_items, pair_places = items[entries][order], item_places[entries][order]
+                same = np.diff(pair_items, append=-1) == 0
+                reach = np.where(same, np.minimum(np.diff(pair_places, append=0), size), size)
+                starts = np.flatnonzero(np.diff(pair_items, prepend=-1))
+                found = pair_items[starts]
+                able = found[np.add.reduceat(reach, starts) >= threshold * totals[found]]
+                if not len(able):
+                    continue
+                keep = np.isin(items[entries], able)
+                chosen, kind = entries[keep], np.repeat(np.arange(len(kinds)), each)[keep]
+                per_kind = np.bincount(kind, minlength=len(kinds))
+                starts = np.concatenate([[0], np.cumsum(per_kind)[:-1]])
+                spread = _ranges(starts[which], per_kind[which])
+                places = np.repeat(at[first:last], per_kind[which])
+                yield size, int(document[first]), places, items[chosen[spread]], item_places[chosen[spread]]
+
+
+def _ranges(low: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """``low``, ``low + 1``, ... of each range, ``count`` numbers of it, one range after the other."""
+    return np.repeat(low - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(count.sum())
 
 
 def matches(size: int, places: np.ndarray, item_places: np.ndarray) -> list[tuple[int, int, int]]:
@@ -125,16 +166,13 @@ def _covering(column: pa.Array, table: Items, threshold: float):
     """Row, item, item's words, covered words and tiles of every pair that reaches the threshold."""
     for block in blocks(column):
         words = _words(block)
-        for size, at, which, places in table.seeds(words.hashes):
-            document = np.searchsorted(words.bounds, at, "right") - 1
-            inside = at + size <= words.bounds[document + 1]  # no window over two texts
-            pair = document[inside] * len(table.hashes) + which[inside]
-            order = np.argsort(pair, kind="stable")
-            pair, at, places = pair[order], at[inside][order], places[inside][order]
-            begins = np.flatnonzero(np.diff(pair, prepend=-1))
-            for low, high in zip(begins, np.append(begins[1:], len(pair))):
-                k, item = divmod(int(pair[low]), len(table.hashes))
-                start, end = int(words.bounds[k]), int(words.bounds[k + 1])
+        for size, k, at, which, places in table.seeds(words, threshold):
+            start, end = int(words.bounds[k]), int(words.bounds[k + 1])
+            order = np.argsort(which, kind="stable")
+            which, at, places = which[order], at[order], places[order]
+            begins = np.flatnonzero(np.diff(which, prepend=-1))
+            for low, high in zip(begins, np.append(begins[1:], len(which))):
+                item = int(which[low])
                 total = len(table.hashes[item])
                 found = matches(size, at[low:high] - start, places[low:high])
                 chosen = tiles(found, total, end - start, min(table.min_match, total))

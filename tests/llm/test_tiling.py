@@ -5,6 +5,8 @@ from __future__ import annotations
 import random
 import re
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from legwise.llm import string_tiling
@@ -83,3 +85,22 @@ def test_reordered_sentences_and_odd_rows(spark):
     assert sorted(s.item_word for s in spans) == [0, 6, 12]
     assert string_tiling.contaminated(frame.limit(0), spark.createDataFrame(items, "item_id int, text string")).count() == 0
     assert string_tiling.contaminated(frame, spark.createDataFrame([], "item_id int, text string")).count() == 0
+
+
+def test_a_common_phrase_is_not_multiplied_out():
+    """An item is tiled only if its windows that the document has can reach the threshold."""
+    draw = random.Random(5)
+    phrase = "this phrase is in every one of the items"
+    some = lambda n: " ".join(draw.choice("abcdefgh") + draw.choice("uvwxyz") for _ in range(n))
+    texts = [f"{some(20)} {phrase} {some(20)}" for _ in range(300)]
+    table = string_tiling.Items(texts, 5)
+    document = f"{phrase}. " * 300 + texts[7].upper() + "\nmore " + texts[9]
+    (block,) = string_tiling.blocks(pa.array([None, document.lower(), phrase, ""]))
+    found = list(table.seeds(string_tiling._words(block), 0.6))
+    assert len(found) == 1 and found[0][1] == 1 and set(found[0][3].tolist()) == {7, 9}
+    assert len(found[0][2]) < 2 * (302 * 9 + 100)  # two items' windows, not 300
+    every = sum(len(set(which.tolist())) for _, _, _, which, _ in table.seeds(string_tiling._words(block), 0.1))
+    assert every == 2 * 300
+    got = sorted(row[:4] for row in string_tiling._covering(pa.array([None, document.lower(), phrase, ""]), table, 0.6))
+    assert got == [(1, 7, 49, 49), (1, 9, 49, 49)]
+    assert np.all(string_tiling._ranges(np.array([4, 9]), np.array([2, 3])) == [4, 5, 9, 10, 11])
