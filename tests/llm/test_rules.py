@@ -63,6 +63,18 @@ def test_order_follows_rejection(spark):
     assert rule_cascade.order_rules(docs, rule_cascade.default_rules())[0].name == "capitals"
 
 
+def test_the_sample_stays_where_it_is_read(spark, monkeypatch):
+    """Drawn by chance and never gathered; names with dots are plain names."""
+    seen = []
+    monkeypatch.setattr(rule_cascade, "stage", lambda df, label: seen.append(df) or df.cache())
+    docs = spark.createDataFrame([(i, GOOD + f" {i}") for i in range(3000)], "`doc.id` int, `the.text` string").repartition(6)
+    order = rule_cascade.order_rules(docs, rule_cascade.default_rules(), "the.text", 300)
+    assert {r.name for r in order} == {r.name for r in rule_cascade.default_rules()}
+    plan = seen[0]._jdf.queryExecution().toString()
+    assert "SinglePartition" not in plan and "Limit" not in plan and 200 < seen[0].count() < 400
+    assert rule_cascade.judge(docs, "the.text", "doc.id").where("kept").count() == 3000
+
+
 def test_query_against_sql(spark):
     from check_oracle import compare, connect
 
