@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from legwise.operators import coverage
 from legwise.sources import versions
 from legwise.staging import shared_folder, stage
 from spark_queries.registry import query
@@ -122,3 +123,21 @@ def damaged_editions(spark, sf_dir):
     spoilt = first["results"].where("series = 'O' AND edition = 1995").select("row_no", (F.col("price") * 2).alias("price"))
     spoilt.write.mode("overwrite").parquet(f"{root}/results/version={last.version}/series=O/edition=1995")
     return versions.damaged(spark, root, "results", SCHEMAS["results"])
+
+
+@query(
+    "coverage_from_states",
+    f"""{_STATES}
+    SELECT series, min(edition) AS first_edition, max(edition) AS latest_edition, CAST(count(DISTINCT edition) AS INTEGER) AS editions,
+           max(edition) - min(edition) AS span_years
+    FROM new_results GROUP BY series
+    """,
+)
+def coverage_from_states(spark, sf_dir):
+    """Coverage after two versions, merged from bitmaps; the second version reads the rows of its changed editions only."""
+    root = f"{shared_folder(spark)}/versions-{uuid.uuid4().hex}"
+    for state in states(spark, sf_dir):
+        replaces, changes = versions.current(spark, root), _changes(root, {"results": state["results"]})
+        summed = versions.summed_up(spark, root, "results", changes["results"], replaces, coverage.states, coverage.STATES)
+        versions.commit(spark, root, changes, replaces, SORTED_BY, states={"results": summed})
+    return coverage.from_states(summed.every)
