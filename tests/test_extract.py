@@ -1,9 +1,13 @@
 from __future__ import annotations
 
+import tracemalloc
+
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from legwise import schema
+from legwise.functions import html
 from legwise.functions.html import PageReader, pages_array, span
 from legwise.operators import extract as X
 from legwise.operators.opencolumns import merged, names, other_cells, spread_out
@@ -232,3 +236,23 @@ def test_open_columns(spark):
     assert spread_out(found.limit(0), "others").columns == ["id", "others"]
     both = spark.range(1).select(merged(F.expr("map('k', '1')"), F.expr("map('k', '2', 'm', '3')"), "x").alias("m"), merged(F.lit(None).cast("map<string,string>"), F.lit(None).cast("map<string,string>"), "x").alias("n")).first()
     assert both.m == {"k": "1", "k (x)": "2", "m": "3"} and both.n is None
+
+
+def test_a_batch_of_pages_is_read_in_blocks(spark):
+    marks = "figure", (), "data-link", "data-bib"
+    rows = "".join(f"<tr><td>{k}</td><td>Name {k}</td><td>T</td></tr>" for k in range(2000))
+    pages = [f"<h3>{k}</h3><table>{rows}</table>" if k % 7 else None for k in range(120)]
+    batch = pa.array([*pages, "", "x" * (html.BLOCK_CHARACTERS + 1)])
+    whole = html.pages_array([html.PageReader(*marks).read(page or "") for page in batch.to_pylist()])
+    tracemalloc.start()
+    blocks, most = [], 0
+    for block in html.pages_reader(*marks)(iter([batch])):
+        blocks.append(block)
+        most = max(most, len(block))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert pa.concat_arrays(blocks).equals(whole)
+    assert most < 40 and peak < 24 * html.BLOCK_CHARACTERS  # the whole batch has ten blocks
+    df = spark.createDataFrame(list(enumerate(pages)), "k int, html string").coalesce(1)
+    read = X.with_page(df).select("k", F.get("page.headings", F.lit(0))["text"].alias("h"), F.size(F.get("page.tables", F.lit(0))["rows"]).alias("n"))
+    assert {(r.k, r.h, r.n) for r in read.collect()} == {(k, str(k) if k % 7 else None, 2000 if k % 7 else None) for k in range(120)}
