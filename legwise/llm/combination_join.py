@@ -19,8 +19,9 @@ suffice: their number is linear in the set's size instead of quadratic.
 3. A shingle whose nodes are now in one component needs nothing more.  Those of few
    postings (rare class) give the pairs across components.  Of those of many (frequent
    class) each node's combinations are written as an index, combinations within one
-   component go, and the postings of a combination outside its largest component meet
-   all others, so a large family does not meet itself.
+   component or behind the first common places of every pair go, and the postings of a
+   combination outside its largest component meet all others, so a large family does
+   not meet itself.
 4. Parities of a node's shingles in 1024 bits bound the overlap of two that meet; a
    pair's common prefix shingles and what is behind the prefixes bound it once more.
    Pairs that the bounds allow are verified on their whole sets.
@@ -334,25 +335,47 @@ def _combinations(many: DataFrame, similarity: Fraction) -> DataFrame:
     """The index of two-shingle combinations: ``many`` postings' nodes with each ``pair`` of shingles of one group.
 
     A set is dealt in the number of groups of every size that the smaller set of a pair
-    of its may have.
+    of its may have.  ``far`` is the later place of the two shingles in the prefix.
     """
     levels = F.sequence(_level(_ceil_share("n", similarity), similarity), _level(F.col("n"), similarity))
     leveled = many.withColumn("level", F.explode(levels))
     part = F.pmod(F.xxhash64("signature"), F.expr("shiftleft(1, level)"))
     own = [c for c in many.columns if c not in ("signature", "postings", "place")]
-    dealt = leveled.groupBy(*own, "level", part.alias("part")).agg(F.sort_array(F.collect_list("signature")).alias("group"))
-    pairs = "flatten(transform(group, (x, i) -> transform(slice(group, i + 2, size(group)), y -> xxhash64(level, x, y))))"
-    return dealt.select(*own, "level", F.explode(F.expr(pairs)).alias("pair"))
+    place = F.col("place") if "place" in many.columns else F.lit(0)
+    listed = F.sort_array(F.collect_list(F.struct("signature", place.alias("place"))))
+    dealt = leveled.groupBy(*own, "level", part.alias("part")).agg(listed.alias("group"))
+    pairs = (
+        "flatten(transform(group, (x, i) -> transform(slice(group, i + 2, size(group)), "
+        "y -> struct(xxhash64(level, x.signature, y.signature) AS pair, greatest(x.place, y.place) AS far))))"
+    )
+    return dealt.select(*own, "level", F.inline(F.expr(pairs)))
+
+
+def _beginning(size: Column, similarity: Fraction) -> Column:
+    """Places of a set of that size before which its first common shingles with any larger similar set lie."""
+    p, q = similarity.numerator, similarity.denominator
+    # the smaller set of a pair overlaps by 2 t / (1 + t) of its size at least
+    return size - F.ceil(size * (2 * p) / F.lit(p + q)) + _common(size, similarity)
+
 
+def _outside(index: DataFrame, similarity: Fraction) -> DataFrame:
+    """The rows of ``index`` that may meet one of another component, with ``largest``, the component of most of its nodes.
 
-def _outside(index: DataFrame) -> DataFrame:
-    """The combinations whose nodes are of several components, with ``largest``, that of most nodes."""
-    sizes = index.select("node", "component").distinct().groupBy("component").agg(F.count(F.lit(1)).alias("nodes"))
-    per_pair = index.groupBy("pair", "component").agg(F.lit(1).alias("one")).join(sizes, "component")
+    The smaller set of a pair meets at its own level with places at its beginning, so a
+    combination needs such a row, and other rows one of a size that fits theirs.
+    """
+    p, q = similarity.numerator, similarity.denominator
+    smaller = (F.col("level") == _level(F.col("n"), similarity)) & (F.col("far") < _beginning(F.col("n"), similarity))
+    index = index.withColumn("smaller", smaller)
+    size = F.when(F.col("smaller"), F.col("n"))
+    per_pair = index.groupBy("pair", "component").agg(F.count(F.lit(1)).alias("nodes"), F.min(size).alias("least"), F.max(size).alias("most"))
     spans = per_pair.groupBy("pair").agg(
-        F.max(F.struct("nodes", "component"))["component"].alias("largest"), F.count(F.lit(1)).alias("several")
-    ).where("several > 1")
-    return index.join(spans.select("pair", "largest"), "pair")
+        F.max(F.struct("nodes", "component"))["component"].alias("largest"), F.count(F.lit(1)).alias("several"),
+        F.min("least").alias("least"), F.max("most").alias("most"),
+    ).where("several > 1 AND least IS NOT NULL").select(F.col("pair").alias("_pair"), "largest", "least", "most")
+    fits = (F.col("least") <= F.col("n")) & (F.col("most") * q >= F.col("n") * p)
+    met = (F.col("pair") == F.col("_pair")) & (F.col("smaller") | fits)
+    return index.join(spans, met).drop("_pair", "least", "most", "smaller")
 
 
 def _renamed(postings: DataFrame, *keys: str) -> DataFrame:
@@ -377,15 +400,17 @@ def _across(open_: DataFrame, similarity: Fraction, frequent_postings: int, sket
     common = _common(F.least("n", "m"), similarity)
 
     rare = able.where(F.col("postings") <= frequent_postings).drop("postings")
-    # the smaller set of a pair overlaps by 2 t / (1 + t) of its size at least
-    beginning = F.col("n") - F.ceil(F.col("n") * (2 * p) / F.lit(p + q)) + _common(F.col("n"), similarity)
     overlap = F.ceil((F.col("n") + F.col("m")) * p / F.lit(p + q))  # of a similar pair; so much lies behind its first place
-    placed = (F.col("place") < F.col("n") - overlap + common) & (F.col("place_2") < F.col("m") - overlap + common)
+
+    def placed(place: str) -> Column:
+        return (F.col(place) < F.col("n") - overlap + common) & (F.col(f"{place}_2") < F.col("m") - overlap + common)
+
     ordered = F.expr("n < m OR n = m AND node < node_2")
-    alone = rare.where(F.col("place") < beginning).join(_renamed(rare, "signature"), "signature").where(ordered & differ & placed)
+    early = rare.where(F.col("place") < _beginning(F.col("n"), similarity))
+    alone = early.join(_renamed(rare, "signature"), "signature").where(ordered & differ & placed("place"))
 
     many = able.where(F.col("postings") > frequent_postings)
-    index = _outside(stage(_combinations(many, similarity), "combinations"))
+    index = _outside(stage(_combinations(many, similarity), "combinations"), similarity)
     if sketches is not None:
         index = index.join(sketches, "node")
         differ &= _near(similarity)
@@ -394,7 +419,7 @@ def _across(open_: DataFrame, similarity: Fraction, frequent_postings: int, sket
     once = F.expr("component_2 = largest OR node < node_2")
     groups = F.col("level") == F.least(*[_level(F.col(size), similarity) for size in ("n", "m")])
     seconds = _renamed(index.drop("level", "largest"), "pair")
-    combined = index.where("component != largest").join(seconds, "pair").where(once & groups & differ)
+    combined = index.where("component != largest").join(seconds, "pair").where(once & groups & differ & placed("far"))
 
     found = [met.select(F.col("node").alias("a"), F.col("node_2").alias("b"), "n", "m") for met in (alone, combined)]
     pairs = found[0].unionAll(found[1]).distinct()

@@ -156,3 +156,14 @@ def test_sketches_never_rule_out_a_similar_pair(spark):
     got = df.select("similar", combination_join._near(combination_join.SIMILARITY).alias("near")).collect()
     assert all(r.near for r in got if r.similar) and any(r.similar for r in got)
     assert not all(r.near for r in got)
+
+
+def test_combinations_behind_the_first_common_places_are_not_kept(spark):
+    """Two similar sets of 100 have their first 8 common shingles before place 22: they overlap by 86 at least."""
+    level = spark.range(1).select(combination_join._level(F.lit(100), combination_join.SIMILARITY)).first()[0]
+    spots = {1: (30, 30), 2: (5, 30), 3: (5, 5)}  # pair: places of two components' nodes
+    rows = [(10 * pair + side, 100, 10 * pair + side, level, pair, far) for pair, places in spots.items() for side, far in enumerate(places)]
+    rows += [(99, 100, 30, level, 3, 40), (98, 200, 98, level, 3, 5)]  # the larger component of pair 3, and a set too large for it
+    index = spark.createDataFrame(rows, "node bigint, n int, component bigint, level int, pair bigint, far int")
+    kept = combination_join._outside(index, combination_join.SIMILARITY).collect()
+    assert sorted((r.pair, r.node, r.largest) for r in kept) == [(2, 20, 21), (2, 21, 21), (3, 30, 30), (3, 31, 30), (3, 99, 30)]
