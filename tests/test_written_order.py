@@ -36,7 +36,7 @@ def test_written_replaced_and_spoilt_tables(spark, tmp_path):
     assert faults(spark, tmp_path) == fine
     # a file more, named before or after the others: faults at the border only
     (folder,) = tmp_path.glob("series=b/edition=2")
-    for name, rank in (("part-zzz.parquet", 0), ("part-00000-a.parquet", 2)):
+    for name, rank in (("part-zzz.parquet", 0), ("part-00000-.parquet", 2)):
         pq.write_table(pa.table({"rank": pa.array([rank], pa.int32()), "name": ["q"]}), folder / name)
     spark.catalog.refreshByPath(str(tmp_path))
     assert faults(spark, tmp_path)["b", 2] == (3, 2)
