@@ -21,8 +21,9 @@ suffice: their number is linear in the set's size instead of quadratic.
    class) each node's combinations are written as an index, combinations within one
    component or behind the first common places of every pair go, and the postings of a
    combination outside its largest component meet all others, so a large family does
-   not meet itself.
-4. Parities of a node's shingles in 1024 bits bound the overlap of two that meet; a
+   not meet itself.  Large sets share hundreds of combinations: each carries the few
+   before it in its node's order, and nodes that share one of these have met there.
+4. Parities of a node's shingles in 1024 bits bound the overlap of two that met; a
    pair's common prefix shingles and what is behind the prefixes bound it once more.
    Pairs that the bounds allow are verified on their whole sets.
 
@@ -40,7 +41,7 @@ from fractions import Fraction
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import StructField, StructType
@@ -59,6 +60,8 @@ SKETCH_BITS = 1024
 FREQUENT_ENTRIES, FREQUENT_COUNT = 100_000, 32
 #: Postings from which a shingle gives pairs only with a second one of that kind.
 FREQUENT_POSTINGS = 16
+#: Combinations before one in its node's order that it carries.
+RECENT = 8
 #: Count from which a shingle's postings are dealt over several tasks, about as many rows for each.
 HOT_COUNT = 1 << 17
 #: Bound of all such tasks together.
@@ -378,6 +381,16 @@ def _outside(index: DataFrame, similarity: Fraction) -> DataFrame:
     return index.join(spans, met).drop("_pair", "least", "most", "smaller")
 
 
+def _recent(index: DataFrame) -> DataFrame:
+    """The ``index`` with ``recent``, the combinations last before each in its node's order by place.
+
+    Two nodes with a common recent one may meet there as well as here, and at earlier
+    places: of all combinations that they share, the first has none.
+    """
+    before = Window.partitionBy("node", "level").orderBy("far", "pair").rowsBetween(-RECENT, -1)
+    return index.withColumn("recent", F.collect_list("pair").over(before))
+
+
 def _renamed(postings: DataFrame, *keys: str) -> DataFrame:
     """The postings as the second side of a join: ``m`` is the size, other columns end with ``_2``."""
     others = [F.col(c).alias("m" if c == "n" else f"{c}_2") for c in postings.columns if c not in keys]
@@ -392,7 +405,8 @@ def _across(open_: DataFrame, similarity: Fraction, frequent_postings: int, sket
     of the prefixes; if none of them is rare, two frequent ones are in one group.  A pair
     shares no more signatures than either node has open ones, which rules out most nodes
     and pairs before they are formed, and the sketches and the common signatures of their
-    whole prefixes most others.
+    whole prefixes most others.  The nodes of a pair meet about once, however many
+    combinations they share, so the sketches are met by pairs and not by combinations.
     """
     p, q = similarity.numerator, similarity.denominator
     able = stage(_able(open_, similarity), "able")
@@ -411,18 +425,21 @@ def _across(open_: DataFrame, similarity: Fraction, frequent_postings: int, sket
 
     many = able.where(F.col("postings") > frequent_postings)
     index = _outside(stage(_combinations(many, similarity), "combinations"), similarity)
-    if sketches is not None:
-        index = index.join(sketches, "node")
-        differ &= _near(similarity)
-    index = stage(index, "index")
+    index = stage(_recent(index), "index")
     # a pair of the largest component's nodes never meets; of a pair with one of them, that one is the second
     once = F.expr("component_2 = largest OR node < node_2")
     groups = F.col("level") == F.least(*[_level(F.col(size), similarity) for size in ("n", "m")])
     seconds = _renamed(index.drop("level", "largest"), "pair")
-    combined = index.where("component != largest").join(seconds, "pair").where(once & groups & differ & placed("far"))
+    met_before = F.arrays_overlap("recent", "recent_2")
+    met = once & groups & differ & placed("far") & ~met_before
+    combined = index.where("component != largest").join(seconds, "pair").where(met)
 
     found = [met.select(F.col("node").alias("a"), F.col("node_2").alias("b"), "n", "m") for met in (alone, combined)]
     pairs = found[0].unionAll(found[1]).distinct()
+    if sketches is not None:
+        of_b = sketches.select(F.col("node").alias("b"), F.col("sketch").alias("sketch_2"))
+        sketched = pairs.join(sketches.withColumnRenamed("node", "a"), "a").join(of_b, "b")
+        pairs = sketched.where(_near(similarity)).drop("sketch", "sketch_2")
     prefixes = able.groupBy("node").agg(F.collect_list("signature").alias("prefix"))  # a node's prefix at most
     first = prefixes.select(F.col("node").alias("a"), F.col("prefix").alias("of_a"))
     second = prefixes.select(F.col("node").alias("b"), F.col("prefix").alias("of_b"))

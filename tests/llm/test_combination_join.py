@@ -167,3 +167,32 @@ def test_combinations_behind_the_first_common_places_are_not_kept(spark):
     index = spark.createDataFrame(rows, "node bigint, n int, component bigint, level int, pair bigint, far int")
     kept = combination_join._outside(index, combination_join.SIMILARITY).collect()
     assert sorted((r.pair, r.node, r.largest) for r in kept) == [(2, 20, 21), (2, 21, 21), (3, 30, 30), (3, 31, 30), (3, 99, 30)]
+
+
+@pytest.mark.parametrize("recent", [1, 8])
+def test_nodes_that_share_many_combinations_meet_few_times(spark, monkeypatch, recent):
+    """Families of large sets that are not similar: every pair meets, but not once for each of its hundreds of combinations."""
+    monkeypatch.setattr(combination_join, "RECENT", recent)
+    draw, met, stage = random.Random(5), [], combination_join.stage
+    common = list(range(1000, 1420))
+    rows = []
+    for node in range(12):
+        mine = sorted([s for s in common if draw.random() < 0.95] + [draw.randrange(10**6) + 2000 for _ in range(20)])
+        rows += [(s, node, 2000, place, node, 50) for place, s in enumerate(mine)]
+    open_ = spark.createDataFrame(rows, "signature bigint, node bigint, n int, place int, component bigint, postings bigint")
+
+    def kept(df, label):
+        written = stage(df, label)
+        if label == "index":
+            met.append(written)
+        return written
+
+    monkeypatch.setattr(combination_join, "stage", kept)
+    got = {(min(r.a, r.b), max(r.a, r.b)) for r in combination_join._across(open_, combination_join.SIMILARITY, 16).collect()}
+    assert got == set(combinations(range(12), 2))
+    first = met[0].select("node", "pair", "recent").where("node < 12")
+    second = first.toDF("node_2", "pair", "recent_2")
+    shared = first.join(second, "pair").where("node < node_2")
+    kept_rows = shared.where(~F.arrays_overlap("recent", "recent_2"))
+    assert kept_rows.select("node", "node_2").distinct().count() == 66
+    assert kept_rows.count() * (2 if recent == 1 else 20) < shared.count()
