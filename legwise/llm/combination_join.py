@@ -61,7 +61,9 @@ FREQUENT_ENTRIES, FREQUENT_COUNT = 100_000, 32
 #: Postings from which a shingle gives pairs only with a second one of that kind.
 FREQUENT_POSTINGS = 16
 #: Combinations before one in its node's order that it carries.
-RECENT = 8
+RECENT = 6
+#: 64-bit values of the folded sketch that a combination carries.
+BRIEF = 4
 #: Count from which a shingle's postings are dealt over several tasks, about as many rows for each.
 HOT_COUNT = 1 << 17
 #: Bound of all such tasks together.
@@ -281,17 +283,24 @@ def _least_shared(similarity: Fraction) -> Column:
     return _common(_ceil_share("n", similarity), similarity)
 
 
-def _near(similarity: Fraction) -> Column:
-    """Whether the sketches of sets of sizes ``n`` and ``m`` allow the similarity.
+def _near(similarity: Fraction, wide: int = SKETCH_BITS // 64) -> Column:
+    """Whether the sketches, of so many 64-bit values, of sets of sizes ``n`` and ``m`` allow the similarity.
 
     A shingle of one of the sets alone changes one parity, so as many bits as differ at
     least are such shingles.
     """
     p, q = similarity.numerator, similarity.denominator
-    apart = sum(F.bit_count(F.col("sketch")[k].bitwiseXOR(F.col("sketch_2")[k])) for k in range(SKETCH_BITS // 64))
+    apart = sum(F.bit_count(F.col("sketch")[k].bitwiseXOR(F.col("sketch_2")[k])) for k in range(wide))
     return (F.col("n") + F.col("m") - apart) * (p + q) >= (F.col("n") + F.col("m")) * (2 * p)
 
 
+def _brief(sketches: DataFrame) -> DataFrame:
+    """The sketches folded to ``BRIEF`` values, parities again."""
+    folds = range(0, SKETCH_BITS // 64, BRIEF)
+    folded = [F.expr(" ^ ".join(f"sketch[{k + fold}]" for fold in folds)) for k in range(BRIEF)]
+    return sketches.select("node", F.array(*folded).alias("sketch"))
+
+
 def _able(postings: DataFrame, similarity: Fraction, *more: Column) -> DataFrame:
     """The postings of nodes that have as many, ``opened``, as a similar pair shares at least."""
     per_node = postings.groupBy("node").agg(F.count(F.lit(1)).alias("opened"), *more)
@@ -334,18 +343,27 @@ def _level(size: Column, similarity: Fraction) -> Column:
     return F.length(F.bin(F.greatest(_common(size, similarity) - 1, F.lit(1)))) - 1
 
 
+def _needed(size: Column, similarity: Fraction) -> Column:
+    """Common prefix shingles of which one is rare or two fall into one group, one more than groups."""
+    return F.pow(F.lit(2), _level(size, similarity)).cast("int") + 1
+
+
 def _combinations(many: DataFrame, similarity: Fraction) -> DataFrame:
     """The index of two-shingle combinations: ``many`` postings' nodes with each ``pair`` of shingles of one group.
 
     A set is dealt in the number of groups of every size that the smaller set of a pair
-    of its may have.  ``far`` is the later place of the two shingles in the prefix.
+    of its may have.  ``far`` is the later place of the two shingles in the prefix; places
+    behind the first needed ones of any pair are not dealt.
     """
+    p, q = similarity.numerator, similarity.denominator
     levels = F.sequence(_level(_ceil_share("n", similarity), similarity), _level(F.col("n"), similarity))
     leveled = many.withColumn("level", F.explode(levels))
     part = F.pmod(F.xxhash64("signature"), F.expr("shiftleft(1, level)"))
     own = [c for c in many.columns if c not in ("signature", "postings", "place")]
     place = F.col("place") if "place" in many.columns else F.lit(0)
     listed = F.sort_array(F.collect_list(F.struct("signature", place.alias("place"))))
+    overlap = F.ceil((F.col("n") + _ceil_share("n", similarity)) * p / F.lit(p + q))  # with the smallest set
+    leveled = leveled.where(place < F.col("n") - overlap + F.expr("shiftleft(1, level)") + 1)
     dealt = leveled.groupBy(*own, "level", part.alias("part")).agg(listed.alias("group"))
     pairs = (
         "flatten(transform(group, (x, i) -> transform(slice(group, i + 2, size(group)), "
@@ -355,10 +373,10 @@ def _combinations(many: DataFrame, similarity: Fraction) -> DataFrame:
 
 
 def _beginning(size: Column, similarity: Fraction) -> Column:
-    """Places of a set of that size before which its first common shingles with any larger similar set lie."""
+    """Places of a set of that size before which its first needed shingles, common with any larger similar set, lie."""
     p, q = similarity.numerator, similarity.denominator
     # the smaller set of a pair overlaps by 2 t / (1 + t) of its size at least
-    return size - F.ceil(size * (2 * p) / F.lit(p + q)) + _common(size, similarity)
+    return size - F.ceil(size * (2 * p) / F.lit(p + q)) + _needed(size, similarity)
 
 
 def _outside(index: DataFrame, similarity: Fraction) -> DataFrame:
@@ -401,23 +419,23 @@ def _across(open_: DataFrame, similarity: Fraction, frequent_postings: int, sket
     """Pairs of nodes of different components that may be similar.
 
     Rare signatures give pairs alone, frequent ones in combinations of two.  The first
-    common signatures, as many as a similar pair shares at least, are at the beginnings
-    of the prefixes; if none of them is rare, two frequent ones are in one group.  A pair
+    common signatures, one more than groups and no more than a similar pair shares, are at
+    the beginnings of the prefixes; if none of them is rare, two are in one group.  A pair
     shares no more signatures than either node has open ones, which rules out most nodes
     and pairs before they are formed, and the sketches and the common signatures of their
     whole prefixes most others.  The nodes of a pair meet about once, however many
-    combinations they share, so the sketches are met by pairs and not by combinations.
+    combinations they share; the whole sketches are met by pairs and not by combinations.
     """
     p, q = similarity.numerator, similarity.denominator
     able = stage(_able(open_, similarity), "able")
     differ = (F.col("component") != F.col("component_2")) & _fits(similarity) & _possible(F.least("opened", "opened_2"), similarity)
-    common = _common(F.least("n", "m"), similarity)
+    needed = _needed(F.least("n", "m"), similarity)
 
     rare = able.where(F.col("postings") <= frequent_postings).drop("postings")
     overlap = F.ceil((F.col("n") + F.col("m")) * p / F.lit(p + q))  # of a similar pair; so much lies behind its first place
 
     def placed(place: str) -> Column:
-        return (F.col(place) < F.col("n") - overlap + common) & (F.col(f"{place}_2") < F.col("m") - overlap + common)
+        return (F.col(place) < F.col("n") - overlap + needed) & (F.col(f"{place}_2") < F.col("m") - overlap + needed)
 
     ordered = F.expr("n < m OR n = m AND node < node_2")
     early = rare.where(F.col("place") < _beginning(F.col("n"), similarity))
@@ -425,13 +443,17 @@ def _across(open_: DataFrame, similarity: Fraction, frequent_postings: int, sket
 
     many = able.where(F.col("postings") > frequent_postings)
     index = _outside(stage(_combinations(many, similarity), "combinations"), similarity)
+    if sketches is not None:
+        index = index.join(_brief(sketches), "node")
     index = stage(_recent(index), "index")
     # a pair of the largest component's nodes never meets; of a pair with one of them, that one is the second
     once = F.expr("component_2 = largest OR node < node_2")
     groups = F.col("level") == F.least(*[_level(F.col(size), similarity) for size in ("n", "m")])
     seconds = _renamed(index.drop("level", "largest"), "pair")
-    met_before = F.arrays_overlap("recent", "recent_2")
-    met = once & groups & differ & placed("far") & ~met_before
+    met = once & groups & differ & placed("far")
+    if sketches is not None:
+        met &= _near(similarity, BRIEF)
+    met &= ~F.arrays_overlap("recent", "recent_2")
     combined = index.where("component != largest").join(seconds, "pair").where(met)
 
     found = [met.select(F.col("node").alias("a"), F.col("node_2").alias("b"), "n", "m") for met in (alone, combined)]

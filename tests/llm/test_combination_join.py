@@ -196,3 +196,19 @@ def test_nodes_that_share_many_combinations_meet_few_times(spark, monkeypatch, r
     kept_rows = shared.where(~F.arrays_overlap("recent", "recent_2"))
     assert kept_rows.select("node", "node_2").distinct().count() == 66
     assert kept_rows.count() * (2 if recent == 1 else 20) < shared.count()
+
+
+def test_folded_sketches_never_rule_out_a_similar_pair(spark):
+    draw, rows, t = random.Random(4), [], combination_join.SIMILARITY
+    for k in range(200):
+        n, changed = draw.randint(2, 300), draw.random() * 0.4
+        a = {draw.getrandbits(63) for _ in range(n)}
+        b = {x if draw.random() > changed else draw.getrandbits(63) for x in a}
+        similar = 100 * len(a & b) >= 75 * len(a | b)
+        rows += [(2 * k + side, k, len(s), combination_join._sketch(np.array(sorted(s), np.uint64)).tolist(), similar) for side, s in enumerate((a, b))]
+    df = spark.createDataFrame(rows, "node int, k int, n int, sketch array<bigint>, similar boolean")
+    folded = df.drop("sketch").join(combination_join._brief(df), "node")
+    pairs = folded.where("node % 2 = 0").join(folded.where("node % 2 = 1").selectExpr("k", "n AS m", "sketch AS sketch_2"), "k")
+    got = pairs.select("similar", combination_join._near(t, combination_join.BRIEF).alias("near")).collect()
+    assert len(got) == 200 and all(r.near for r in got if r.similar) and any(r.similar for r in got)
+    assert not all(r.near for r in got)
