@@ -3,6 +3,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from legwise.operators import clean
+from legwise.staging import stage
 from tests.conftest import rows_of
 
 RESULT = "series string, edition int, row_no bigint, times string, gap string"
@@ -62,6 +63,15 @@ def test_overrides_apply_to_zero_only(spark):
     assert got == [("men", 2025, 0), ("women", 2024, 0), ("women", 2025, 1169), ("women", 2025, 5)]
 
 
+def test_overrides_do_not_move_the_rows(spark):
+    """Rows may carry a page each; a list of literal rows must be known to be small before anything is shuffled."""
+    df = stage(spark.createDataFrame([("women", 2025, 0, "page")], "series string, edition int, distance int, page string"), "wide")
+    joined = clean.apply_overrides(df, "distance", clean.distance_overrides(df))
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+    assert rows_of(joined, "distance", "page") == [(1169, "page")]
+
+
 def test_drop_empty_columns(spark):
     df = spark.createDataFrame([(1, None, None), (2, None, "x")], "a int, `Last km` string, c string")
     assert clean.drop_empty_columns(df).columns == ["a", "c"]
